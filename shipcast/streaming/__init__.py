@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The workload reads complete order files and has no stream source, watermark,
+time window or stateful operator, so there is nothing to express with
+Structured Streaming.  Batch jobs in ``shipcast.plans`` cover every operator.
+"""
