@@ -1,16 +1,152 @@
-"""Scaling and encoding operators (filled in below)."""
+"""Scaling and encoding: standard scaling, one-hot, column alignment, labels.
+
+* Scaling fits mean and *population* std on train in one aggregate (one row,
+  broadcast); a constant column divides by 1.  ``pyspark.ml``'s
+  ``StandardScaler`` uses the sample std and maps constants to 0, so it is not
+  used.
+* One-hot fits each column's sorted vocabulary on train and drops the first
+  category, so train and test always get the same columns.  Vocabularies are
+  plan metadata (they name output columns), so they are collected; each is
+  size-checked first.  A column with more than ``max_columns`` values is not
+  spread into columns: it becomes one sparse vector built by ``StringIndexer``
+  (alphabetical, descending, so the first category gets the last index),
+  ``OneHotEncoder`` and ``VectorSlicer`` (which removes that last index and
+  the unseen/NULL slot), all JVM-side.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from shipcast.functions.columns import numeric_columns
 
 KEY = "order_id"
 
+# The categorical columns the encoder looks for.
+CATEGORICAL = ("product_category", "formulation", "temperature_requirement", "manufacturing_site",
+               "distribution_center", "api_supplier", "excipient_supplier", "packaging_supplier",
+               "shipping_mode", "geopolitical_risk", "market_region", "therapeutic_area_priority",
+               "day_of_week", "quarter", "month")
+RISK_LABELS = {"Low_Risk": 0, "Medium_Risk": 1, "High_Risk": 2}
+MAX_ONE_HOT_COLUMNS = 200
+
 
 def model_input(df: DataFrame, key: str = KEY) -> DataFrame:
     """io07: keep the key and the numeric family; string and datetime columns
     (as found in this frame's schema) are dropped."""
     cols = numeric_columns(df, exclude=[key])
     return df.select(*([key] if key in df.columns else []), *cols)
+
+
+# ---------------------------------------------------------------- scaling
+
+def fit_scaler(train: DataFrame, cols: Sequence[str] | None = None,
+               exclude: Sequence[str] = (KEY,)) -> DataFrame:
+    """One row: ``{c}__mean`` and ``{c}__std`` (population) per column."""
+    cols = list(cols) if cols else numeric_columns(train, exclude=exclude)
+    aggs = []
+    for c in cols:
+        aggs += [F.avg(c).alias(f"{c}__mean"), F.stddev_pop(c).alias(f"{c}__std")]
+    return train.agg(*aggs)
+
+
+def apply_scaler(df: DataFrame, state: DataFrame) -> DataFrame:
+    """nm01: ``(x - mean) / std`` with std 0 -> 1; a fitted column missing
+    from df is created as 0 first.  NULL stays NULL."""
+    cols = [c[:-6] for c in state.columns if c.endswith("__mean")]
+    base = df
+    for c in cols:
+        if c not in base.columns:
+            base = base.withColumn(c, F.lit(0.0))
+    j = base.crossJoin(F.broadcast(state))
+    out = []
+    for c in base.columns:
+        if c in cols:
+            std = F.col(f"{c}__std")
+            den = F.when(std.isNull() | (std == 0), F.lit(1.0)).otherwise(std)
+            out.append(((F.col(c) - F.col(f"{c}__mean")) / den).alias(c))
+        else:
+            out.append(F.col(c))
+    return j.select(*out)
+
+
+# ---------------------------------------------------------------- one-hot
+
+def fit_vocabulary(train: DataFrame, cols: Sequence[str] | None = None,
+                   max_columns: int = MAX_ONE_HOT_COLUMNS) -> dict:
+    """{column: sorted non-NULL values} for columns whose vocabulary fits
+    ``max_columns``; wider columns map to None (vector encoding)."""
+    cols = [c for c in (cols or CATEGORICAL) if c in train.columns]
+    if not cols:
+        return {}
+    sizes = train.agg(*[F.count_distinct(c).alias(c) for c in cols]).first().asDict()
+    small = [c for c in cols if sizes[c] <= max_columns]
+    vocab: dict = {c: None for c in cols if c not in small}
+    if small:
+        row = train.agg(*[F.sort_array(F.collect_set(F.col(c).cast("string"))).alias(c)
+                          for c in small]).first().asDict()
+        vocab.update({c: list(row[c]) for c in small})
+    return vocab
+
+
+def apply_one_hot(df: DataFrame, vocab: dict, train: DataFrame | None = None) -> DataFrame:
+    """en01: replace each categorical column by 0/1 integer columns
+    ``{col}_{value}`` for every train value but the first; NULL or an unseen
+    value gives all zeros.  Wide columns become ``{col}_vec`` sparse vectors
+    (needs ``train`` to fit the indexer)."""
+    out = df
+    wide = [c for c, v in vocab.items() if v is None and c in df.columns]
+    narrow = {c: v for c, v in vocab.items() if v is not None and c in df.columns}
+    if wide:
+        if train is None:
+            raise ValueError("vector encoding needs the train frame to fit the indexer")
+        out = _vector_one_hot(out, train, wide)
+    keep = [F.col(c) for c in out.columns if c not in narrow]
+    dummies = [F.when(F.col(c).cast("string") == F.lit(v), 1).otherwise(0).alias(f"{c}_{v}")
+               for c, values in narrow.items() for v in values[1:]]
+    return out.select(*keep, *dummies)
+
+
+def _vector_one_hot(df: DataFrame, train: DataFrame, cols: Sequence[str]) -> DataFrame:
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorSlicer
+    out = df
+    for c in cols:
+        idx = StringIndexer(inputCol=c, outputCol=f"{c}__idx", stringOrderType="alphabetDesc",
+                            handleInvalid="keep").fit(train)
+        n = len(idx.labels)
+        ohe = OneHotEncoder(inputCol=f"{c}__idx", outputCol=f"{c}__ohe", dropLast=False,
+                            handleInvalid="keep").fit(idx.transform(train.limit(1)))
+        sl = VectorSlicer(inputCol=f"{c}__ohe", outputCol=f"{c}_vec", indices=list(range(max(n - 1, 0))))
+        out = sl.transform(ohe.transform(idx.transform(out))).drop(c, f"{c}__idx", f"{c}__ohe")
+    return out
+
+
+def one_hot(train: DataFrame, df: DataFrame, cols: Sequence[str] | None = None,
+            max_columns: int = MAX_ONE_HOT_COLUMNS) -> DataFrame:
+    return apply_one_hot(df, fit_vocabulary(train, cols, max_columns), train)
+
+
+def align_columns(reference: DataFrame, other: DataFrame, fill=0) -> DataFrame:
+    """en02: give ``other`` exactly the columns of ``reference``, in its
+    order; columns it lacks are added as ``fill``; extra ones are dropped."""
+    have = set(other.columns)
+    return other.select(*[F.col(c) if c in have else F.lit(fill).alias(c) for c in reference.columns])
+
+
+# ---------------------------------------------------------------- labels
+
+def encode_labels(df: DataFrame, col: str = "supply_chain_disruption_risk",
+                  out: str = "label", mapping: dict = RISK_LABELS) -> DataFrame:
+    """en03: class names to 0/1/2 (a fixed order, not frequency order)."""
+    m = F.create_map(*[x for k, v in mapping.items() for x in (F.lit(k), F.lit(v))])
+    return df.withColumn(out, m[F.col(col)])
+
+
+def decode_labels(df: DataFrame, col: str = "prediction", out: str = "prediction",
+                  mapping: dict = RISK_LABELS) -> DataFrame:
+    """en03 inverse: 0/1/2 back to class names."""
+    m = F.create_map(*[x for k, v in mapping.items() for x in (F.lit(float(v)), F.lit(k))])
+    return df.withColumn(out, m[F.col(col).cast("double")])

@@ -60,7 +60,8 @@ def register(name: str, sql: str | None = None):
 
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     """Round every double column (reporting precision of the oracle check)."""
-    return df.select(*[F.round(F.col(f.name), digits).alias(f.name)
+    # "+ 0.0" turns a rounded -0.0 into 0.0 in both engines.
+    return df.select(*[(F.round(F.col(f.name), digits) + F.lit(0.0)).alias(f.name)
                        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
                        for f in df.schema.fields])
 
@@ -82,7 +83,7 @@ def q(name: str) -> str:
 
 
 def r(expr: str, alias: str, digits: int = DIGITS) -> str:
-    return f"round({expr}, {digits}) AS {alias}"
+    return f"round({expr}, {digits}) + 0.0 AS {alias}"
 
 
 def pct2_sql(k: str, n: str) -> str:
