@@ -31,6 +31,13 @@ from pyspark.sql import functions as F
 STRATEGY_CONF = "shipcast.quantile.strategy"
 
 
+def stable(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` with a reliable checkpoint (shared folder)."""
+    from shipcast.session import shared_dir
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _strategy(df: DataFrame, strategy: str | None) -> str:
     if strategy:
         return strategy
@@ -85,6 +92,10 @@ def _by_rank(df: DataFrame, cols, probs, by, broadcast_targets) -> DataFrame:
                .sortWithinPartitions(*gk, "x", "_salt")
                .withColumn("_pid", F.spark_partition_id())
                .withColumn("_mid", F.monotonically_increasing_id()))
+    # The numbering is read twice (counts, then the fetch).  Two evaluations
+    # could sample different range bounds, so it is materialised once with a
+    # reliable checkpoint in the shared folder (a narrow table).
+    ordered = stable(ordered)
 
     # One row per (partition, group): where the group starts in the partition
     # and how many of its rows the partition holds.

@@ -1 +1,182 @@
-"""ML queries."""
+"""Split, weight, metric and selection queries with oracles (ml01-ml04,
+ml06, ml14-ml18, jn02), and the rows-only model queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from shipcast.operators import baseline as B
+from shipcast.operators import encode as E
+from shipcast.operators import metrics as MT
+from shipcast.operators import split as S
+from shipcast.plans.catalog import _ship, _train, r, register, rounded
+from shipcast.plans.oracle import with_shipments
+from shipcast.sources.shipments import train_test
+
+W = with_shipments
+
+_ORDER = "md5(CAST(order_id AS VARCHAR)), order_id"
+
+
+def _rank_sql(label=None, extra=""):
+    part = f"PARTITION BY {label} " if label else ""
+    return (f"SELECT order_id{extra}, row_number() OVER ({part}ORDER BY {_ORDER}) - 1 AS rk, "
+            f"count(*) OVER ({part.strip()}) AS n FROM train")
+
+
+@register("ml01_split_random", W(f"""SELECT order_id, CASE WHEN rk < ceil(CAST(0.2 AS DOUBLE) * n) THEN 1 ELSE 0 END AS is_val
+FROM ({_rank_sql()})"""))
+def ml01(spark, sf):
+    return S.holdout(_train(spark, sf).select("order_id")).select("order_id", "is_val")
+
+
+@register("ml02_split_stratified", W(f"""SELECT order_id, will_be_delayed,
+ CASE WHEN rk < ceil(CAST(0.2 AS DOUBLE) * n) THEN 1 ELSE 0 END AS is_val
+FROM ({_rank_sql('will_be_delayed', ', will_be_delayed')})"""))
+def ml02(spark, sf):
+    df = _train(spark, sf).select("order_id", "will_be_delayed")
+    return S.holdout(df, "will_be_delayed").select("order_id", "will_be_delayed", "is_val")
+
+
+@register("ml03_kfold", W(f"SELECT order_id, CAST(rk % 5 AS INTEGER) AS fold FROM ({_rank_sql()})"))
+def ml03(spark, sf):
+    return S.kfold(_train(spark, sf).select("order_id")).select("order_id", "fold")
+
+
+@register("ml04_stratified_kfold", W(f"""SELECT order_id, supply_chain_disruption_risk, CAST(rk % 5 AS INTEGER) AS fold
+FROM ({_rank_sql('supply_chain_disruption_risk', ', supply_chain_disruption_risk')})"""))
+def ml04(spark, sf):
+    df = _train(spark, sf).select("order_id", "supply_chain_disruption_risk")
+    return S.kfold(df, "supply_chain_disruption_risk").select("order_id", "supply_chain_disruption_risk", "fold")
+
+
+@register("ml06_class_weight", W(f"""SELECT will_be_delayed, count(*) AS n_class,
+ {r('CAST(sum(count(*)) OVER () AS DOUBLE) / (count(*) OVER () * count(*))', 'balanced_weight')},
+ {r('CAST(sum(count(*) FILTER (WHERE will_be_delayed = 0)) OVER () AS DOUBLE) / sum(count(*) FILTER (WHERE will_be_delayed = 1)) OVER ()', 'pos_weight')}
+FROM train WHERE will_be_delayed IS NOT NULL GROUP BY will_be_delayed"""))
+def ml06(spark, sf):
+    return rounded(S.class_weights(_train(spark, sf), "will_be_delayed"))
+
+
+@register("ml06_class_weight_multiclass", W(f"""SELECT supply_chain_disruption_risk, count(*) AS n_class,
+ {r('CAST(sum(count(*)) OVER () AS DOUBLE) / (count(*) OVER () * count(*))', 'balanced_weight')}
+FROM train WHERE supply_chain_disruption_risk IS NOT NULL GROUP BY supply_chain_disruption_risk"""))
+def ml06m(spark, sf):
+    return rounded(S.class_weights(_train(spark, sf), "supply_chain_disruption_risk"))
+
+
+@register("jn02_label_align", W("""SELECT f.order_id, f.api_cost_per_kg, f.total_lead_time_days, l.supply_chain_disruption_risk
+FROM (SELECT order_id, api_cost_per_kg, total_lead_time_days FROM train) f
+JOIN (SELECT order_id, supply_chain_disruption_risk FROM train) l USING (order_id)"""))
+def jn02(spark, sf):
+    """Features and labels re-attached by key (not by row position)."""
+    train = _train(spark, sf)
+    feats = train.select("order_id", "api_cost_per_kg", "total_lead_time_days")
+    labels = train.select("order_id", "supply_chain_disruption_risk")
+    return feats.join(labels, "order_id")
+
+
+# ------------------------------------------------------------------ metrics
+
+_RISK_CODE = ("CASE supply_chain_disruption_risk WHEN 'Low_Risk' THEN 0 WHEN 'Medium_Risk' THEN 1 "
+              "WHEN 'High_Risk' THEN 2 END")
+
+
+def _noisy_risk(spark, sf):
+    """Risk labels with a deterministic prediction that is wrong for every
+    fourth order (next class), over the test split."""
+    test = train_test(_ship(spark, sf))[1]
+    df = E.encode_labels(test.select("order_id", "supply_chain_disruption_risk"))
+    pred = F.when(F.col("order_id") % 4 == 0, (F.col("label") + 1) % 3).otherwise(F.col("label"))
+    return df.select("order_id", "label", pred.alias("prediction"))
+
+
+@register("ml14_metric_f1_weighted", W(f"""
+SELECT {r('sum(CASE WHEN sup + prd > 0 THEN 2.0 * tp / (sup + prd) ELSE 0 END * sup) / sum(sup)', 'f1_weighted')},
+ CAST(sum(sup) AS BIGINT) AS n FROM per""", ctes=f"""
+lp AS (SELECT {_RISK_CODE} AS y, CASE WHEN order_id % 4 = 0 THEN ({_RISK_CODE} + 1) % 3 ELSE {_RISK_CODE} END AS p FROM test),
+c AS (SELECT y AS k FROM lp UNION SELECT p FROM lp),
+per AS (SELECT k, (SELECT count(*) FROM lp WHERE y = k) AS sup, (SELECT count(*) FROM lp WHERE p = k) AS prd,
+               (SELECT count(*) FROM lp WHERE y = k AND p = k) AS tp FROM c)"""))
+def ml14(spark, sf):
+    return rounded(MT.f1_weighted(_noisy_risk(spark, sf)))
+
+
+def _baseline_scored(spark, sf, label, keys):
+    ship = _ship(spark, sf)
+    train, test = train_test(ship)
+    state = B.fit_group_mean(train, label, keys)
+    scored = B.predict_group_mean(test.where(F.col(label).isNotNull()), state, keys)
+    return scored.select(F.col(label).alias("label"), "prediction", *keys)
+
+
+def _baseline_sql(label, keys, source="test"):
+    if not keys:
+        return (f"SELECT t.{label} AS y, g.m AS p FROM {source} t, (SELECT avg({label}) AS m FROM train) g "
+                f"WHERE t.{label} IS NOT NULL")
+    kl = ", ".join(keys)
+    nn = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+    on = " AND ".join(f"t.{k} = k.{k}" for k in keys)
+    return (f"SELECT t.{label} AS y, coalesce(k.m, g.m) AS p FROM {source} t "
+            f"LEFT JOIN (SELECT {kl}, avg({label}) AS m FROM train WHERE {nn} GROUP BY {kl}) k ON {on} "
+            f"CROSS JOIN (SELECT avg({label}) AS m FROM train) g WHERE t.{label} IS NOT NULL")
+
+
+@register("ml15_metric_regression", W(f"""SELECT count(*) AS n, {r('sqrt(avg((y - p) * (y - p)))', 'rmse')},
+ {r('avg(abs(y - p))', 'mae')}, {r('avg(CASE WHEN y <> 0 THEN abs((y - p) / y) END) * 100', 'mape')},
+ {r('1 - sum((y - p) * (y - p)) / sum((y - ybar) * (y - ybar))', 'r2')}
+FROM (SELECT *, avg(y) OVER () AS ybar FROM ({_baseline_sql('realistic_total_cost', ['product_category'])}))"""))
+def ml15(spark, sf):
+    return rounded(MT.regression_metrics(_baseline_scored(spark, sf, "realistic_total_cost", ["product_category"])))
+
+
+@register("ml16_metric_auc", W(f"""
+SELECT CAST(sum(p) AS BIGINT) AS n_pos, CAST(sum(q) AS BIGINT) AS n_neg,
+ {r('CAST(sum(p * (qb + 0.5 * q)) AS DOUBLE) / (sum(p) * sum(q))', 'auc')} FROM c""", ctes="""
+g AS (SELECT total_lead_time_days AS s, count(*) FILTER (WHERE will_be_delayed = 1) AS p,
+             count(*) FILTER (WHERE will_be_delayed = 0) AS q FROM test WHERE total_lead_time_days IS NOT NULL GROUP BY 1),
+c AS (SELECT p, q, coalesce(sum(q) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS qb FROM g)"""))
+def ml16(spark, sf):
+    test = train_test(_ship(spark, sf))[1].where(F.col("total_lead_time_days").isNotNull())
+    return rounded(MT.auc(test, "will_be_delayed", "total_lead_time_days"))
+
+
+@register("ml16_metric_auc_hard_label", W(f"""SELECT {r('''(CAST(count(*) FILTER (WHERE will_be_delayed = 1 AND total_lead_time_days > 60) AS DOUBLE)
+   / count(*) FILTER (WHERE will_be_delayed = 1)
+ + CAST(count(*) FILTER (WHERE will_be_delayed = 0 AND total_lead_time_days <= 60) AS DOUBLE)
+   / count(*) FILTER (WHERE will_be_delayed = 0)) / 2''', 'auc_hard_label')}
+FROM test WHERE total_lead_time_days IS NOT NULL"""))
+def ml16h(spark, sf):
+    test = train_test(_ship(spark, sf))[1].where(F.col("total_lead_time_days").isNotNull())
+    scored = test.select("will_be_delayed", (F.col("total_lead_time_days") > 60).cast("int").alias("prediction"))
+    return rounded(MT.hard_label_auc(scored, "will_be_delayed", "prediction"))
+
+
+@register("ml17_metric_business_cost", W(f"""SELECT count(*) AS n, {r('sqrt(avg((y - p) * (y - p)))', 'rmse')},
+ {r('avg(abs(y - p))', 'mae')},
+ {r('avg(1.0 * greatest(p - y, 0.0) + 3.0 * greatest(y - p, 0.0))', 'business_cost')}
+FROM ({_baseline_sql('optimal_stock_days', ['product_category'])})"""))
+def ml17(spark, sf):
+    return rounded(MT.business_cost(_baseline_scored(spark, sf, "optimal_stock_days", ["product_category"])))
+
+
+CANDIDATES = (("global_mean", ()), ("category_mean", ("product_category",)),
+              ("product_mean", ("product_category", "formulation")))
+
+
+@register("ml18_select_best", W(f"""
+SELECT model, seq, {r('rmse', 'rmse')},
+ CASE WHEN row_number() OVER (ORDER BY rmse, seq) = 1 THEN 1 ELSE 0 END AS is_best FROM m""", ctes=f"""
+m AS ({' UNION ALL '.join(
+    f"SELECT '{name}' AS model, {i} AS seq, sqrt(avg((y - p) * (y - p))) AS rmse FROM ({_baseline_sql('realistic_total_cost', list(keys))})"
+    for i, (name, keys) in enumerate(CANDIDATES))})"""))
+def ml18(spark, sf):
+    from shipcast.operators.models import select_best
+    parts = []
+    for i, (name, keys) in enumerate(CANDIDATES):
+        m = MT.regression_metrics(_baseline_scored(spark, sf, "realistic_total_cost", list(keys)))
+        parts.append(m.select(F.lit(name).alias("model"), F.lit(i).alias("seq"), "rmse"))
+    table = parts[0]
+    for p in parts[1:]:
+        table = table.unionByName(p)
+    return rounded(select_best(table, "rmse", minimize=True).select("model", "seq", "rmse", "is_best"))
