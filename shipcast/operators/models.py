@@ -34,6 +34,7 @@ from shipcast.operators.metrics import OVERSTOCK_COST, UNDERSTOCK_COST
 
 SEED = 42
 KEY = "order_id"
+N_FOLDS = 5
 
 # The reference's search lists per task and model family.
 GRIDS = {
@@ -99,7 +100,7 @@ def _subset(frac) -> str:
     return {0.7: "0.7", 0.8: "0.8", 0.9: "0.9"}.get(frac, str(frac))
 
 
-def _estimator(family: str, kind: str, params: dict, weight_col: str | None):
+def _estimator(family: str, kind: str, params: dict, weight_col: str | None, n_rows: int | None = None):
     """Reference parameters -> Spark estimator (nearest equivalents:
     min_samples_split ~ minInstancesPerNode * 2, min_samples_leaf and
     min_child_weight ~ minInstancesPerNode, gamma ~ minInfoGain,
@@ -125,7 +126,10 @@ def _estimator(family: str, kind: str, params: dict, weight_col: str | None):
             return GBTClassifier(weightCol=weight_col, **kw) if weight_col else GBTClassifier(**kw)
         return OneVsRest(classifier=GBTClassifier(**kw), labelCol="label", featuresCol="features")
     if family == "Logistic":
-        kw = dict(regParam=1.0 / float(p["C"]), elasticNetParam=0.0, maxIter=1000, standardization=False,
+        # sklearn minimises C * sum(loss) + |w|^2 / 2; Spark minimises
+        # mean(loss) + regParam * |w|^2 / 2, so regParam = 1 / (C * n).
+        reg = 1.0 / (float(p["C"]) * max(n_rows or 1, 1))
+        kw = dict(regParam=reg, elasticNetParam=0.0, maxIter=1000, standardization=False,
                   labelCol="label", featuresCol="features")
         return LogisticRegression(weightCol=weight_col, **kw) if weight_col else LogisticRegression(**kw)
     raise ValueError(f"unknown model family {family!r}")
@@ -170,13 +174,14 @@ def random_search(train: DataFrame, task: str, family: str, n_iter: int | None =
     grid = grid or GRIDS[task][family]
     draws = draw_params(grid, n_iter or N_ITER[task])
     kind = KIND[task]
-    ests = [_estimator(family, kind, d, weight_col) for d in draws]
+    n_rows = train.count() if family == "Logistic" else None
+    ests = [_estimator(family, kind, d, weight_col, n_rows) for d in draws]
     # CrossValidator tunes one estimator over param maps; here each draw is a
     # separate estimator object, so cross-validate each and keep the best.
     ev = evaluator(task)
     best = None
     for d, est in zip(draws, ests):
-        cv = CrossValidator(estimator=est, estimatorParamMaps=[{}], evaluator=ev, foldCol="fold",
+        cv = CrossValidator(estimator=est, estimatorParamMaps=[{}], evaluator=ev, foldCol="fold", numFolds=N_FOLDS,
                             parallelism=parallelism, seed=SEED)
         m = cv.fit(train)
         score = float(m.avgMetrics[0])
@@ -194,7 +199,8 @@ def select_best(metrics: DataFrame, metric: str, minimize: bool, seq: str = "seq
 
 def fit_final(train: DataFrame, task: str, family: str, params: dict, weight_col: str | None = None):
     """ml20: refit the chosen configuration on all training rows."""
-    return _estimator(family, KIND[task], params, weight_col).fit(train)
+    n_rows = train.count() if family == "Logistic" else None
+    return _estimator(family, KIND[task], params, weight_col, n_rows).fit(train)
 
 
 def score(model, df: DataFrame, task: str) -> DataFrame:

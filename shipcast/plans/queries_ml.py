@@ -180,3 +180,159 @@ def ml18(spark, sf):
     for p in parts[1:]:
         table = table.unionByName(p)
     return rounded(select_best(table, "rmse", minimize=True).select("model", "seq", "rmse", "is_best"))
+
+
+# ------------------------------------------------------------------ models (rows-only)
+# Model outputs depend on the learner's randomness and floating point, so they
+# are checked by row count and schema only.  Each family query fits one
+# parameter set drawn from the reference's list on the processed train split
+# and scores the test split; ml13/ml23 run the search itself.
+
+def _prepared(spark, sf, task):
+    from shipcast.plans.tasks import prepare
+    return prepare(spark, sf, task)
+
+
+def _family_query(task, family):
+    def fn(spark, sf):
+        from shipcast.operators import models as M
+        train, test, cols = _prepared(spark, sf, task)
+        params = M.draw_params(M.GRIDS[task][family], 1)[0]
+        tr, _ = M.assemble(train, cols)
+        model = M.fit_final(tr, task, family, params)
+        te, _ = M.assemble(test, cols)
+        return M.score(model, te, task)
+    return fn
+
+
+for _qid, _task, _fam in (("ml07_rf_classifier", "risk", "RandomForest"),
+                          ("ml08_rf_regressor", "cost", "RandomForest"),
+                          ("ml09_gbt_multiclass", "risk", "GBT"),
+                          ("ml10_gbt_binary", "delay", "GBT"),
+                          ("ml11_gbt_regressor", "inventory", "GBT"),
+                          ("ml12_logistic", "delay", "Logistic")):
+    register(_qid)(_family_query(_task, _fam))
+
+
+@register("pp01_run_pipeline")
+def pp01(spark, sf):
+    from shipcast.plans.preprocess import run_pipeline
+    return run_pipeline(_ship(spark, sf), "all")
+
+
+@register("io06_sink_processed")
+def io06(spark, sf):
+    from shipcast.plans.preprocess import run_pipeline
+    from shipcast.sources import sinks
+    out = run_pipeline(_ship(spark, sf), "cost")
+    path = sinks.write_csv(out, sinks.new_path(spark, "processed_cost"))
+    return spark.read.option("header", True).csv(path)
+
+
+@register("ml05_smote")
+def ml05(spark, sf):
+    """Risk classes of the train split grown to the majority size."""
+    from shipcast.operators.oversample import smote
+    from shipcast.plans.catalog import NUMERIC
+    train = E.encode_labels(_train(spark, sf), out="label")
+    feats = [c for c in NUMERIC if c != "supply_chain_disruption_risk"]
+    df = train.select("label", *feats).fillna(0.0, subset=feats)
+    return smote(df, "label", feats)
+
+
+@register("ml13_random_search")
+def ml13(spark, sf):
+    """Logistic search for the delay task: the reference's C list, 5 draws, 5 folds."""
+    from shipcast.operators import models as M
+    train, _, cols = _prepared(spark, sf, "delay")
+    fit = S.kfold(train, "label")
+    fit_v, _ = M.assemble(fit, cols)
+    fit_v = fit_v.select("label", "fold", "features").cache()
+    rows = []
+    for i, d in enumerate(M.draw_params(M.GRIDS["delay"]["Logistic"], M.N_ITER["delay"])):
+        _, _, cv = M.random_search(fit_v, "delay", "Logistic", grid={"C": [d["C"]]}, n_iter=1)
+        rows.append((i, float(d["C"]), float(cv)))
+    return spark.createDataFrame(rows, "seq int, C double, cv_auc double")
+
+
+def _task_query(task, families):
+    def fn(spark, sf):
+        from shipcast.plans.tasks import run_task
+        return run_task(spark, sf, task, families=families)["predictions"]
+    return fn
+
+
+register("ml23_task_run")(_task_query("delay", ["Logistic"]))
+
+
+@register("ml21_score")
+def ml21(spark, sf):
+    """Test predictions of the cost task's forest, as (order_id, prediction)."""
+    return _family_query("cost", "RandomForest")(spark, sf)
+
+
+@register("jn03_id_align")
+def jn03(spark, sf):
+    """Predictions keep the key carried through transform (no positional join)."""
+    return _family_query("inventory", "RandomForest")(spark, sf)
+
+
+@register("ag25_prediction_stats")
+def ag25(spark, sf):
+    p = _family_query("cost", "RandomForest")(spark, sf)
+    return p.agg(F.avg("prediction").alias("mean"), F.median("prediction").alias("median"),
+                 F.min("prediction").alias("min"), F.max("prediction").alias("max"))
+
+
+@register("ag27_prediction_class_share")
+def ag27(spark, sf):
+    p = _family_query("risk", "RandomForest")(spark, sf)
+    c = p.groupBy("prediction").agg(F.count(F.lit(1)).alias("n"))
+    from pyspark.sql import Window
+    return c.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(0))))
+
+
+@register("fx12_overstock_flag")
+def fx12(spark, sf):
+    from shipcast.operators.features import overstock_flag
+    preds = _family_query("inventory", "RandomForest")(spark, sf)
+    test = train_test(_ship(spark, sf))[1].select("order_id", "current_stock_days")
+    return overstock_flag(test.join(preds, "order_id")).agg(
+        F.sum("overstocked").alias("n_overstocked"), F.count(F.lit(1)).alias("n_orders"))
+
+
+@register("ml20_refit_full")
+def ml20(spark, sf):
+    from shipcast.operators import models as M
+    train, _, cols = _prepared(spark, sf, "cost")
+    tr, _ = M.assemble(train, cols)
+    m = M.fit_final(tr, "cost", "RandomForest", M.draw_params(M.GRIDS["cost"]["RandomForest"], 1)[0])
+    return spark.createDataFrame([(m.getNumTrees, len(cols))], "num_trees int, n_features int")
+
+
+@register("io09_sink_predictions")
+def io09(spark, sf):
+    from shipcast.sources import sinks
+    p = _family_query("delay", "Logistic")(spark, sf)
+    path = sinks.write_predictions(p, sinks.new_path(spark, "prediction_task_c_delay"))
+    return spark.read.option("header", True).csv(path)
+
+
+@register("io10_sink_metrics")
+def io10(spark, sf):
+    from shipcast.sources import sinks
+    m = ml18(spark, sf)
+    path = sinks.write_metrics(m, sinks.new_path(spark, "task_b_cost_metrics"))
+    return spark.read.json(path)
+
+
+@register("io11_save_model")
+def io11(spark, sf):
+    from pyspark.ml import PipelineModel
+    from shipcast.operators import models as M
+    from shipcast.sources import sinks
+    train, test, cols = _prepared(spark, sf, "inventory")
+    tr, _ = M.assemble(train, cols)
+    m = M.fit_final(tr, "inventory", "RandomForest", M.draw_params(M.GRIDS["inventory"]["RandomForest"], 1)[0])
+    path = sinks.save_model(M.pipeline_model(cols, m), sinks.new_path(spark, "task_d_inventory_model"))
+    return PipelineModel.load(path).transform(test).select("order_id", "prediction")
