@@ -34,8 +34,14 @@ def corr_pairs(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     a = df.select(arr.alias("_a")).select("_a", F.posexplode("_a").alias("i", "xi"))
     b = a.select("i", "xi", F.posexplode(F.slice("_a", F.col("i") + 2, k)).alias("_o", "xj"))
     b = b.select("i", (F.col("i") + 1 + F.col("_o")).alias("j"), "xi", "xj")
-    g = b.groupBy("i", "j").agg(F.corr("xi", "xj").alias("_r"))
-    r = F.nanvl(F.col("_r"), F.lit(None).cast("double"))
+    # Pairwise-complete moments; ``corr`` itself raises on a zero variance
+    # under ANSI mode, so the division is guarded here.
+    both = F.col("xi").isNotNull() & F.col("xj").isNotNull()
+    xi, xj = F.when(both, F.col("xi")), F.when(both, F.col("xj"))
+    g = b.groupBy("i", "j").agg(F.covar_samp(xi, xj).alias("_c"), F.stddev_samp(xi).alias("_sx"),
+                                F.stddev_samp(xj).alias("_sy"))
+    den = F.col("_sx") * F.col("_sy")
+    r = F.when(den > 0, F.least(F.greatest(F.col("_c") / den, F.lit(-1.0)), F.lit(1.0)))
     return g.select("i", "j", F.element_at(names, F.col("i") + 1).alias("var1"),
                     F.element_at(names, F.col("j") + 1).alias("var2"),
                     r.alias("correlation"), F.abs(r).alias("abs_corr"))

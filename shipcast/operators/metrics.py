@@ -26,7 +26,7 @@ def f1_weighted(df: DataFrame, label: str = "label", pred: str = "prediction") -
     per = sup.join(prd, "c", "full").join(tp, "c", "left").fillna(0, ["support", "predicted", "tp"])
     f1 = F.when(F.col("support") + F.col("predicted") > 0,
                 2 * F.col("tp") / (F.col("support") + F.col("predicted"))).otherwise(0.0)
-    return per.agg((F.sum(f1 * F.col("support")) / F.sum("support")).alias("f1_weighted"),
+    return per.agg(F.try_divide(F.sum(f1 * F.col("support")), F.sum("support")).alias("f1_weighted"),
                    F.sum("support").alias("n"))
 
 
@@ -38,9 +38,9 @@ def regression_metrics(df: DataFrame, label: str = "label", pred: str = "predict
                F.avg(F.when(y != 0, F.abs(e / y))).alias("_mape"), F.avg(y).alias("_ybar"),
                F.sum(y * y).alias("_syy"), F.sum(y).alias("_sy"))
     sst = F.col("_syy") - F.col("_sy") * F.col("_sy") / F.col("n")
-    return s.select("n", F.sqrt(F.col("_sse") / F.col("n")).alias("rmse"), "mae",
+    return s.select("n", F.sqrt(F.try_divide(F.col("_sse"), F.col("n"))).alias("rmse"), "mae",
                     (F.col("_mape") * 100).alias("mape"),
-                    (1 - F.col("_sse") / sst).alias("r2"))
+                    (1 - F.try_divide(F.col("_sse"), sst)).alias("r2"))
 
 
 def business_cost(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
@@ -88,4 +88,5 @@ def hard_label_auc(df: DataFrame, label: str = "label", pred: str = "prediction"
                F.count_if(F.col(label) == 1).alias("p"),
                F.count_if((F.col(label) == 0) & (F.col(pred) == 0)).alias("tn"),
                F.count_if(F.col(label) == 0).alias("q"))
-    return s.select(((F.col("tp") / F.col("p") + F.col("tn") / F.col("q")) / 2).alias("auc_hard_label"))
+    return s.select(((F.try_divide(F.col("tp"), F.col("p")) + F.try_divide(F.col("tn"), F.col("q"))) / 2)
+                    .alias("auc_hard_label"))

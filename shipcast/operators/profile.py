@@ -109,7 +109,7 @@ def flag_rates(train: DataFrame, cols: Sequence[str] = FLAG_COLUMNS) -> DataFram
                     *[F.count_if(F.col(c) == 1).alias(c) for c in cols])
     long = stack(row, cols, by=["_n"], value="n_flagged", cast="long")
     return long.select("column", "n_flagged", F.col("_n").alias("n_rows"),
-                       (F.col("n_flagged").cast("double") * 100 / F.col("_n")).alias("pct"))
+                       F.try_divide(F.col("n_flagged").cast("double") * 100, F.col("_n")).alias("pct"))
 
 
 def fixed_bucket_counts(train: DataFrame, buckets: dict | None = None) -> DataFrame:
@@ -227,7 +227,7 @@ def route_median_report(train: DataFrame, col: str = "api_lead_time_days",
     glob = quantiles_wide(train, [col], [0.5], names={(col, 0.5): "global_median"})
     return (spread.crossJoin(glob)
             .select("n_routes", "global_median", "route_std",
-                    (F.col("route_std") / F.col("global_median") * 100).alias("pct_of_global")))
+                    (F.try_divide(F.col("route_std"), F.col("global_median")) * 100).alias("pct_of_global")))
 
 
 def missing_summary(df: DataFrame, k: int | None = None) -> DataFrame:
@@ -376,7 +376,7 @@ def winsor_effect(train: DataFrame, cols: Sequence[str], lower: float = 0.01,
         F.stddev_samp("x").alias("std_before"), F.stddev_samp(c).alias("std_after"),
         F.avg("x").alias("mean_before"), F.avg(c).alias("mean_after"))
     return s.select("column", "p_lo", "p_hi", "std_before", "std_after",
-                    ((1 - F.col("std_after") / F.col("std_before")) * 100).alias("reduction_pct"),
+                    ((1 - F.try_divide(F.col("std_after"), F.col("std_before"))) * 100).alias("reduction_pct"),
                     "mean_before", "mean_after")
 
 
@@ -399,7 +399,7 @@ def class_ratio(train: DataFrame, label: str = "will_be_delayed") -> DataFrame:
     """ag26: negatives / positives of a 0/1 label (the positive-class weight)."""
     return train.agg(F.count_if(F.col(label) == 0).alias("n_neg"),
                      F.count_if(F.col(label) == 1).alias("n_pos")).select(
-        "n_neg", "n_pos", (F.col("n_neg").cast("double") / F.col("n_pos")).alias("neg_pos_ratio"))
+        "n_neg", "n_pos", F.try_divide(F.col("n_neg").cast("double"), F.col("n_pos")).alias("neg_pos_ratio"))
 
 
 def preview(df: DataFrame, n: int = 20) -> DataFrame:
