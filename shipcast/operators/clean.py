@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shipcast.functions.columns import clip, numeric_columns, present
-from shipcast.operators.quantiles import medians, quantiles_wide
+from shipcast.operators.quantiles import group_and_global_medians, medians, quantiles_wide
 
 KEY = "order_id"
 
@@ -109,17 +109,27 @@ def apply_winsor(df: DataFrame, state: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- impute
 
-def fit_group_medians(train: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """Per-group train medians ``{col}__grp``, one row per key combination seen
-    in train (non-NULL keys), including groups whose values are all NULL."""
-    keys, cols = list(keys), present(train, cols)
+def _seen_keys(train: DataFrame, keys: Sequence[str]) -> DataFrame:
     cond = None
     for k in keys:
         c = F.col(k).isNotNull()
         cond = c if cond is None else cond & c
-    seen = train.where(cond).groupBy(*keys).agg(F.lit(True).alias("_seen"))
+    return train.where(cond).groupBy(*keys).agg(F.lit(True).alias("_seen"))
+
+
+def fit_group_medians(train: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """Per-group train medians ``{col}__grp``, one row per key combination seen
+    in train (non-NULL keys), including groups whose values are all NULL."""
+    keys, cols = list(keys), present(train, cols)
     med = medians(train, cols, by=keys, suffix="__grp")
-    return seen.join(med, keys, "left")
+    return _seen_keys(train, keys).join(med, keys, "left")
+
+
+def fit_group_and_global(train: DataFrame, keys: Sequence[str], cols: Sequence[str]):
+    """(group state, one-row global state) from one ranked sort of train."""
+    keys, cols = list(keys), present(train, cols)
+    grp, glob = group_and_global_medians(train, cols, keys)
+    return _seen_keys(train, keys).join(grp, keys, "left"), glob
 
 
 def fit_global_medians(train: DataFrame, cols: Sequence[str], suffix: str = "__glob") -> DataFrame:
@@ -158,8 +168,7 @@ def impute_by_group(train: DataFrame, df: DataFrame, spec: str) -> DataFrame:
     cols = present(train, cols)
     if not cols:
         return df
-    gs = fit_group_medians(train, keys, cols)
-    gl = fit_global_medians(train, cols)
+    gs, gl = fit_group_and_global(train, keys, cols)
     return apply_group_medians(df, gs, gl, keys, cols, all_null_group_falls_back=(spec == "category"))
 
 
@@ -173,8 +182,7 @@ def fill_own_group_median(df: DataFrame, keys: Sequence[str], cols: Sequence[str
 
 def impute_by_group_frame(fit_on: DataFrame, df: DataFrame, keys, cols) -> DataFrame:
     cols = present(fit_on, cols)
-    gs = fit_group_medians(fit_on, keys, cols)
-    gl = fit_global_medians(fit_on, cols)
+    gs, gl = fit_group_and_global(fit_on, keys, cols)
     return apply_group_medians(df, gs, gl, keys, cols, all_null_group_falls_back=True)
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shipcast.functions.columns import clip, numeric_columns, pct_round2, present, string_columns
-from shipcast.operators.quantiles import quantiles_long, quantiles_wide
+from shipcast.operators.quantiles import group_and_global_quantiles, quantiles_long, quantiles_wide
 
 # Column groups the profile reads (reference names).
 TARGETS = ("supply_chain_disruption_risk", "realistic_total_cost", "will_be_delayed",
@@ -202,12 +202,11 @@ def group_medians(train: DataFrame, specs: dict | None = None) -> DataFrame:
         cols = present(train, cols)
         if not cols:
             continue
-        q = quantiles_long(train, cols, [0.5], by=keys)
+        q, g = group_and_global_quantiles(train, cols, [0.5], keys)
         k1 = F.col(keys[0]).cast("string")
         k2 = F.col(keys[1]).cast("string") if len(keys) > 1 else F.lit(None).cast("string")
         parts.append(q.select(F.lit(grouping).alias("grouping"), k1.alias("key1"), k2.alias("key2"),
                               "column", F.col("value").alias("median")))
-        g = quantiles_long(train, cols, [0.5])
         parts.append(g.select(F.lit(f"{grouping}:global").alias("grouping"),
                               F.lit(None).cast("string").alias("key1"),
                               F.lit(None).cast("string").alias("key2"),

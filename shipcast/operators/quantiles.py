@@ -69,29 +69,47 @@ def _by_agg(df: DataFrame, cols, probs, by) -> DataFrame:
                       F.inline(F.arrays_zip(parr.alias("p"), F.col("_v").alias("value"))))
 
 
-def _by_rank(df: DataFrame, cols, probs, by, broadcast_targets) -> DataFrame:
+def _by_rank(df: DataFrame, cols, probs, by, broadcast_targets, with_global: bool = False) -> DataFrame:
     spark = df.sparkSession
     nparts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    gk = [*by, "column"]
-    # The salt is a hash of the input row position: deterministic on retry,
-    # unique per row, and it spreads runs of equal values over partitions.
-    base =df.select(*by, *cols).withColumn("_salt", F.xxhash64(F.monotonically_increasing_id()))
+    # The salt is a hash of the input row position; it spreads runs of equal
+    # values over range partitions.  (The numbered table is checkpointed, so
+    # its values never need to be recomputed consistently.)
+    base = df.select(*by, *cols).withColumn("_salt", F.xxhash64(F.monotonically_increasing_id()))
+    keycond = None
+    for b in by:
+        c = F.col(b).isNotNull()
+        keycond = c if keycond is None else keycond & c
+    if with_global:
+        # Each value is ranked twice in the same sort: within its group
+        # (_lvl 0) and within the whole column (_lvl 1, group keys NULL).
+        lvl = F.explode(F.array(F.lit(0), F.lit(1))).alias("_lvl")
+        base = base.select("*", lvl)
+        if keycond is not None:
+            base = base.where((F.col("_lvl") == 1) | keycond)
+        base = base.select(*[F.when(F.col("_lvl") == 0, F.col(b)).alias(b) for b in by],
+                           *cols, "_salt", "_lvl")
+        gk = ["_lvl", *by, "column"]
+        lead = ["_lvl", *by]
+    else:
+        if keycond is not None:
+            base = base.where(keycond)
+        gk = [*by, "column"]
+        lead = [*by]
     if len(cols) == 1:
-        long = base.select(*by, "_salt", F.lit(cols[0]).alias("column"),
+        long = base.select(*lead, "_salt", F.lit(cols[0]).alias("column"),
                            F.col(cols[0]).cast("double").alias("x"))
     else:
         pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x"))
                           for c in cols])
-        long = base.select(*by, "_salt", F.inline(pairs))
-    cond = F.col("x").isNotNull() & ~F.isnan("x")
-    for b in by:
-        cond = cond & F.col(b).isNotNull()
-    long = long.where(cond)
+        long = base.select(*lead, "_salt", F.inline(pairs))
+    long = long.where(F.col("x").isNotNull() & ~F.isnan("x"))
 
     ordered = (long.repartitionByRange(nparts, *gk, "x", "_salt")
                .sortWithinPartitions(*gk, "x", "_salt")
                .withColumn("_pid", F.spark_partition_id())
-               .withColumn("_mid", F.monotonically_increasing_id()))
+               .withColumn("_mid", F.monotonically_increasing_id())
+               .drop("_salt"))
     # The numbering is read twice (counts, then the fetch).  Two evaluations
     # could sample different range bounds, so it is materialised once with a
     # reliable checkpoint in the shared folder (a narrow table).
@@ -116,13 +134,13 @@ def _by_rank(df: DataFrame, cols, probs, by, broadcast_targets) -> DataFrame:
         hits = h if hits is None else hits.unionByName(h)
     if broadcast_targets:
         hits = F.broadcast(hits)
-    got = ordered.select("_mid", "x").join(hits, "_mid")
+    got = ordered.select("_mid", "x").join(hits, "_mid")  # hits: 2 rows per (group, p)
     agg = got.groupBy(*gk, "p").agg(
         F.max("_pos").alias("_pos"),
         F.max(F.when(F.col("_which") == "lo", F.col("x"))).alias("_lo"),
         F.max(F.when(F.col("_which") == "hi", F.col("x"))).alias("_hi"))
     frac = F.col("_pos") - F.floor("_pos")
-    return agg.select(*by, "column", "p",
+    return agg.select(*(["_lvl"] if with_global else []), *by, "column", "p",
                       (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * frac).alias("value"))
 
 
@@ -163,3 +181,32 @@ def medians(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), suffix:
     """Per-group (or global) medians, one column ``{col}{suffix}`` each."""
     names = {(c, 0.5): f"{c}{suffix}" for c in cols}
     return quantiles_wide(df, cols, [0.5], by, strategy, broadcast_targets, names)
+
+
+def group_and_global_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                               by: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Per-group and global quantiles from one ranked sort: returns
+    (rows (by..., column, p, value), rows (column, p, value))."""
+    cols, by = list(cols), list(by)
+    if _strategy(df, None) == "agg":
+        return _by_agg(df, cols, probs, by), _by_agg(df, cols, probs, [])
+    both = _by_rank(df, cols, probs, by, broadcast_targets=False, with_global=True)
+    grp = both.where(F.col("_lvl") == 0).drop("_lvl")
+    glob = both.where(F.col("_lvl") == 1).drop("_lvl", *by)
+    return grp, glob
+
+
+def _wide(long: DataFrame, cols, probs, by, names) -> DataFrame:
+    aggs = [F.max(F.when((F.col("column") == c) & (F.col("p") == float(p)), F.col("value")))
+            .alias(names.get((c, p), qname(c, p))) for c in cols for p in probs]
+    return long.groupBy(*by).agg(*aggs)
+
+
+def group_and_global_medians(df: DataFrame, cols: Sequence[str], by: Sequence[str],
+                             group_suffix: str = "__grp", global_suffix: str = "__glob"):
+    """(per-group medians ``{c}{group_suffix}``, one-row global medians
+    ``{c}{global_suffix}``) from a single ranked sort."""
+    cols, by = list(cols), list(by)
+    grp, glob = group_and_global_quantiles(df, cols, [0.5], by)
+    return (_wide(grp, cols, [0.5], by, {(c, 0.5): f"{c}{group_suffix}" for c in cols}),
+            _wide(glob, cols, [0.5], [], {(c, 0.5): f"{c}{global_suffix}" for c in cols}))

@@ -101,4 +101,9 @@ def long_sql(cols, value_expr: str = "CAST({c} AS DOUBLE)", source: str = "train
 
 
 # Importing the query modules fills the registry.
-from shipcast.plans import queries_clean, queries_features, queries_ml, queries_profile  # noqa: E402,F401
+# Order matters only for reading: SQL-checked profile, cleaning and feature
+# queries first, model fits (slowest, rows-only) last.
+from shipcast.plans import queries_profile  # noqa: E402,F401,I001
+from shipcast.plans import queries_clean  # noqa: E402,F401
+from shipcast.plans import queries_features  # noqa: E402,F401
+from shipcast.plans import queries_ml  # noqa: E402,F401

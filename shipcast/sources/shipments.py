@@ -57,13 +57,15 @@ def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    F.col("n_regionkey").alias("cn_region")))
     r = F.broadcast(region)
 
+    # Dimensions are completed first (nation/region are map-side broadcast
+    # lookups), so the large order side meets exactly one join per dimension.
+    supp = s.join(sn, F.col("sn_key") == F.col("s_nationkey"), "left")
+    cust = (c.join(cn, F.col("cn_key") == F.col("c_nationkey"), "left")
+            .join(r, F.col("r_regionkey") == F.col("cn_region"), "left"))
     j = (o.join(li, o.o_orderkey == li.l_orderkey, "left")
          .join(p, F.col("p_partkey") == F.col("partkey"), "left")
-         .join(s, F.col("s_suppkey") == F.col("suppkey"), "left")
-         .join(sn, F.col("sn_key") == F.col("s_nationkey"), "left")
-         .join(c, F.col("c_custkey") == F.col("o_custkey"), "left")
-         .join(cn, F.col("cn_key") == F.col("c_nationkey"), "left")
-         .join(r, F.col("r_regionkey") == F.col("cn_region"), "left"))
+         .join(supp, F.col("s_suppkey") == F.col("suppkey"), "left")
+         .join(cust, F.col("c_custkey") == F.col("o_custkey"), "left"))
 
     key = F.col("o_orderkey")
     od = F.col("o_orderdate")
