@@ -21,7 +21,7 @@ from __future__ import annotations
 import random
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shipcast.operators.split import rank_rows
@@ -54,25 +54,39 @@ def smote(df: DataFrame, label: str, feature_cols: Sequence[str], k: int = K_NEI
     base = df.withColumn(key, F.xxhash64(*[F.col(c) for c in df.columns]))
     ranked = rank_rows(base, [proj, F.col(key)], by=[label])  # adds _rank, _n (class size)
 
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_size"))
-    # One row per class: a broadcast of proven size.
-    need = sizes.withColumn("_m", F.max("_size").over(Window.partitionBy(F.lit(0))) - F.col("_size"))
-    carry = [c for c in ("fold",) if c in df.columns]
-    src = ranked.join(F.broadcast(need.select(label, "_m")), label).where(F.col("_rank") < F.col("_m"))
-    # Base row at rank r makes copies t = r, r + n, r + 2n, ... < m.
-    copies = src.select(label, "_rank", "_n", *carry,
-                        F.explode(F.sequence(F.col("_rank"), F.col("_m") - 1, F.col("_n"))).alias("_t"),
-                        F.array(*[F.col(c).cast("double") for c in feature_cols]).alias("_x"))
+    # Class sizes are plan metadata (one row per class).
+    sizes = {r[0]: r[1] for r in df.groupBy(label).agg(F.count(F.lit(1))).collect()}
+    n_max = max(sizes.values()) if sizes else 0
+    spark = df.sparkSession
+    nparts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    lab_type = df.schema[label].dataType
+    idx = None
+    for cls, n in sizes.items():
+        m = n_max - n
+        if m <= 0 or cls is None:
+            continue
+        # Synthetic indices t = 0..m-1, spread evenly over tasks; base row is
+        # rank t mod n, so a tiny class with a huge deficit is not one task.
+        part = spark.range(0, m, 1, max(1, min(nparts, m // 10000 + 1))).select(
+            F.lit(cls).cast(lab_type).alias(label), F.col("id").alias("_t"),
+            F.lit(n).cast("long").alias("_n"))
+        idx = part if idx is None else idx.unionByName(part)
+    if idx is None:
+        return df.withColumn(synthetic_col, F.lit(0))
     offs = F.array(*[F.lit(o) for o in _offsets(k)])
     h = F.xxhash64(F.col(label), F.col("_t"), F.lit(seed))
-    copies = copies.select(
-        "*",
-        F.pmod(F.col("_rank") + F.element_at(offs, (F.pmod(h, F.lit(k)) + 1).cast("int")), F.col("_n"))
-        .alias("_nr"),
+    idx = idx.select(
+        label, "_t",
+        F.pmod(F.col("_t"), F.col("_n")).alias("_rank"),
+        F.pmod(F.pmod(F.col("_t"), F.col("_n")) + F.element_at(offs, (F.pmod(h, F.lit(k)) + 1).cast("int")),
+               F.col("_n")).alias("_nr"),
         (F.pmod(F.xxhash64(h, F.lit(1)), F.lit(1 << 30)) / float(1 << 30)).alias("_u"))
-    nbr = ranked.select(label, F.col("_rank").alias("_nr"),
-                        F.array(*[F.col(c).cast("double") for c in feature_cols]).alias("_y"))
-    syn = copies.join(nbr, [label, "_nr"])
+    carry = [c for c in ("fold",) if c in df.columns]
+    feats = F.array(*[F.col(c).cast("double") for c in feature_cols])
+    base_rows = ranked.select(label, "_rank", *carry, feats.alias("_x"))
+    nbr = ranked.select(label, F.col("_rank").alias("_nr"), feats.alias("_y"))
+    # Equi-joins on (class, rank); AQE splits a hot key on the index side.
+    syn = idx.join(base_rows, [label, "_rank"]).join(nbr, [label, "_nr"])
     mixed = F.zip_with("_x", "_y", lambda a, b: a + F.col("_u") * (b - a))
     syn = syn.select(label, *carry, mixed.alias("_z"))
     out_cols = []
