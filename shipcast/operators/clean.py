@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shipcast.functions.columns import clip, numeric_columns, present
-from shipcast.operators.quantiles import group_and_global_medians, medians, quantiles_wide
+from shipcast.operators.quantiles import (group_and_global_medians, medians, multi_group_medians,
+                                         quantiles_wide)
 
 KEY = "order_id"
 
@@ -228,3 +229,36 @@ def apply_scalars(df: DataFrame, state: DataFrame, exprs: dict) -> DataFrame:
     join of a single row), keeping df's columns."""
     j = df.crossJoin(F.broadcast(state))
     return j.select(*[F.col(c) for c in df.columns], *[e.alias(n) for n, e in exprs.items()])
+
+
+def fit_impute_specs(train: DataFrame, specs: dict = IMPUTE_SPECS) -> dict:
+    """Fits of cl03-cl05 together: {spec: (group state, one-row global state)}.
+
+    The three steps fill disjoint column sets (lead times, costs, stock days),
+    so each step's medians are the same whether computed before or after the
+    other steps' fills; one ranked sort computes all of them."""
+    specs = {n: (list(k), present(train, c)) for n, (k, c) in specs.items() if present(train, c)}
+    long = multi_group_medians(train, specs)
+    out = {}
+    for name, (keys, cols) in specs.items():
+        grp, glob = long[name]
+        types = {k: train.schema[k].dataType for k in keys}
+        gw = grp.groupBy(*keys).agg(*[F.max(F.when(F.col("column") == c, F.col("value"))).alias(f"{c}__grp")
+                                      for c in cols])
+        gw = gw.select(*[F.col(k).cast(types[k]).alias(k) for k in keys], *[f"{c}__grp" for c in cols])
+        gl = glob.agg(*[F.max(F.when(F.col("column") == c, F.col("value"))).alias(f"{c}__glob") for c in cols])
+        out[name] = (_seen_keys(train, keys).join(gw, keys, "left"), gl)
+    return out
+
+
+def impute_all_groups(train: DataFrame, df: DataFrame, specs: dict = IMPUTE_SPECS) -> DataFrame:
+    """cl03, cl04, cl05 in order, fitted in one pass over train."""
+    fits = fit_impute_specs(train, specs)
+    out = df
+    for name in ("route", "product", "category"):
+        if name not in fits:
+            continue
+        keys, cols = specs[name]
+        gs, gl = fits[name]
+        out = apply_group_medians(out, gs, gl, keys, cols, all_null_group_falls_back=(name == "category"))
+    return out

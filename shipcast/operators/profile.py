@@ -194,26 +194,24 @@ def numeric_summary(train: DataFrame, cols: Sequence[str], pop_std: bool = False
 
 def group_medians(train: DataFrame, specs: dict | None = None) -> DataFrame:
     """ag12: long form (grouping, key1, key2, column, median) of the imputation
-    medians: per route, per product, per category, and global."""
+    medians: per route, per product, per category, and global.  All
+    groupings come from one ranked sort (``multi_group_medians``)."""
     from shipcast.operators.clean import IMPUTE_SPECS
+    from shipcast.operators.quantiles import multi_group_medians
     specs = specs or IMPUTE_SPECS
-    parts = []
-    for grouping, (keys, cols) in specs.items():
-        cols = present(train, cols)
-        if not cols:
-            continue
-        q, g = group_and_global_quantiles(train, cols, [0.5], keys)
-        k1 = F.col(keys[0]).cast("string")
+    specs = {n: (list(k), present(train, c)) for n, (k, c) in specs.items() if present(train, c)}
+    res = multi_group_medians(train, specs)
+    out = None
+    for grouping, (keys, _cols) in specs.items():
+        q, g = res[grouping]
         k2 = F.col(keys[1]).cast("string") if len(keys) > 1 else F.lit(None).cast("string")
-        parts.append(q.select(F.lit(grouping).alias("grouping"), k1.alias("key1"), k2.alias("key2"),
-                              "column", F.col("value").alias("median")))
-        parts.append(g.select(F.lit(f"{grouping}:global").alias("grouping"),
-                              F.lit(None).cast("string").alias("key1"),
-                              F.lit(None).cast("string").alias("key2"),
-                              "column", F.col("value").alias("median")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        part = q.select(F.lit(grouping).alias("grouping"), F.col(keys[0]).cast("string").alias("key1"),
+                        k2.alias("key2"), "column", F.col("value").alias("median"))
+        part = part.unionByName(g.select(F.lit(f"{grouping}:global").alias("grouping"),
+                                         F.lit(None).cast("string").alias("key1"),
+                                         F.lit(None).cast("string").alias("key2"),
+                                         "column", F.col("value").alias("median")))
+        out = part if out is None else out.unionByName(part)
     return out
 
 

@@ -70,8 +70,6 @@ def _by_agg(df: DataFrame, cols, probs, by) -> DataFrame:
 
 
 def _by_rank(df: DataFrame, cols, probs, by, broadcast_targets, with_global: bool = False) -> DataFrame:
-    spark = df.sparkSession
-    nparts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     # The salt is a hash of the input row position; it spreads runs of equal
     # values over range partitions.  (The numbered table is checkpointed, so
     # its values never need to be recomputed consistently.)
@@ -105,6 +103,14 @@ def _by_rank(df: DataFrame, cols, probs, by, broadcast_targets, with_global: boo
         long = base.select(*lead, "_salt", F.inline(pairs))
     long = long.where(F.col("x").isNotNull() & ~F.isnan("x"))
 
+    out = _rank_long(long, gk, probs, broadcast_targets)
+    return out.select(*(["_lvl"] if with_global else []), *by, "column", "p", "value")
+
+
+def _rank_long(long: DataFrame, gk: list, probs, broadcast_targets) -> DataFrame:
+    """Quantiles of ``x`` per ``gk`` from a stacked table with columns
+    gk..., x, _salt: rows (gk..., p, value)."""
+    nparts = int(long.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     ordered = (long.repartitionByRange(nparts, *gk, "x", "_salt")
                .sortWithinPartitions(*gk, "x", "_salt")
                .withColumn("_pid", F.spark_partition_id())
@@ -140,8 +146,8 @@ def _by_rank(df: DataFrame, cols, probs, by, broadcast_targets, with_global: boo
         F.max(F.when(F.col("_which") == "lo", F.col("x"))).alias("_lo"),
         F.max(F.when(F.col("_which") == "hi", F.col("x"))).alias("_hi"))
     frac = F.col("_pos") - F.floor("_pos")
-    return agg.select(*(["_lvl"] if with_global else []), *by, "column", "p",
-                      (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * frac).alias("value"))
+    return agg.select(*gk, "p", (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * frac).alias("value"))
+
 
 
 def quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
@@ -210,3 +216,44 @@ def group_and_global_medians(df: DataFrame, cols: Sequence[str], by: Sequence[st
     grp, glob = group_and_global_quantiles(df, cols, [0.5], by)
     return (_wide(grp, cols, [0.5], by, {(c, 0.5): f"{c}{group_suffix}" for c in cols}),
             _wide(glob, cols, [0.5], [], {(c, 0.5): f"{c}{global_suffix}" for c in cols}))
+
+
+def multi_group_medians(df: DataFrame, specs: dict) -> dict:
+    """Medians for several groupings at once: ``specs`` maps a name to
+    (keys, cols).  One stacked table holds, for every spec, each value under
+    its group key and under the global marker, and one ranked sort serves
+    them all.  Returns {name: (group rows (keys..., column, value),
+    global rows (column, value))}; group keys come back as strings."""
+    parts = []
+    base = df.withColumn("_salt", F.xxhash64(F.monotonically_increasing_id()))
+    for name, (keys, cols) in specs.items():
+        keys = list(keys)
+        cols = [c for c in cols if c in df.columns]
+        if not cols:
+            continue
+        k1 = F.col(keys[0]).cast("string")
+        k2 = F.col(keys[1]).cast("string") if len(keys) > 1 else F.lit("").cast("string")
+        pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in cols])
+        lvl = F.explode(F.array(F.lit(0), F.lit(1))).alias("_lvl")
+        st = base.select(k1.alias("_k1"), k2.alias("_k2"), "_salt", pairs.alias("_p")).select("*", lvl)
+        st = st.where((F.col("_lvl") == 1) | (F.col("_k1").isNotNull() & F.col("_k2").isNotNull()))
+        st = st.select(F.lit(name).alias("_spec"), "_lvl",
+                       F.when(F.col("_lvl") == 0, F.col("_k1")).alias("_k1"),
+                       F.when(F.col("_lvl") == 0, F.col("_k2")).alias("_k2"), "_salt", F.inline("_p"))
+        parts.append(st.where(F.col("x").isNotNull() & ~F.isnan("x")))
+    if not parts:
+        return {}
+    long = parts[0]
+    for p in parts[1:]:
+        long = long.unionByName(p)
+    res = _rank_long(long, ["_spec", "_lvl", "_k1", "_k2", "column"], [0.5], broadcast_targets=False)
+    out = {}
+    for name, (keys, cols) in specs.items():
+        r = res.where(F.col("_spec") == name)
+        keys = list(keys)
+        grp = r.where(F.col("_lvl") == 0).select(
+            F.col("_k1").alias(keys[0]), *([F.col("_k2").alias(keys[1])] if len(keys) > 1 else []),
+            "column", "value")
+        glob = r.where(F.col("_lvl") == 1).select("column", "value")
+        out[name] = (grp, glob)
+    return out

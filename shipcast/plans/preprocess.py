@@ -41,8 +41,7 @@ def run_pipeline(df: DataFrame, task: str = "all", max_one_hot: int = E.MAX_ONE_
     out = C.null_negatives(out)                                       # cl01
     out = C.apply_winsor(out, C.fit_winsor(_train(out)))              # cl02
     out = _cut(out)
-    for spec in ("route", "product", "category"):                     # cl03-cl05
-        out = C.impute_by_group(_train(out), out, spec)
+    out = C.impute_all_groups(_train(out), out)                       # cl03-cl05
     out = _cut(out)
     out = C.apply_global_fill(out, _train(out), exclude=(KEY,))       # cl06
     out = FE.engineer(out, _train(out))                               # fe01-fe12

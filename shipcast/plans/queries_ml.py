@@ -336,3 +336,13 @@ def io11(spark, sf):
     m = M.fit_final(tr, "inventory", "RandomForest", M.draw_params(M.GRIDS["inventory"]["RandomForest"], 1)[0])
     path = sinks.save_model(M.pipeline_model(cols, m), sinks.new_path(spark, "task_d_inventory_model"))
     return PipelineModel.load(path).transform(test).select("order_id", "prediction")
+
+
+@register("ml22_assemble")
+def ml22(spark, sf):
+    """Processed numeric columns of the risk task as one dense vector per order."""
+    from pyspark.ml.functions import vector_to_array
+    from shipcast.operators import models as M
+    train, _, cols = _prepared(spark, sf, "risk")
+    v, _ = M.assemble(train, cols)
+    return v.select("order_id", vector_to_array("features").alias("features"))
