@@ -67,13 +67,14 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 
 
 def _ship(spark, sf):
-    from shipcast.sources.shipments import shipments
-    return shipments(spark, sf)
+    """The order table (written once per application, then scanned)."""
+    from shipcast.sources.shipments import shipments_table
+    return shipments_table(spark, sf)
 
 
 def _train(spark, sf):
-    from shipcast.sources.shipments import shipments, train_test
-    return train_test(shipments(spark, sf))[0]
+    from shipcast.sources.shipments import train_test
+    return train_test(_ship(spark, sf))[0]
 
 
 # ------------------------------------------------------------- SQL helpers

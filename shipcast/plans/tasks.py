@@ -18,7 +18,7 @@ from shipcast.operators import models as M
 from shipcast.operators import split as S
 from shipcast.operators.oversample import smote
 from shipcast.plans.preprocess import run_pipeline
-from shipcast.sources.shipments import shipments
+from shipcast.sources.shipments import shipments_table
 
 KEY = "order_id"
 
@@ -40,7 +40,7 @@ def prepare(spark: SparkSession, sf_dir: str, task: str):
 
 
 def _prepare(spark: SparkSession, sf_dir: str, task: str):
-    ship = shipments(spark, sf_dir)
+    ship = shipments_table(spark, sf_dir)
     processed = run_pipeline(ship, task)
     lab = M.LABEL[task]
     labels = ship.select(KEY, lab)

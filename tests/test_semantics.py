@@ -151,3 +151,19 @@ def test_hot_value_quantile(spark):
     xs = np.array([float(i) if i % 3 == 0 else 7.0 for i in range(20000)])
     assert math.isclose(got["x__q05000"], float(np.quantile(xs, 0.5)))
     assert math.isclose(got["x__q09000"], float(np.quantile(xs, 0.9)))
+
+
+def test_one_hot_vector_path_drops_first(spark):
+    """Past max_columns a column becomes one sparse vector with the same
+    drop-first and unseen/NULL rules as the explicit columns."""
+    from pyspark.ml.functions import vector_to_array
+    train = spark.createDataFrame([("a",), ("b",), ("c",)], "g string")
+    test = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, "d"), (5, None)], "k int, g string")
+    vocab = E.fit_vocabulary(train, ["g"], max_columns=2)
+    assert vocab == {"g": None}
+    out = E.apply_one_hot(test, vocab, train).select("k", vector_to_array("g_vec").alias("v")).orderBy("k")
+    vecs = [r.v for r in out.collect()]
+    assert all(len(v) == 2 for v in vecs)
+    assert vecs[0] == [0.0, 0.0]                       # first category dropped
+    assert sorted(map(tuple, vecs[1:3])) == [(0.0, 1.0), (1.0, 0.0)]  # b and c one slot each
+    assert vecs[3] == [0.0, 0.0] and vecs[4] == [0.0, 0.0]  # unseen and NULL
