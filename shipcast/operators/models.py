@@ -124,7 +124,9 @@ def _estimator(family: str, kind: str, params: dict, weight_col: str | None, n_r
             return GBTRegressor(**kw)
         if kind == "binary":
             return GBTClassifier(weightCol=weight_col, **kw) if weight_col else GBTClassifier(**kw)
-        return OneVsRest(classifier=GBTClassifier(**kw), labelCol="label", featuresCol="features")
+        # The per-class models are independent Spark jobs: fit them together.
+        return OneVsRest(classifier=GBTClassifier(**kw), labelCol="label", featuresCol="features",
+                         parallelism=3)
     if family == "Logistic":
         # sklearn minimises C * sum(loss) + |w|^2 / 2; Spark minimises
         # mean(loss) + regParam * |w|^2 / 2, so regParam = 1 / (C * n).
