@@ -18,7 +18,6 @@ from __future__ import annotations
 import itertools
 import random
 
-from pyspark.ml import Pipeline
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, OneVsRest,
                                        RandomForestClassifier)
 from pyspark.ml.evaluation import (BinaryClassificationEvaluator, Evaluator,
@@ -216,7 +215,7 @@ def score(model, df: DataFrame, task: str) -> DataFrame:
     return out
 
 
-def pipeline_model(assembler_cols: list[str], model) -> "Pipeline":
+def pipeline_model(assembler_cols: list[str], model):
     """io11 helper: assembler + fitted learner as one savable pipeline."""
     from pyspark.ml import PipelineModel
     va = VectorAssembler(inputCols=assembler_cols, outputCol="features", handleInvalid="keep")

@@ -13,11 +13,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shipcast.functions.columns import clip, numeric_columns, pct_round2, present, string_columns
-from shipcast.operators.quantiles import group_and_global_quantiles, quantiles_long, quantiles_wide
+from shipcast.operators.quantiles import quantiles_long, quantiles_wide
 
 # Column groups the profile reads (reference names).
 TARGETS = ("supply_chain_disruption_risk", "realistic_total_cost", "will_be_delayed",
@@ -85,12 +85,13 @@ def value_share(train: DataFrame, cols: Sequence[str], nonnull_denominator: bool
     cols = present(train, cols)
     long = stack(train, cols, value="value", cast="string")
     counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    # Denominators: one row per column (a proven broadcast size), aggregated
+    # separately so a column with very many values is never one task.
     if nonnull_denominator:
-        denom = F.sum(F.when(F.col("value").isNotNull(), F.col("n"))).over(Window.partitionBy("column"))
+        denom = long.groupBy("column").agg(F.count("value").alias("_d"))
     else:
-        denom = F.sum("n").over(Window.partitionBy("column"))
-    # The window runs over the grouped counts (one row per distinct value).
-    return (counts.withColumn("_d", denom).where(F.col("value").isNotNull())
+        denom = long.groupBy("column").agg(F.count(F.lit(1)).alias("_d"))
+    return (counts.where(F.col("value").isNotNull()).join(F.broadcast(denom), "column")
             .select("column", "value", "n",
                     (F.col("n").cast("double") * 100 / F.col("_d")).alias("pct")))
 
