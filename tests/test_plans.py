@@ -8,9 +8,22 @@ import __spark_entry__ as entry
 
 
 def test_scan_reads_only_needed_columns(spark):
+    """A two-column rule reads two columns of the order table, and the train
+    filter reaches the scan as a partition filter on ``split``."""
     df = entry.queries()["pj08_cross_column_rule"](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
+    assert schemas and all(set(re.findall(r"(\w+):", s)) <= {"realistic_total_cost", "total_cost_per_batch"}
+                           for s in schemas)
+    assert re.search(r"PartitionFilters: \[[^\]]*split", plan)
+
+
+def test_view_scans_are_pruned(spark):
+    from pyspark.sql import functions as F
+    from shipcast.sources.shipments import shipments
+    df = shipments(spark, SF_SMALL).agg(F.count_if(F.col("realistic_total_cost") < F.col("total_cost_per_batch")))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
     li = [s for s in schemas if "l_orderkey" in s]
     assert li and all("l_shipdate" not in s and "l_quantity" not in s for s in li)
     od = [s for s in schemas if "o_orderkey" in s]
