@@ -130,7 +130,8 @@ def _estimator(family: str, kind: str, params: dict, weight_col: str | None, n_r
         # sklearn minimises C * sum(loss) + |w|^2 / 2; Spark minimises
         # mean(loss) + regParam * |w|^2 / 2, so regParam = 1 / (C * n).
         reg = 1.0 / (float(p["C"]) * max(n_rows or 1, 1))
-        kw = dict(regParam=reg, elasticNetParam=0.0, maxIter=1000, standardization=False,
+        # tol 1e-4 is the reference learner's default stopping tolerance.
+        kw = dict(regParam=reg, elasticNetParam=0.0, maxIter=1000, tol=1e-4, standardization=False,
                   labelCol="label", featuresCol="features")
         return LogisticRegression(weightCol=weight_col, **kw) if weight_col else LogisticRegression(**kw)
     raise ValueError(f"unknown model family {family!r}")
@@ -169,7 +170,7 @@ def evaluator(task: str, metric: str | None = None):
 
 
 def random_search(train: DataFrame, task: str, family: str, n_iter: int | None = None,
-                  grid: dict | None = None, weight_col: str | None = None, parallelism: int = 2):
+                  grid: dict | None = None, weight_col: str | None = None, parallelism: int = 4):
     """ml13: draw parameter sets, cross-validate each on ``fold``, return
     (best fitted model on all of ``train``, best params, best cv metric)."""
     grid = grid or GRIDS[task][family]

@@ -75,7 +75,7 @@ def _validate(model, val: DataFrame, task: str) -> dict:
 
 
 def run_task(spark: SparkSession, sf_dir: str, task: str, families: list[str] | None = None,
-             n_iter: int | None = None, parallelism: int = 2) -> dict:
+             n_iter: int | None = None, parallelism: int = 4) -> dict:
     """Returns {"metrics": DataFrame, "predictions": DataFrame, "model": fitted
     learner, "feature_cols": list, "best": (family, params)}."""
     train, test, cols = prepare(spark, sf_dir, task)
