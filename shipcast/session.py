@@ -8,6 +8,7 @@ setting is absent (local tests, the bench) do we point it at a fresh folder.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -49,13 +50,16 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def shared_dir(spark: SparkSession) -> str:
     """Folder shared by all executors for checkpoints and written tables.
 
-    Reads ``spark.checkpoint.dir`` (or the context's checkpoint folder); sets a
-    fresh local folder only when neither exists, which happens in local runs.
+    Reads ``spark.checkpoint.dir`` (or the context's checkpoint folder).  Only a
+    local master gets a fresh folder of its own when neither exists; a cluster
+    must name one, since executors cannot share the driver's local disk.
     """
     sc = spark.sparkContext
     path = sc.getCheckpointDir()
     if not path:
         path = sc.getConf().get("spark.checkpoint.dir", None)
+    if not path and not re.match(r"local($|\[)", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not path:
         path = tempfile.mkdtemp(prefix="shipcast-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         sc.setCheckpointDir(path)
