@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shipcast.llm import simhash
+from shipcast.llm import packing, simhash
 from shipcast.llm.common import read
 
 
+def op1_best_fit_packing(spark, sf_dir):
+    return packing.pack(read(spark, sf_dir, "documents"), capacity=2048)
+
+
 def op8_simhash_near_dedup(spark, sf_dir):
     near = simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=4, radius=4)
     return near.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op8_simhash_near_dedup,)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op8_simhash_near_dedup)}
 ORACLE: dict[str, str] = {}
