@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shipcast.llm import packing, simhash
+from shipcast.llm import mixing, packing, simhash
 from shipcast.llm.common import read
 
 
@@ -12,10 +12,20 @@ def op1_best_fit_packing(spark, sf_dir):
     return packing.pack(read(spark, sf_dir, "documents"), capacity=2048)
 
 
+def op2_source_mixing(spark, sf_dir):
+    mixed = mixing.mix(read(spark, sf_dir, "documents"))
+    first = F.try_element_at("_mix_positions", F.lit(1))
+    return mixed.select(
+        "doc_id", F.col("_mix_size").alias("size"), F.col("_mix_source_size").alias("source_size"),
+        F.col("_mix_target").alias("target"),
+        (F.col("_mix_size") * F.size("_mix_positions")).cast("long").alias("taken"),
+        first.alias("first_position")).orderBy(F.col("first_position").asc_nulls_last(), "doc_id")
+
+
 def op8_simhash_near_dedup(spark, sf_dir):
     near = simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=4, radius=4)
     return near.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op8_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_source_mixing, op8_simhash_near_dedup)}
 ORACLE: dict[str, str] = {}
