@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shipcast.llm import mixing, packing, simhash
+from shipcast.llm import mixing, packing, pii, simhash
 from shipcast.llm.common import read
 
 
@@ -27,5 +27,15 @@ def op8_simhash_near_dedup(spark, sf_dir):
     return near.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_source_mixing, op8_simhash_near_dedup)}
+def op10_pii(spark, sf_dir):
+    found = pii.find(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
+              for k in ("email", "ip", "card", "phone")]
+    return found.select("doc_id", *counts,
+                        F.sha2(F.array_join(F.transform(base, pii.label), ","), 256).alias("base_sha256"),
+                        F.array_join(F.transform("spans", pii.label), ",").alias("spans"))
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_source_mixing, op8_simhash_near_dedup, op10_pii)}
 ORACLE: dict[str, str] = {}
