@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shipcast.llm import mixing, packing, pii, simhash
+from shipcast.llm import lines, mixing, packing, pii, simhash
 from shipcast.llm.common import read
 
 
@@ -22,6 +22,40 @@ def op2_source_mixing(spark, sf_dir):
         first.alias("first_position")).orderBy(F.col("first_position").asc_nulls_last(), "doc_id")
 
 
+def op4_line_dedup(spark, sf_dir):
+    cleaned = lines.dedup(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", F.col("_ln_total").alias("n_lines"), F.col("_ln_removed").alias("n_removed"),
+                          F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+OP4_SQL = """
+WITH lines AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS raw,
+           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS line_no
+    FROM documents),
+bare AS (SELECT *, trim(raw, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS line FROM lines),
+firsts AS (
+    SELECT line, length(line) AS n, min({'doc_id': doc_id, 'line_no': line_no}) AS place
+    FROM bare WHERE line <> '' GROUP BY line),
+halves AS (
+    SELECT line, n, place, n + more AS longer, unnest([
+        'first' || left(line, CAST(floor((n + more - 1) / 2) AS INT)),
+        'last' || right(line, CAST(floor((n + more - 1) / 2) AS INT))]) AS half
+    FROM firsts, (VALUES (0), (1)) AS m(more) WHERE n >= 20),
+late AS (
+    SELECT DISTINCT a.line FROM halves a JOIN halves b
+        ON a.longer = b.longer AND a.half = b.half AND b.place < a.place
+    WHERE levenshtein(a.line, b.line) = 1),
+judged AS (
+    SELECT b.doc_id, b.line_no, b.raw, b.line = '' OR (
+        f.place = {'doc_id': b.doc_id, 'line_no': b.line_no} AND b.line NOT IN (SELECT line FROM late)) AS stays
+    FROM bare b LEFT JOIN firsts f ON b.line = f.line)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT stays) AS n_removed,
+       sha256(coalesce(string_agg(raw, chr(10) ORDER BY line_no) FILTER (stays), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+
 def op8_simhash_near_dedup(spark, sf_dir):
     near = simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=4, radius=4)
     return near.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -37,5 +71,5 @@ def op10_pii(spark, sf_dir):
                         F.array_join(F.transform("spans", pii.label), ",").alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_source_mixing, op8_simhash_near_dedup, op10_pii)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_source_mixing, op4_line_dedup, op8_simhash_near_dedup, op10_pii)}
+ORACLE = {"op4_line_dedup": OP4_SQL}
