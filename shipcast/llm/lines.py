@@ -142,7 +142,8 @@ def first_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     of_key = Window.partitionBy("key")
     other = F.when(F.col("gap").isNull(), F.min(F.when(F.col("gap").isNotNull(), me)).over(of_key)).otherwise(
         F.min(F.when(F.col("gap").isNull(), me)).over(of_key))
-    pairs = (variant_rows(held).withColumn("_same", same_gap).withColumn("_other", other)
+    # Dealt by key alone, rows serve both windows.
+    pairs = (variant_rows(held).repartition("key").withColumn("_same", same_gap).withColumn("_other", other)
              .select("_h1", "_h2", "_place", F.explode(F.array("_same", "_other")).alias("e"))
              .where(F.col("e._place") < F.col("_place"))
              .select("_h1", "_h2", F.col("e._h1").alias("_e1"), F.col("e._h2").alias("_e2")).distinct())
