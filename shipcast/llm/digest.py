@@ -113,10 +113,13 @@ def with_next(prints: DataFrame, ids: DataFrame) -> DataFrame:
     is_head = F.col("doc_id").eqNullSafe(F.col("_head"))
     dealt = (ranged(prints).join(F.broadcast(heads), "_range")
              .withColumn("_at", F.explode(F.when(is_head, F.array(own, back)).otherwise(F.array(own)))))
-    by = Window.partitionBy("_at.r").orderBy("_at.ghost", F.col("doc_id").desc_nulls_last(), F.xxhash64("text"))
-    return (dealt.withColumn("next_text", F.lead("text").over(by))
-            .withColumn("next_fingerprint", F.lead("fingerprint").over(by))
-            .where(~F.col("_at.ghost")).drop("_range", "_head", "_back", "_at"))
+    dealt = dealt.select("doc_id", "text", "fingerprint", F.col("_at.r").alias("_r"), F.col("_at.ghost").alias("_ghost"),
+                         F.xxhash64("text").alias("_tie"))
+    by = Window.partitionBy("_r").orderBy("_ghost", F.col("doc_id").desc_nulls_last(), "_tie")
+    # One window over plain columns, so that the texts are shuffled once.
+    return (dealt.select("doc_id", "text", "fingerprint", "_ghost", F.lead("text").over(by).alias("next_text"),
+                         F.lead("fingerprint").over(by).alias("next_fingerprint"))
+            .where(~F.col("_ghost")).drop("_ghost"))
 
 
 def edited(docs: DataFrame) -> DataFrame:
