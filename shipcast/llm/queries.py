@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shipcast.llm import digest, lines, mixing, packing, pii, simhash
+from shipcast.llm import digest, lines, mixing, packing, pii, quality, simhash
 from shipcast.llm.common import read
 
 
@@ -22,6 +22,12 @@ def op2_source_mixing(spark, sf_dir):
         first.alias("first_position")).orderBy(F.col("first_position").asc_nulls_last(), "doc_id")
 
 
+def op3_quality_attention(spark, sf_dir):
+    scored = quality.classify(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels"))
+    return scored.select("doc_id", quality.held_out().alias("held_out"), F.col("_q_score").alias("score"),
+                         (F.col("_q_score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op4_line_dedup(spark, sf_dir):
     cleaned = lines.dedup(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return cleaned.select("doc_id", F.col("_ln_total").alias("n_lines"), F.col("_ln_removed").alias("n_removed"),
@@ -75,5 +81,5 @@ def op10_pii(spark, sf_dir):
                         F.array_join(F.transform("spans", pii.label), ",").alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_source_mixing, op4_line_dedup, op5_quartile_digest, op8_simhash_near_dedup, op10_pii)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_source_mixing, op3_quality_attention, op4_line_dedup, op5_quartile_digest, op8_simhash_near_dedup, op10_pii)}
 ORACLE = {"op4_line_dedup": OP4_SQL}
