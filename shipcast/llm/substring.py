@@ -44,7 +44,7 @@ from shipcast.llm.common import partitions, runs, written
 WINDOW = 13
 LAST = (1 << 63) - 1  # stands for a null doc_id
 #: Words of a batch, bytes hashed at a time, words of a piece of a very long document.
-BATCH_WORDS, CHUNK, PIECE = 3 << 20, 1 << 21, 1 << 23
+BATCH_WORDS, CHUNK, PIECE = 1 << 20, 1 << 21, 1 << 23
 SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
 BASE, STEP = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 _powers: dict[int, np.ndarray] = {}
@@ -113,14 +113,26 @@ def rolling(words: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
 
 def planes(x: np.ndarray) -> bytes:
     """Bytes by significance: the high ones of sorted numbers compress well."""
-    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), 8).T).tobytes()
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
 
 
 def unplanes(raw: list[bytes], dtype: str) -> np.ndarray:
-    parts = [np.ascontiguousarray(np.frombuffer(r, np.uint8).reshape(8, -1).T).reshape(-1).view(dtype) for r in raw]
+    wide = np.dtype(dtype).itemsize
+    parts = [np.ascontiguousarray(np.frombuffer(r, np.uint8).reshape(wide, -1).T).reshape(-1).view(dtype) for r in raw]
     return np.concatenate(parts) if parts else np.zeros(0, dtype)
 
 
+def stretches(at: np.ndarray) -> bytes:
+    """Sorted distinct numbers as (first, how many) of each stretch without a gap."""
+    first = np.flatnonzero(np.diff(at, prepend=at[:1] - 2) != 1)
+    return np.stack([at[first], np.diff(np.append(first, len(at)))], 1).astype("<i4").tobytes()
+
+
+def unstretched(raw: bytes) -> np.ndarray:
+    first, many = np.frombuffer(raw, "<i4").reshape(-1, 2).T
+    return np.repeat(first, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+
+
 ENTRIES, DOCUMENTS, HITS = 0, 1, 2
 SENT = "part int, batch long, kind int, a binary, ids binary, places binary"
 ANSWER = "batch long, kind int, a binary"
@@ -141,8 +153,8 @@ def answers(rows: list[tuple]) -> pa.Table:
 
 def hits(batch: np.ndarray, place: np.ndarray) -> pa.Table:
     """One row of places for each batch."""
-    order = np.argsort(batch, kind="stable")
-    return answers([(int(batch[order[s]]), HITS, place[order[s:s + n]].astype("<i4").tobytes())
+    order = np.lexsort((place, batch))
+    return answers([(int(batch[order[s]]), HITS, planes(place[order[s:s + n]].astype("<i4")))
                     for s, n in zip(*runs(batch[order]))])
 
 
@@ -165,7 +177,7 @@ class Batch:
         part = -1 - self.number % self.parts
         listed = np.array(self.listed, "<i8").tobytes()
         out = [(part, self.number, DOCUMENTS, listed, None, None)]
-        return out + [(part, self.number, HITS, found.astype("<i4").tobytes(), None, None)] * bool(len(found))
+        return out + [(part, self.number, HITS, planes(np.sort(found).astype("<i4")), None, None)] * bool(len(found))
 
     def edges(self, hashes: np.ndarray, bits: int) -> Iterator[tuple[int, int, int]]:
         """(part, from, to) of sorted hashes of ``bits`` bits, by the parts of their range."""
@@ -190,7 +202,7 @@ def batches(it: Iterator[pa.RecordBatch], parts: int, window: int, marked: bool)
         for i, t, n, end, at in zip(rb.column("_id").to_pylist(), rb.column("_t").to_pylist(), counts, ends, places):
             if n < window:
                 continue
-            at = np.concatenate([np.frombuffer(x, "<i4") for x in at]) if marked else None
+            at = np.concatenate([unstretched(x) for x in at]) if marked else None
             for first in range(0, int(n), PIECE):  # pieces overlap by a window
                 piece = words[end - n + first:end - n + min(n, first + PIECE + window - 1)]
                 if batch.size and batch.size + len(piece) > BATCH_WORDS:
@@ -211,15 +223,14 @@ def passed(table: pa.Table) -> pa.Table | None:
 
 
 def places_of(answered: DataFrame) -> DataFrame:
-    """(_id, _t, places): the word numbers hit in each document, as arrays of int32."""
+    """(_id, _t, places): the word numbers hit in each document, as stretches."""
     def gather(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         kinds, data = table.column("kind").to_pylist(), table.column("a").to_pylist()
         listed = np.frombuffer(data[kinds.index(DOCUMENTS)], "<i8").reshape(-1, 4)
-        found = [np.frombuffer(d, "<i4") for k, d in zip(kinds, data) if k == HITS]
-        place = np.unique(np.concatenate(found)).astype(np.int64) if found else np.zeros(0, np.int64)
+        place = np.unique(unplanes([d for k, d in zip(kinds, data) if k == HITS], "<i4")).astype(np.int64)
         doc = np.searchsorted(listed[:, 3], place, "right") - 1
         out = [(int(listed[doc[s], 0]), int(listed[doc[s], 1]),
-                (place[s:s + n] - listed[doc[s], 3] + listed[doc[s], 2]).astype("<i4").tobytes())
+                stretches(place[s:s + n] - listed[doc[s], 3] + listed[doc[s], 2]))
                for s, n in zip(*runs(doc))]
         cols = list(zip(*out)) or [()] * 3
         return pa.table({"_id": pa.array(cols[0], pa.int64()), "_t": pa.array(cols[1], pa.int64()),
@@ -294,7 +305,7 @@ def repeat_hits(docs: DataFrame, window: int) -> DataFrame:
             rows = batch.rows(place[ids > least])
             own = ids == least
             h, ids, place = h[own], ids[own], place[own]
-            yield sent(rows + [(k, batch.number, ENTRIES, planes(h[a:b]), planes(ids[a:b]), place[a:b].astype("<i4").tobytes())
+            yield sent(rows + [(k, batch.number, ENTRIES, planes(h[a:b]), planes(ids[a:b]), planes(place[a:b].astype("<i4")))
                                for k, a, b in batch.edges(h, 64)])
 
     def meet(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
@@ -302,7 +313,7 @@ def repeat_hits(docs: DataFrame, window: int) -> DataFrame:
             return through
         packets = table.column("a").to_pylist()
         h, ids = unplanes(packets, "<u8"), unplanes(table.column("ids").to_pylist(), "<i8")
-        place = np.frombuffer(b"".join(table.column("places").to_pylist()), "<i4")
+        place = unplanes(table.column("places").to_pylist(), "<i4")
         batch = np.repeat(table.column("batch").to_numpy(), [len(p) // 8 for p in packets])
         order = np.argsort(h, kind="stable")
         starts, sizes = runs(h[order])
@@ -329,7 +340,7 @@ def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 words = text.split()
                 gone = np.zeros(len(words) + 1, np.int64)
                 if places:
-                    at = np.unique(np.concatenate([np.frombuffer(p, "<i4") for p in places]))
+                    at = np.unique(np.concatenate([unstretched(p) for p in places]))
                     gone[at] += 1
                     np.subtract.at(gone, at + window, 1)
                 gone = np.cumsum(gone)[:len(words)] > 0
