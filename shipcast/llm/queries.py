@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shipcast.llm import digest, lines, mixing, packing, pii, quality, simhash, substring
+from shipcast.llm import digest, lattice, lines, mixing, packing, pii, quality, simhash, substring
 from shipcast.llm.common import read
 
 
@@ -66,6 +66,10 @@ def op5_quartile_digest(spark, sf_dir):
     return digest.edited(read(spark, sf_dir, "documents"))
 
 
+def op6_e8_lattice(spark, sf_dir):
+    return lattice.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op7_substring_dedup(spark, sf_dir):
     cleaned = substring.dedup(read(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -86,5 +90,5 @@ def op10_pii(spark, sf_dir):
                         F.array_join(F.transform("spans", pii.label), ",").alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_source_mixing, op3_quality_attention, op4_line_dedup, op5_quartile_digest, op7_substring_dedup, op8_simhash_near_dedup, op10_pii)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_source_mixing, op3_quality_attention, op4_line_dedup, op5_quartile_digest, op6_e8_lattice, op7_substring_dedup, op8_simhash_near_dedup, op10_pii)}
 ORACLE = {"op4_line_dedup": OP4_SQL}
