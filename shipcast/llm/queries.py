@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shipcast.llm import digest, lattice, lines, mixing, packing, pii, quality, simhash, substring
+from shipcast.llm import digest, lattice, licenses, lines, mixing, packing, pii, quality, simhash, substring
 from shipcast.llm.common import read
 
 
@@ -80,6 +80,10 @@ def op8_simhash_near_dedup(spark, sf_dir):
     return near.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_license_scan(spark, sf_dir):
+    return licenses.scan(read(spark, sf_dir, "documents")).drop("block")
+
+
 def op10_pii(spark, sf_dir):
     found = pii.find(read(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("spans", lambda s: s["base"])
@@ -90,5 +94,5 @@ def op10_pii(spark, sf_dir):
                         F.array_join(F.transform("spans", pii.label), ",").alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_source_mixing, op3_quality_attention, op4_line_dedup, op5_quartile_digest, op6_e8_lattice, op7_substring_dedup, op8_simhash_near_dedup, op10_pii)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_source_mixing, op3_quality_attention, op4_line_dedup, op5_quartile_digest, op6_e8_lattice, op7_substring_dedup, op8_simhash_near_dedup, op9_license_scan, op10_pii)}
 ORACLE = {"op4_line_dedup": OP4_SQL}
