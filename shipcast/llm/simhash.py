@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shipcast.llm.common import components, group_links, written
@@ -101,11 +101,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataF
 def keep_first(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
     """``docs`` with one document of each group: the one whose doc_id names the component.
 
-    Of rows that repeat that doc_id one stays; rows without doc_id that form a
-    group of their own all stay.
+    Of rows that repeat that doc_id one stays.  Rows without doc_id cannot be told
+    apart, and all stay.
     """
     near = near_duplicates(docs.select("doc_id", "text"), shingle, radius)
     kept = near.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    out = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return out.select(docs.columns).unionByName(
-        docs.where(F.col("doc_id").isNull()).select(docs.columns))
+    # The window needs no shuffle of its own: the join has dealt the rows by doc_id.
+    one = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
+    out = docs.join(kept, "doc_id", "left_semi").select("*", one.alias("_sh_row")).where("_sh_row = 1")
+    return out.select(docs.columns).unionByName(docs.where(F.col("doc_id").isNull()).select(docs.columns))
