@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 PASSAGE = 512
 #: Bytes encoded at a time (a multiple of PASSAGE): bounds a task's memory.
-CHUNK = PASSAGE * 8192
+CHUNK = PASSAGE * 2048
 SAMPLE = 4000
 THRESHOLD = 0.7
 HIDDEN, ATTENTION, EPOCHS, BATCH, RATE, DECAY = 24, 16, 30, 128, 0.01, 1e-3
@@ -77,9 +77,7 @@ def _encode(data: np.ndarray, bag: np.ndarray, bags: int) -> np.ndarray:
 
 def encode(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Features of all passages of all texts, and how many each text has."""
-    raw = [(t or "").encode("utf-8", "replace") for t in texts]
-    sizes = np.array([max(1, -(-len(r) // PASSAGE)) for r in raw], np.int64)
-    parts, held, bytes_held = [], [], 0
+    sizes, parts, held, bytes_held = np.zeros(len(texts), np.int64), [], [], 0
 
     def flush() -> None:
         nonlocal bytes_held
@@ -91,7 +89,9 @@ def encode(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
             held.clear()
             bytes_held = 0
 
-    for r in raw:
+    for i, t in enumerate(texts):
+        r = (t or "").encode("utf-8", "replace")
+        sizes[i] = max(1, -(-len(r) // PASSAGE))
         for begin in range(0, max(1, len(r)), CHUNK):
             held.append(r[begin:begin + CHUNK])
             bytes_held += len(held[-1])
