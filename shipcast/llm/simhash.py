@@ -6,9 +6,10 @@ shingle, a text without words has fingerprint zero).  Bit i is 1 if it is set
 in over half of the shingles' XXH64 (UTF-8, seed 42).
 
 Search: every position of the fingerprint draws a vector of ``radius + 1``
-bits; mask v keeps the positions whose vector has an even product with v.  For any ``radius``
-positions some v != 0 is orthogonal to all their vectors, so two fingerprints
-that differ in at most ``radius`` bits agree under one of the
+bits; mask v keeps
+the positions whose vector has an odd product with v.  For any ``radius`` positions
+some v != 0 has an even product with all their vectors, so two fingerprints that
+differ in at most ``radius`` bits agree under one of the
 ``2^(radius+1) - 1`` masks: no pair within the radius is missed.  Equal
 fingerprints are one class, classes that agree under a mask are compared by
 exact bit distance (in blocks where many agree), and links are joined to
@@ -71,7 +72,7 @@ def covering_masks(radius: int, seed: int = 7) -> list[int]:
     """The masks, as signed 64-bit integers."""
     rng = random.Random(seed)
     vectors = [rng.randrange(1, 1 << (radius + 1)) for _ in range(64)]
-    masks = [sum(1 << i for i, x in enumerate(vectors) if (x & v).bit_count() % 2 == 0)
+    masks = [sum(1 << i for i, x in enumerate(vectors) if (x & v).bit_count() % 2)
              for v in range(1, 1 << (radius + 1))]
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 

@@ -162,7 +162,8 @@ class Batch:
     """Documents whose words are numbered through: place = base of the document + word number."""
 
     def __init__(self, number: int, parts: int):
-        self.number, self.parts, self.listed, self.words, self.size = number, parts, [], [], 0
+        self.number, self.parts, self.size = number, parts, 0
+        self.listed, self.words, self.marks = [], [], []
 
     def add(self, i: int, t: int, first: int, words: np.ndarray) -> None:
         self.listed.append((i, t, first, self.size))
@@ -203,15 +204,13 @@ def batches(it: Iterator[pa.RecordBatch], parts: int, window: int, marked: bool)
             if n < window:
                 continue
             at = np.concatenate([unstretched(x) for x in at]) if marked else None
-            for first in range(0, int(n), PIECE):  # pieces overlap by a window
+            for first in range(0, int(n) - window + 1, PIECE):  # pieces overlap, so each start lies in one
                 piece = words[end - n + first:end - n + min(n, first + PIECE + window - 1)]
                 if batch.size and batch.size + len(piece) > BATCH_WORDS:
                     yield batch
                     batch = Batch(batch.number + 1, parts)
-                if marked:
-                    piece = piece, at[(at >= first) & (at < first + PIECE)] - first
-                    batch.marks = [*getattr(batch, "marks", []), piece[1] + batch.size]
-                    piece = piece[0]
+                if marked:  # with the hits behind its last start that a window of it may hold
+                    batch.marks.append(at[(at >= first) & (at < first + PIECE + window)] - first + batch.size)
                 batch.add(i, t, first, piece)
     if batch.size:
         yield batch
