@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shipcast.functions.columns import clip, numeric_columns, present
-from shipcast.operators.quantiles import (group_and_global_medians, medians, multi_group_medians,
+from shipcast.operators.quantiles import (group_and_global_medians, medians, multi_group_medians, stable,
                                          quantiles_wide)
 
 KEY = "order_id"
@@ -135,7 +135,7 @@ def fit_group_and_global(train: DataFrame, keys: Sequence[str], cols: Sequence[s
 
 def fit_global_medians(train: DataFrame, cols: Sequence[str], suffix: str = "__glob") -> DataFrame:
     """One row of train medians ``{col}{suffix}``."""
-    return medians(train, present(train, cols), suffix=suffix, broadcast_targets=True)
+    return medians(train, present(train, cols), suffix=suffix)
 
 
 def apply_group_medians(df: DataFrame, group_state: DataFrame, global_state: DataFrame,
@@ -147,7 +147,8 @@ def apply_group_medians(df: DataFrame, group_state: DataFrame, global_state: Dat
     (category step, ``all_null_group_falls_back``)."""
     keys = list(keys)
     cols = [c for c in present(df, cols) if f"{c}__grp" in group_state.columns]
-    j = (df.join(group_state, keys, "left")
+    # Written, so that the planner broadcasts the state if its bytes allow and shuffles df only beyond that.
+    j = (df.join(stable(group_state), keys, "left")
          .crossJoin(F.broadcast(global_state)))
     out = []
     for c in df.columns:
@@ -200,17 +201,15 @@ def apply_global_fill(df: DataFrame, train: DataFrame, state: DataFrame | None =
     NULLs in train keeps its values because its fill is never used."""
     cols = numeric_columns(train, exclude=exclude)
     cols = [c for c in cols if c in df.columns]
-    has_null = train.agg(*[F.max(F.col(c).isNull().cast("int")).alias(f"{c}__hasnull") for c in cols])
-    if state is None:
-        state = fit_global_medians(train, cols, suffix="__fill")
-    j = df.crossJoin(F.broadcast(state)).crossJoin(F.broadcast(has_null))
-    out = []
-    for c in df.columns:
-        if c in cols:
-            fill = F.when(F.col(f"{c}__hasnull") == 1, F.col(f"{c}__fill"))
-            out.append(F.coalesce(F.col(c), fill).alias(c))
-        else:
-            out.append(F.col(c))
+    # One row, a flag per column: only columns that need a fill are sorted for a median.
+    flags = train.agg(*[F.max(F.col(c).isNull().cast("int")).alias(c) for c in cols]).first().asDict() if cols else {}
+    need = [c for c in cols if flags[c] == 1]
+    if need and state is None:
+        state = fit_global_medians(train, need, suffix="__fill")
+    j = df.crossJoin(F.broadcast(state)) if need else df
+    # Doubles throughout, so that the schema does not depend on which columns hold a NULL.
+    out = [F.coalesce(F.col(c), F.col(f"{c}__fill")).cast("double").alias(c) if c in need
+           else F.col(c).cast("double").alias(c) if c in cols else F.col(c) for c in df.columns]
     return j.select(*out)
 
 

@@ -1,17 +1,19 @@
 """Pairwise-complete Pearson correlation (pandas ``DataFrame.corr``).
 
-Plan: every row emits its upper-triangle column pairs (i < j) with both
-values, built from a position explode of the column array and a second
-explode of the array's tail, so no pair is generated twice and none is
-filtered away.  ``corr`` drops a pair's row when either value is NULL, which
-is the pairwise-complete rule.  The aggregation is partial per task, so the
-shuffle carries one small state per (pair, partition) whatever the row count.
+Plan: one Gram pass.  Values are centred on their column's mean (one narrow
+aggregate, which also keeps large sums from cancelling), each batch of rows
+becomes a matrix with a 0/1 mask of what is present, and four products give the
+count, sums, squares and cross products of every pair over its complete rows.
+A task emits one row per pair whatever its rows, so the shuffle carries
+(pairs x tasks) rows; no row is exploded.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,17 +31,31 @@ def corr_pairs(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     if len(cols) < 2:
         raise ValueError("correlation needs at least two numeric columns")
     k = len(cols)
-    arr = F.array(*[F.col(c).cast("double") for c in cols])
     names = F.array(*[F.lit(c) for c in cols])
-    a = df.select(arr.alias("_a")).select("_a", F.posexplode("_a").alias("i", "xi"))
-    b = a.select("i", "xi", F.posexplode(F.slice("_a", F.col("i") + 2, k)).alias("_o", "xj"))
-    b = b.select("i", (F.col("i") + 1 + F.col("_o")).alias("j"), "xi", "xj")
-    # Pairwise-complete moments; ``corr`` itself raises on a zero variance
-    # under ANSI mode, so the division is guarded here.
-    both = F.col("xi").isNotNull() & F.col("xj").isNotNull()
-    xi, xj = F.when(both, F.col("xi")), F.when(both, F.col("xj"))
-    g = b.groupBy("i", "j").agg(F.covar_samp(xi, xj).alias("_c"), F.stddev_samp(xi).alias("_sx"),
-                                F.stddev_samp(xj).alias("_sy"))
+    values = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    means = values.agg(*[F.avg(F.nanvl(f"c{i}", F.lit(None))).alias(f"m{i}") for i in range(k)])
+    centred = values.crossJoin(F.broadcast(means)).select(
+        *[(F.col(f"c{i}") - F.col(f"m{i}")).alias(f"c{i}") for i in range(k)])
+
+    def gram(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((6, k, k))
+        for rb in it:
+            x = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in rb.columns], 1)
+            there = (~np.isnan(x)).astype(float)
+            x = np.nan_to_num(x, nan=0.0)
+            sums, squares = x.T @ there, (x * x).T @ there
+            total += np.stack([there.T @ there, sums, sums.T, squares, squares.T, x.T @ x])
+        i, j = np.triu_indices(k, 1)
+        yield pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)),
+                                          *(pa.array(t[i, j]) for t in total)], ["i", "j", "n", "x", "y", "xx", "yy", "xy"])
+
+    g = centred.mapInArrow(gram, "i int, j int, n double, x double, y double, xx double, yy double, xy double")
+    g = g.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
+    # Sums of centred values: what rounding leaves of a constant column counts as no variance.
+    spread = lambda s, ss: F.when(F.col("n") > 1, F.col(ss) - F.col(s) * F.col(s) / F.col("n")).otherwise(0.0)
+    root = lambda s, ss: F.when(spread(s, ss) > F.col(ss) * 1e-14, F.sqrt(spread(s, ss))).otherwise(0.0)
+    g = g.select("i", "j", F.when(F.col("n") > 1, F.col("xy") - F.col("x") * F.col("y") / F.col("n")).alias("_c"),
+                 root("x", "xx").alias("_sx"), root("y", "yy").alias("_sy"))
     den = F.col("_sx") * F.col("_sy")
     r = F.when(den > 0, F.least(F.greatest(F.col("_c") / den, F.lit(-1.0)), F.lit(1.0)))
     return g.select("i", "j", F.element_at(names, F.col("i") + 1).alias("var1"),

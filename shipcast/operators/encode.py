@@ -4,14 +4,14 @@
   broadcast); a constant column divides by 1.  ``pyspark.ml``'s
   ``StandardScaler`` uses the sample std and maps constants to 0, so it is not
   used.
-* One-hot fits each column's sorted vocabulary on train and drops the first
-  category, so train and test always get the same columns.  Vocabularies are
-  plan metadata (they name output columns), so they are collected; each is
-  size-checked first.  A column with more than ``max_columns`` values is not
-  spread into columns: it becomes one sparse vector built by ``StringIndexer``
-  (alphabetical, descending, so the first category gets the last index),
-  ``OneHotEncoder`` and ``VectorSlicer`` (which removes that last index and
-  the unseen/NULL slot), all JVM-side.
+* One-hot has one form for every vocabulary size: each column becomes one
+  sparse vector over its sorted train values but the first, with the values as
+  the column's ML attributes, so train and test always get the same slots.
+  ``StringIndexer`` (alphabetical, descending, so the first value gets the last
+  index), ``OneHotEncoder`` and ``VectorSlicer`` (which drops that index and the
+  slot for unseen and NULL values) run JVM-side, one pass for all columns.
+  ``one_hot_long`` gives the same encoding as (key, feature) rows by a join with
+  the vocabulary table.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shipcast.functions.columns import numeric_columns
+from shipcast.operators.quantiles import stable
 
 KEY = "order_id"
 
@@ -31,7 +32,6 @@ CATEGORICAL = ("product_category", "formulation", "temperature_requirement", "ma
                "shipping_mode", "geopolitical_risk", "market_region", "therapeutic_area_priority",
                "day_of_week", "quarter", "month")
 RISK_LABELS = {"Low_Risk": 0, "Medium_Risk": 1, "High_Risk": 2}
-MAX_ONE_HOT_COLUMNS = 200
 
 
 def model_input(df: DataFrame, key: str = KEY) -> DataFrame:
@@ -75,58 +75,51 @@ def apply_scaler(df: DataFrame, state: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- one-hot
 
-def fit_vocabulary(train: DataFrame, cols: Sequence[str] | None = None,
-                   max_columns: int = MAX_ONE_HOT_COLUMNS) -> dict:
-    """{column: sorted non-NULL values} for columns whose vocabulary fits
-    ``max_columns``; wider columns map to None (vector encoding)."""
-    cols = [c for c in (cols or CATEGORICAL) if c in train.columns]
-    if not cols:
-        return {}
-    sizes = train.agg(*[F.count_distinct(c).alias(c) for c in cols]).first().asDict()
-    small = [c for c in cols if sizes[c] <= max_columns]
-    vocab: dict = {c: None for c in cols if c not in small}
-    if small:
-        row = train.agg(*[F.sort_array(F.collect_set(F.col(c).cast("string"))).alias(c)
-                          for c in small]).first().asDict()
-        vocab.update({c: list(row[c]) for c in small})
-    return vocab
-
-
-def apply_one_hot(df: DataFrame, vocab: dict, train: DataFrame | None = None) -> DataFrame:
-    """en01: replace each categorical column by 0/1 integer columns
-    ``{col}_{value}`` for every train value but the first; NULL or an unseen
-    value gives all zeros.  Wide columns become ``{col}_vec`` sparse vectors
-    (needs ``train`` to fit the indexer)."""
-    out = df
-    wide = [c for c, v in vocab.items() if v is None and c in df.columns]
-    narrow = {c: v for c, v in vocab.items() if v is not None and c in df.columns}
-    if wide:
-        if train is None:
-            raise ValueError("vector encoding needs the train frame to fit the indexer")
-        out = _vector_one_hot(out, train, wide)
-    keep = [F.col(c) for c in out.columns if c not in narrow]
-    dummies = [F.when(F.col(c).cast("string") == F.lit(v), 1).otherwise(0).alias(f"{c}_{v}")
-               for c, values in narrow.items() for v in values[1:]]
-    return out.select(*keep, *dummies)
-
-
-def _vector_one_hot(df: DataFrame, train: DataFrame, cols: Sequence[str]) -> DataFrame:
+def _present(df: DataFrame, cols: Sequence[str] | None) -> list[str]:
+    return [c for c in (cols or CATEGORICAL) if c in df.columns]
+
+
+def one_hot(train: DataFrame, df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """en01: replace each categorical column ``c`` by the sparse vector ``c_vec``
+    over train's sorted values but the first; NULL or an unseen value gives all
+    zeros.  A column without train values gives a vector of one zero."""
     from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorSlicer
-    out = df
-    for c in cols:
-        idx = StringIndexer(inputCol=c, outputCol=f"{c}__idx", stringOrderType="alphabetDesc",
-                            handleInvalid="keep").fit(train)
-        n = len(idx.labels)
-        ohe = OneHotEncoder(inputCol=f"{c}__idx", outputCol=f"{c}__ohe", dropLast=False,
-                            handleInvalid="keep").fit(idx.transform(train.limit(1)))
-        sl = VectorSlicer(inputCol=f"{c}__ohe", outputCol=f"{c}_vec", indices=list(range(max(n - 1, 0))))
-        out = sl.transform(ohe.transform(idx.transform(out))).drop(c, f"{c}__idx", f"{c}__ohe")
-    return out
-
-
-def one_hot(train: DataFrame, df: DataFrame, cols: Sequence[str] | None = None,
-            max_columns: int = MAX_ONE_HOT_COLUMNS) -> DataFrame:
-    return apply_one_hot(df, fit_vocabulary(train, cols, max_columns), train)
+    cols = _present(train, cols)
+    if not cols:
+        return df
+    text = [F.col(c).cast("string").alias(c) for c in cols]
+    known = train.select(*text)
+    out = df.select(*[c for c in df.columns if c not in cols], *text)
+    index = StringIndexer(inputCols=cols, outputCols=[f"{c}__idx" for c in cols],
+                          stringOrderType="alphabetDesc", handleInvalid="keep").fit(known)
+    # The sizes come from the indexer's labels, so no pass over the data is needed here.
+    encode = OneHotEncoder(inputCols=[f"{c}__idx" for c in cols], outputCols=[f"{c}__ohe" for c in cols],
+                           dropLast=False, handleInvalid="keep").fit(index.transform(known.limit(1)))
+    out = encode.transform(index.transform(out))
+    for c, values in zip(cols, index.labelsArray):
+        slots = list(range(max(len(values) - 1, 1)))
+        out = VectorSlicer(inputCol=f"{c}__ohe", outputCol=f"{c}_vec", indices=slots).transform(out)
+    return out.drop(*[x for c in cols for x in (c, f"{c}__idx", f"{c}__ohe")])
+
+
+def _stacked(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """(keys..., col, val) rows of the non-NULL values."""
+    cells = F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("val")) for c in cols])
+    return df.select(*keys, F.inline(cells)).where(F.col("val").isNotNull())
+
+
+def vocabulary(train: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(col, val): the distinct values of each column but the first, as a
+    written table, so that the planner knows its bytes when it joins it."""
+    values = _stacked(train, cols).distinct()
+    first = values.groupBy("col").agg(F.min("val").alias("first"))
+    return stable(values.join(first, "col").where("val <> first").select("col", "val"))
+
+
+def one_hot_long(train: DataFrame, df: DataFrame, cols: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """en01 as rows: (keys..., feature) for every one of the encoding."""
+    rows = _stacked(df, _present(train, cols), keys).join(vocabulary(train, _present(train, cols)), ["col", "val"])
+    return rows.select(*keys, F.concat_ws("_", "col", "val").alias("feature"))
 
 
 def align_columns(reference: DataFrame, other: DataFrame, fill=0) -> DataFrame:

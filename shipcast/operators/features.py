@@ -9,6 +9,7 @@ state DataFrame that is broadcast-cross-joined.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,21 +65,25 @@ def core_feature_exprs(df: DataFrame) -> dict[str, Column]:
     return out
 
 
-def fit_feature_state(train: DataFrame) -> DataFrame:
-    """One row of train statistics: z-score mean/std (sample) of defect rate
-    and quality score, supplier-performance quartiles, first order date."""
+def fit_feature_state(train: DataFrame, names: Sequence[str] | None = None) -> DataFrame | None:
+    """One row of the train statistics that the features ``names`` (default: all)
+    need: z-score mean/std (sample) of defect rate and quality score,
+    supplier-performance quartiles, first order date.  None if they need none."""
+    def wanted(name: str, *cols: str) -> bool:
+        return (names is None or name in names) and _has(train, *cols)
+
     aggs = []
-    if _has(train, "defect_rate_ppm", "quality_risk_score"):
+    if wanted("quality_index", "defect_rate_ppm", "quality_risk_score"):
         aggs += [F.avg("defect_rate_ppm").alias("_d_mean"), F.stddev_samp("defect_rate_ppm").alias("_d_std"),
                  F.avg("quality_risk_score").alias("_q_mean"), F.stddev_samp("quality_risk_score").alias("_q_std")]
-    if _has(train, "order_date"):
+    if wanted("days_since_start", "order_date"):
         aggs.append(F.min("order_date").alias("_start"))
-    state = train.agg(*aggs) if aggs else train.sparkSession.range(1).drop("id")
-    if _has(train, "supplier_historical_performance"):
-        c = "supplier_historical_performance"
+    state = train.agg(*aggs) if aggs else None
+    c = "supplier_historical_performance"
+    if wanted("supplier_perf_bucket", c):
         qs = quantiles_wide(train, [c], [0.25, 0.5, 0.75],
                             names={(c, 0.25): "_q25", (c, 0.5): "_q50", (c, 0.75): "_q75"})
-        state = state.crossJoin(qs)
+        state = qs if state is None else state.crossJoin(qs)
     return state
 
 
@@ -140,11 +145,12 @@ def engineer(df: DataFrame, train: DataFrame, extras: bool = False) -> DataFrame
     """The pipeline's feature step: fe01-fe12 (and fx01-fx11 with ``extras``),
     train-fitted where a statistic is needed.  Existing columns are kept."""
     state = fit_feature_state(train)
-    j = df.crossJoin(F.broadcast(state))
+    j = df if state is None else df.crossJoin(F.broadcast(state))
+    fitted = [] if state is None else state.columns
     feats = core_feature_exprs(df)
-    feats.update(fitted_feature_exprs(df, state.columns))
+    feats.update(fitted_feature_exprs(df, fitted))
     if extras:
-        feats.update(extra_feature_exprs(df, state.columns))
+        feats.update(extra_feature_exprs(df, fitted))
     keep = [F.col(c) for c in df.columns if c not in feats]
     return j.select(*keep, *[e.alias(n) for n, e in feats.items()])
 

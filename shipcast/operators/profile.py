@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shipcast.functions.columns import clip, numeric_columns, pct_round2, present, string_columns
-from shipcast.operators.quantiles import quantiles_long, quantiles_wide
+from shipcast.operators.quantiles import quantiles_long, quantiles_wide, stable
 
 # Column groups the profile reads (reference names).
 TARGETS = ("supply_chain_disruption_risk", "realistic_total_cost", "will_be_delayed",
@@ -260,8 +260,18 @@ def duplicate_count(df: DataFrame, cols: Sequence[str] | None = None,
     """ag16: per split, rows equal to an earlier row over ``cols`` (default
     all).  NULL equals NULL, as in pandas ``duplicated``."""
     cols = list(cols) if cols else [c for c in df.columns if c != split_col]
-    g = df.groupBy(split_col, *cols).agg(F.count(F.lit(1)).alias("_c"))
-    return g.groupBy(split_col).agg(F.sum(F.col("_c") - 1).alias("n_duplicates"))
+    # 128 bits a row are counted first; only rows whose hash repeats are grouped by their values.
+    marked = df.select(split_col, *cols, F.xxhash64(*cols).alias("_h1"), F.xxhash64(F.lit(1), *cols).alias("_h2"))
+    again = stable(marked.groupBy(split_col, "_h1", "_h2").agg(F.count(F.lit(1)).alias("_c"))
+                   .where("_c > 1").select(F.col(split_col).alias("_s"), "_h1", "_h2"))
+    some = marked.join(again, (marked[split_col].eqNullSafe(again["_s"])) & (marked["_h1"] == again["_h1"])
+                       & (marked["_h2"] == again["_h2"]), "left_semi")
+    g = some.groupBy(split_col, *cols).agg(F.count(F.lit(1)).alias("_c"))
+    found = g.groupBy(split_col).agg(F.sum(F.col("_c") - 1).alias("_d"))
+    # A split without duplicates still has its row.
+    splits = df.select(F.col(split_col).alias("_s")).distinct()
+    return (splits.join(found, splits["_s"].eqNullSafe(found[split_col]), "left")
+            .select(F.col("_s").alias(split_col), F.coalesce("_d", F.lit(0)).cast("long").alias("n_duplicates")))
 
 
 def cardinality(train: DataFrame, cols: Sequence[str] | None = None,

@@ -1,24 +1,15 @@
 """Exact quantiles (linear interpolation, as pandas ``quantile`` / SQL
 ``percentile_cont``), global or per group.
 
-Two plans compute the same numbers:
-
-``rank`` (default, scale-safe)
-    Stack the columns into (column, group, x) rows, range-partition them on
-    (column, group, x, salt) and sort inside each partition.  A row's rank in
-    its group is then "rows of the group in earlier partitions" plus its
-    position inside its partition; both come from a tiny per-partition count
-    table.  Only the rows sitting at the wanted ranks (two per quantile) are
-    fetched back.  No task ever holds a whole group: a hot group or a column
-    with one repeated value is spread over many range partitions because the
-    salt (a hash of the input row position) breaks ties.
-
-``agg``
-    Spark's ``percentile`` aggregate.  Exact and fast for small inputs, but its
-    final merge keeps every distinct value of a group in one task, so it is
-    only suitable when groups have a bounded number of distinct values.
-
-Select with ``strategy=`` or the session setting ``shipcast.quantile.strategy``.
+Stack the columns into (column, group, x) rows, range-partition them on
+(column, group, x, salt) and sort inside each partition.  A row's rank in its
+group is then "rows of the group in earlier partitions" plus its position
+inside its partition; both come from a tiny per-partition count table.  Only
+the rows sitting at the wanted ranks (two per quantile) are fetched back, by a
+join with a written table whose size the planner knows.  No task ever holds a
+whole group: a hot group or a column with one repeated value is spread over
+many range partitions because the salt (a hash of the input row position)
+breaks ties.
 """
 
 from __future__ import annotations
@@ -28,48 +19,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-STRATEGY_CONF = "shipcast.quantile.strategy"
-
 
 def stable(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` with a reliable checkpoint (shared folder)."""
-    from shipcast.session import shared_dir
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def _strategy(df: DataFrame, strategy: str | None) -> str:
-    if strategy:
-        return strategy
-    try:
-        return df.sparkSession.conf.get(STRATEGY_CONF, "rank") or "rank"
-    except Exception:  # noqa: BLE001
-        return "rank"
-
-
-def _long_form(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
-    """(by..., column, x) with NULL values and NULL group keys removed."""
-    if len(cols) == 1:
-        out = df.select(*by, F.lit(cols[0]).alias("column"), F.col(cols[0]).cast("double").alias("x"))
-    else:
-        pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x"))
-                          for c in cols])
-        out = df.select(*by, F.inline(pairs))
-    cond = F.col("x").isNotNull() & ~F.isnan("x")
-    for b in by:
-        cond = cond & F.col(b).isNotNull()
-    return out.where(cond)
-
-
-def _by_agg(df: DataFrame, cols, probs, by) -> DataFrame:
-    long = _long_form(df, cols, by)
-    parr = F.array(*[F.lit(float(p)) for p in probs])
-    res = long.groupBy(*by, "column").agg(F.percentile("x", parr).alias("_v"))
-    return res.select(*by, "column",
-                      F.inline(F.arrays_zip(parr.alias("p"), F.col("_v").alias("value"))))
+    """Write ``df`` to the shared folder and read it back: numbered once, read
+    by any number of consumers, pruned by column, and of a size that the
+    planner knows."""
+    from shipcast.session import scratch_path
+    path = scratch_path(df.sparkSession, "stable")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _by_rank(df: DataFrame, cols, probs, by, broadcast_targets, with_global: bool = False) -> DataFrame:
+def _by_rank(df: DataFrame, cols, probs, by, with_global: bool = False) -> DataFrame:
     # The salt is a hash of the input row position; it spreads runs of equal
     # values over range partitions.  (The numbered table is checkpointed, so
     # its values never need to be recomputed consistently.)
@@ -103,22 +64,21 @@ def _by_rank(df: DataFrame, cols, probs, by, broadcast_targets, with_global: boo
         long = base.select(*lead, "_salt", F.inline(pairs))
     long = long.where(F.col("x").isNotNull() & ~F.isnan("x"))
 
-    out = _rank_long(long, gk, probs, broadcast_targets)
+    out = _rank_long(long, gk, probs)
     return out.select(*(["_lvl"] if with_global else []), *by, "column", "p", "value")
 
 
-def _rank_long(long: DataFrame, gk: list, probs, broadcast_targets) -> DataFrame:
+def _rank_long(long: DataFrame, gk: list, probs) -> DataFrame:
     """Quantiles of ``x`` per ``gk`` from a stacked table with columns
     gk..., x, _salt: rows (gk..., p, value)."""
-    nparts = int(long.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    ordered = (long.repartitionByRange(nparts, *gk, "x", "_salt")
+    # No fixed number of partitions: AQE sizes them.
+    ordered = (long.repartitionByRange(*gk, "x", "_salt")
                .sortWithinPartitions(*gk, "x", "_salt")
                .withColumn("_pid", F.spark_partition_id())
                .withColumn("_mid", F.monotonically_increasing_id())
                .drop("_salt"))
     # The numbering is read twice (counts, then the fetch).  Two evaluations
-    # could sample different range bounds, so it is materialised once with a
-    # reliable checkpoint in the shared folder (a narrow table).
+    # could sample different range bounds, so it is written once (a narrow table).
     ordered = stable(ordered)
 
     # One row per (partition, group): where the group starts in the partition
@@ -138,9 +98,8 @@ def _rank_long(long: DataFrame, gk: list, probs, broadcast_targets) -> DataFrame
              .select(*gk, "p", "_pos", F.lit(which).alias("_which"),
                      (F.col("_base") + F.col("_r") - F.col("_start")).alias("_mid")))
         hits = h if hits is None else hits.unionByName(h)
-    if broadcast_targets:
-        hits = F.broadcast(hits)
-    got = ordered.select("_mid", "x").join(hits, "_mid")  # hits: 2 rows per (group, p)
+    # Two rows per (group, p), written: the planner broadcasts them if their size allows.
+    got = ordered.select("_mid", "x").join(stable(hits), "_mid")
     agg = got.groupBy(*gk, "p").agg(
         F.max("_pos").alias("_pos"),
         F.max(F.when(F.col("_which") == "lo", F.col("x"))).alias("_lo"),
@@ -151,17 +110,11 @@ def _rank_long(long: DataFrame, gk: list, probs, broadcast_targets) -> DataFrame
 
 
 def quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                   by: Sequence[str] = (), strategy: str | None = None,
-                   broadcast_targets: bool | None = None) -> DataFrame:
+                   by: Sequence[str] = ()) -> DataFrame:
     """Rows (by..., column, p, value).  Groups with no non-null value, and rows
     whose group key is NULL, produce nothing (pandas ``groupby`` semantics)."""
     cols, by = list(cols), list(by)
-    if _strategy(df, strategy) == "agg":
-        return _by_agg(df, cols, probs, by)
-    if broadcast_targets is None:
-        # Without grouping the target table has 2 * |cols| * |probs| rows.
-        broadcast_targets = not by
-    return _by_rank(df, cols, probs, by, broadcast_targets)
+    return _by_rank(df, cols, probs, by)
 
 
 def qname(col: str, p: float) -> str:
@@ -169,24 +122,21 @@ def qname(col: str, p: float) -> str:
 
 
 def quantiles_wide(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                   by: Sequence[str] = (), strategy: str | None = None,
-                   broadcast_targets: bool | None = None,
-                   names: dict | None = None) -> DataFrame:
+                   by: Sequence[str] = (), names: dict | None = None) -> DataFrame:
     """One row per group with one column per (column, p), named
     ``names[(col, p)]`` or ``qname(col, p)``.  With no grouping the result is
     exactly one row, NULL where a column has no values."""
-    long = quantiles_long(df, cols, probs, by, strategy, broadcast_targets)
+    long = quantiles_long(df, cols, probs, by)
     names = names or {}
     aggs = [F.max(F.when((F.col("column") == c) & (F.col("p") == float(p)), F.col("value")))
             .alias(names.get((c, p), qname(c, p))) for c in cols for p in probs]
     return long.groupBy(*by).agg(*aggs)
 
 
-def medians(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), suffix: str = "",
-            strategy: str | None = None, broadcast_targets: bool | None = None) -> DataFrame:
+def medians(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), suffix: str = "") -> DataFrame:
     """Per-group (or global) medians, one column ``{col}{suffix}`` each."""
     names = {(c, 0.5): f"{c}{suffix}" for c in cols}
-    return quantiles_wide(df, cols, [0.5], by, strategy, broadcast_targets, names)
+    return quantiles_wide(df, cols, [0.5], by, names)
 
 
 def group_and_global_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
@@ -194,9 +144,7 @@ def group_and_global_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequen
     """Per-group and global quantiles from one ranked sort: returns
     (rows (by..., column, p, value), rows (column, p, value))."""
     cols, by = list(cols), list(by)
-    if _strategy(df, None) == "agg":
-        return _by_agg(df, cols, probs, by), _by_agg(df, cols, probs, [])
-    both = _by_rank(df, cols, probs, by, broadcast_targets=False, with_global=True)
+    both = _by_rank(df, cols, probs, by, with_global=True)
     grp = both.where(F.col("_lvl") == 0).drop("_lvl")
     glob = both.where(F.col("_lvl") == 1).drop("_lvl", *by)
     return grp, glob
@@ -246,7 +194,7 @@ def multi_group_medians(df: DataFrame, specs: dict) -> dict:
     long = parts[0]
     for p in parts[1:]:
         long = long.unionByName(p)
-    res = _rank_long(long, ["_spec", "_lvl", "_k1", "_k2", "column"], [0.5], broadcast_targets=False)
+    res = _rank_long(long, ["_spec", "_lvl", "_k1", "_k2", "column"], [0.5])
     out = {}
     for name, (keys, cols) in specs.items():
         r = res.where(F.col("_spec") == name)

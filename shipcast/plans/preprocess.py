@@ -4,8 +4,8 @@ drop -> repair -> winsorize -> impute -> features -> log + scale -> encode.
 Both splits travel in one DataFrame with a ``split`` column; every fitted
 statistic is computed from the ``train`` rows only and applied to all rows.
 Each step's fit reads the previous step's output, so the plan would grow
-with every step; it is cut with a reliable ``checkpoint`` (written to the
-shared ``spark.checkpoint.dir``, so it survives executor loss) after the
+with every step; it is cut by writing Parquet to the shared folder (which
+survives executor loss, is compressed and pruned by column) after the
 imputation steps and at the end.
 """
 
@@ -18,7 +18,7 @@ from shipcast.functions.columns import numeric_columns
 from shipcast.operators import clean as C
 from shipcast.operators import encode as E
 from shipcast.operators import features as FE
-from shipcast.session import shared_dir
+from shipcast.operators.quantiles import stable
 
 KEY = "order_id"
 SPLIT = "split"
@@ -29,30 +29,25 @@ def _train(df: DataFrame) -> DataFrame:
     return df.where(F.col(SPLIT) == "train")
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
 
-
-def run_pipeline(df: DataFrame, task: str = "all", max_one_hot: int = E.MAX_ONE_HOT_COLUMNS) -> DataFrame:
+def run_pipeline(df: DataFrame, task: str = "all") -> DataFrame:
     """All rows of ``df`` (with ``split``) processed for ``task``; keeps
     ``order_id`` and ``split`` as side keys."""
     out = C.drop_leakage(df, task)                                   # pj01
     out = C.null_negatives(out)                                       # cl01
     out = C.apply_winsor(out, C.fit_winsor(_train(out)))              # cl02
-    out = _cut(out)
+    out = stable(out)
     out = C.impute_all_groups(_train(out), out)                       # cl03-cl05
-    out = _cut(out)
+    out = stable(out)
     out = C.apply_global_fill(out, _train(out), exclude=(KEY,))       # cl06
     out = FE.engineer(out, _train(out))                               # fe01-fe12
     logs = FE.log_cost_exprs(out)                                     # fe13
     out = out.select("*", *[e.alias(n) for n, e in logs.items()])
-    out = _cut(out)
+    out = stable(out)
     num = numeric_columns(out, exclude=(KEY,))
     out = E.apply_scaler(out, E.fit_scaler(_train(out), num))         # nm01
-    train = _train(out)
-    out = E.apply_one_hot(out, E.fit_vocabulary(train, max_columns=max_one_hot), train)  # en01 (+en02 by construction)
-    return _cut(out)
+    out = E.one_hot(_train(out), out)                                 # en01 (+en02 by construction)
+    return stable(out)
 
 
 def null_report(processed: DataFrame) -> DataFrame:

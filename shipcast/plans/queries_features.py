@@ -73,12 +73,12 @@ def io08(spark, sf):
 def _features(spark, sf, names, round_names=(), as_double=(), extras=True):
     ship = _ship(spark, sf)
     train, _ = train_test(ship)
-    state = FE.fit_feature_state(train)
-    j = ship.crossJoin(F.broadcast(state))
-    ex = {**FE.core_feature_exprs(ship), **FE.fitted_feature_exprs(ship, state.columns),
-          **FE.log_cost_exprs(ship)}
+    state = FE.fit_feature_state(train, names)
+    j = ship if state is None else ship.crossJoin(F.broadcast(state))
+    fitted = [] if state is None else state.columns
+    ex = {**FE.core_feature_exprs(ship), **FE.fitted_feature_exprs(ship, fitted), **FE.log_cost_exprs(ship)}
     if extras:
-        ex.update(FE.extra_feature_exprs(ship, state.columns))
+        ex.update(FE.extra_feature_exprs(ship, fitted))
     out = j.select("order_id", "split", *[(ex[n].cast("double") if n in as_double else ex[n]).alias(n)
                                           for n in names])
     # Only values whose last bits can differ between engines are rounded:
@@ -182,13 +182,6 @@ ONE_HOT_COLUMNS = [c for c in E.CATEGORICAL if c in (
     "api_supplier", "shipping_mode", "market_region", "day_of_week", "quarter")]
 
 
-def _dummy_long(df, vocab, keys):
-    """The ones of the dummy columns as (keys..., feature) rows."""
-    names = [f"{c}_{v}" for c, vals in vocab.items() if vals for v in vals[1:]]
-    pairs = F.array(*[F.struct(F.lit(n).alias("feature"), F.col(f"`{n}`").alias("_v")) for n in names])
-    return df.select(*keys, F.inline(pairs)).where(F.col("_v") == 1).select(*keys, "feature")
-
-
 def _vocab_sql(cols, source):
     return union([f"SELECT '{c}' AS col, val, row_number() OVER (ORDER BY val) AS rk FROM "
                   f"(SELECT DISTINCT CAST({c} AS VARCHAR) AS val FROM {source} WHERE {c} IS NOT NULL)" for c in cols])
@@ -201,8 +194,7 @@ def _vocab_sql(cols, source):
 def en01(spark, sf):
     ship = _ship(spark, sf)
     train, _ = train_test(ship)
-    vocab = E.fit_vocabulary(train, ONE_HOT_COLUMNS)
-    return _dummy_long(E.apply_one_hot(ship, vocab, train), vocab, ["order_id", "split"])
+    return E.one_hot_long(train, ship, ONE_HOT_COLUMNS, ["order_id", "split"])
 
 
 EN02_COLUMNS = ("product_category", "formulation", "manufacturing_site", "distribution_center")
@@ -219,10 +211,10 @@ def en02(spark, sf):
     ship = _ship(spark, sf)
     train, test = train_test(ship)
     cols = list(EN02_COLUMNS)
-    vtr, vte = E.fit_vocabulary(train, cols), E.fit_vocabulary(test, cols)
-    tr = E.apply_one_hot(train.select("order_id", *cols), vtr)
-    te = E.apply_one_hot(test.select("order_id", *cols), vte)
-    return _dummy_long(E.align_columns(tr, te), vtr, ["order_id"])
+    own = E.one_hot_long(test, test, cols, ["order_id"])
+    # Aligned to train's columns: a feature that train lacks is dropped.
+    named = E.vocabulary(train, cols).select(F.concat_ws("_", "col", "val").alias("feature"))
+    return own.join(named, "feature", "left_semi").select("order_id", "feature")
 
 
 @register("en03_label_encode", W("""SELECT order_id, CASE supply_chain_disruption_risk WHEN 'Low_Risk' THEN 0

@@ -9,8 +9,10 @@ selection -> refit on all train rows -> test scores.
 
 from __future__ import annotations
 
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shipcast.operators import encode as E
 from shipcast.operators import metrics as MT
@@ -50,7 +52,7 @@ def _prepare(spark: SparkSession, sf_dir: str, task: str):
         labels = labels.select(KEY, F.col(lab).cast("double").alias("label"))
     num = [c for c in processed.columns if c not in (KEY, "split")]
     feats = [f.name for f in processed.select(*num).schema.fields
-             if f.dataType.typeName() in ("integer", "long", "double", "float", "short", "byte")]
+             if isinstance(f.dataType, (T.NumericType, VectorUDT))]
     feats = [c for c in feats if c != lab]
     train = (processed.where(F.col("split") == "train").join(labels, KEY)
              .where(F.col("label").isNotNull()))

@@ -16,12 +16,11 @@ def rows(df, *cols):
     return [tuple(r) for r in df.select(*cols).collect()]
 
 
-@pytest.mark.parametrize("strategy", ["rank", "agg"])
-def test_group_median_null_key_and_all_null_group(spark, strategy):
+def test_group_median_null_key_and_all_null_group(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", None), (None, 9.0), ("b", None)], "g string, x double")
-    m = medians(df, ["x"], by=["g"], strategy=strategy)
+    m = medians(df, ["x"], by=["g"])
     assert rows(m.orderBy("g"), "g", "x") == [("a", 1.0)]  # b has no values, null key dropped
-    g = medians(df, ["x"], strategy=strategy).first()["x"]
+    g = medians(df, ["x"]).first()["x"]
     assert g == 5.0
 
 
@@ -57,10 +56,18 @@ def test_value_share_denominators(spark):
 def test_one_hot_drop_first_and_unseen(spark):
     train = spark.createDataFrame([("a",), ("b",), ("c",)], "g string")
     test = spark.createDataFrame([("b",), ("c",), ("d",), (None,)], "g string")
-    vocab = E.fit_vocabulary(train, ["g"])
-    out = E.apply_one_hot(test, vocab)
-    assert out.columns == ["g_b", "g_c"]
-    assert rows(out, "g_b", "g_c") == [(1, 0), (0, 1), (0, 0), (0, 0)]
+    out = E.one_hot_long(train, test, ["g"], ["g"])
+    assert sorted(rows(out, "g", "feature")) == [("b", "g_b"), ("c", "g_c")]
+
+
+def test_one_hot_keeps_every_value_of_a_wide_column(spark):
+    """A thousand values: every value but the first has its slot, as vector and as rows."""
+    from pyspark.ml.functions import vector_to_array
+    df = spark.range(1000).selectExpr("id", "format_string('s%04d', id) AS g")
+    vec = E.one_hot(df, df, ["g"]).select("id", vector_to_array("g_vec").alias("v")).collect()
+    assert all(len(r.v) == 999 and sum(r.v) == (r.id > 0) for r in vec)
+    assert len({tuple(r.v) for r in vec}) == 1000
+    assert E.one_hot_long(df, df, ["g"], ["id"]).count() == 999
 
 
 def test_quartile_bucket_right_closed(spark):
@@ -135,7 +142,7 @@ def test_quantiles_match_pandas(spark):
     probs = [0.01, 0.25, 0.5, 0.75, 0.99]
     pdf = pd.DataFrame(data, columns=["g", "x"])
     for strategy in ("rank", "agg"):
-        got = quantiles_wide(df, ["x"], probs, by=["g"], strategy=strategy).collect()
+        got = quantiles_wide(df, ["x"], probs, by=["g"]).collect()
         for r in got:
             exp = pdf[pdf.g == r.g].x.quantile(probs).values
             for p, e in zip(probs, exp):
@@ -154,14 +161,11 @@ def test_hot_value_quantile(spark):
 
 
 def test_one_hot_vector_path_drops_first(spark):
-    """Past max_columns a column becomes one sparse vector with the same
-    drop-first and unseen/NULL rules as the explicit columns."""
+    """One sparse vector: the first category is dropped, unseen and NULL give zeros."""
     from pyspark.ml.functions import vector_to_array
     train = spark.createDataFrame([("a",), ("b",), ("c",)], "g string")
     test = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, "d"), (5, None)], "k int, g string")
-    vocab = E.fit_vocabulary(train, ["g"], max_columns=2)
-    assert vocab == {"g": None}
-    out = E.apply_one_hot(test, vocab, train).select("k", vector_to_array("g_vec").alias("v")).orderBy("k")
+    out = E.one_hot(train, test, ["g"]).select("k", vector_to_array("g_vec").alias("v")).orderBy("k")
     vecs = [r.v for r in out.collect()]
     assert all(len(v) == 2 for v in vecs)
     assert vecs[0] == [0.0, 0.0]                       # first category dropped
