@@ -5,10 +5,12 @@
   three classes), and L2 logistic regression stand in for the reference's
   forest / boosting / logistic models.  Parameter lists are the reference's;
   each is mapped to the nearest Spark parameter (see ``_estimator``).
-* Search (ml13): ``n_iter`` parameter sets drawn with a fixed seed, each
-  scored by k-fold cross-validation on the given ``fold`` column (the
-  deterministic folds of ``split.kfold``), via ``CrossValidator`` with
-  ``foldCol``; the fits run as Spark jobs, ``parallelism`` of them at once.
+* Search (ml13): ``n_iter`` parameter sets drawn with a fixed seed.  Every
+  (fold, draw) is one fit on the other folds and one score on the fold, and
+  ``parallelism`` of them run at once as Spark jobs; what a task does to its
+  training rows (oversampling, class weights) is done to each fold's training
+  part alone, so validation rows are never synthetic.  The best draw is refit
+  once on all rows.
 * Selection (ml18): a metrics table, best row by the task metric, ties to the
   earlier model.
 """
@@ -17,19 +19,17 @@ from __future__ import annotations
 
 import itertools
 import random
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, OneVsRest,
                                        RandomForestClassifier)
-from pyspark.ml.evaluation import (BinaryClassificationEvaluator, Evaluator,
-                                   MulticlassClassificationEvaluator, RegressionEvaluator)
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shipcast.functions.columns import numeric_columns
-from shipcast.operators.metrics import OVERSTOCK_COST, UNDERSTOCK_COST
 
 SEED = 42
 KEY = "order_id"
@@ -56,11 +56,11 @@ GRIDS = {
         "RandomForest": {"n_estimators": [100, 150, 200], "max_depth": [10, 15, 20],
                          "min_samples_split": [5, 10], "max_features": ["sqrt", "log2"]},
         "GBT": {"n_estimators": [100, 150, 200], "max_depth": [6, 8, 10], "learning_rate": [0.01, 0.05, 0.1],
-                "subsample": [0.7, 0.8, 0.9], "colsample_bytree": [0.7, 0.8, 0.9]},
+                "subsample": [0.7, 0.8, 0.9]},
     },
     "inventory": {
         "RandomForest": {"n_estimators": [100, 150, 200], "max_depth": [15, 20, 25],
-                         "min_samples_split": [5, 10], "min_samples_leaf": [2, 5]},
+                         "min_samples_split": [5, 10, 15], "max_features": ["sqrt", "log2"]},
         "GBT": {"n_estimators": [100, 150, 200], "max_depth": [6, 8, 10], "learning_rate": [0.01, 0.05, 0.1],
                 "subsample": [0.7, 0.8, 0.9], "colsample_bytree": [0.7, 0.8, 0.9]},
     },
@@ -79,9 +79,9 @@ MAX_SPARK_DEPTH = 30
 
 def assemble(df: DataFrame, feature_cols: list[str] | None = None, out: str = "features",
              exclude=(KEY, "label", "split", "fold", "weight", "is_val")) -> tuple[DataFrame, list[str]]:
-    """ml22: numeric columns -> one vector column (NULL kept as NaN)."""
+    """ml22: numeric and vector columns -> one vector column (a NULL is an error)."""
     cols = feature_cols or numeric_columns(df, exclude=exclude)
-    va = VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="keep")
+    va = VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="error")
     return va.transform(df), cols
 
 
@@ -107,7 +107,7 @@ def _estimator(family: str, kind: str, params: dict, weight_col: str | None, n_r
     p = params
     common = {"labelCol": "label", "featuresCol": "features", "seed": SEED}
     if family == "RandomForest":
-        leaf = int(p.get("min_samples_leaf", max(1, int(p.get("min_samples_split", 2)) // 2)))
+        leaf = max(int(p.get("min_samples_leaf", 1)), int(p.get("min_samples_split", 2)) // 2)
         kw = dict(numTrees=int(p["n_estimators"]), maxDepth=min(int(p["max_depth"]), MAX_SPARK_DEPTH),
                   minInstancesPerNode=leaf, featureSubsetStrategy=p.get("max_features", "sqrt"), **common)
         if kind == "regression":
@@ -139,57 +139,78 @@ def _estimator(family: str, kind: str, params: dict, weight_col: str | None, n_r
 
 # ---------------------------------------------------------------- evaluation
 
-class BusinessCostEvaluator(Evaluator):
-    """ml17 inside cross-validation: mean of 1*over + 3*under (smaller is better)."""
-
-    def __init__(self, labelCol="label", predictionCol="prediction"):
-        super().__init__()
-        self.labelCol, self.predictionCol = labelCol, predictionCol
-
-    def _evaluate(self, dataset):
-        y, p = F.col(self.labelCol), F.col(self.predictionCol)
-        cost = OVERSTOCK_COST * F.greatest(p - y, F.lit(0.0)) + UNDERSTOCK_COST * F.greatest(y - p, F.lit(0.0))
-        return float(dataset.agg(F.avg(cost)).first()[0])
-
-    def isLargerBetter(self):
-        return False
-
-
-def evaluator(task: str, metric: str | None = None):
+def cv_score(task: str):
+    """(function from predictions to a score, whether larger is better): what the
+    search of a task maximises; hard labels for the delay task, squared error for
+    the regressions (business cost only selects between families)."""
+    y, p = F.col("label"), F.col("prediction")
     kind = KIND[task]
-    metric = metric or SELECT_METRIC[task][0]
-    if metric == "business_cost":
-        return BusinessCostEvaluator()
     if kind == "regression":
-        return RegressionEvaluator(labelCol="label", predictionCol="prediction", metricName=metric)
+        return (lambda df: df.agg(F.sqrt(F.avg((p - y) * (p - y)))).first()[0]), False
     if kind == "binary":
-        # numBins=0: exact ROC, no down-sampling of the curve.
-        return BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction",
-                                             metricName="areaUnderROC", numBins=0)
-    return MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName="f1")
-
-
-def random_search(train: DataFrame, task: str, family: str, n_iter: int | None = None,
-                  grid: dict | None = None, weight_col: str | None = None, parallelism: int = 4):
-    """ml13: draw parameter sets, cross-validate each on ``fold``, return
-    (best fitted model on all of ``train``, best params, best cv metric)."""
-    grid = grid or GRIDS[task][family]
-    draws = draw_params(grid, n_iter or N_ITER[task])
-    kind = KIND[task]
+        def rate(label: float):
+            return F.avg(F.when(y == label, (p == label).cast("double")))
+        return (lambda df: df.agg((rate(1.0) + rate(0.0)) / 2).first()[0]), True
+    return (lambda df: MulticlassClassificationEvaluator(
+        labelCol="label", predictionCol="prediction", metricName="f1").evaluate(df)), True
+
+
+def weighted(train: DataFrame, task: str, family: str) -> tuple[DataFrame, str | None]:
+    """Class weights as the reference sets them: balanced for the forests of the
+    class tasks, the negative/positive ratio on positives for the delay booster."""
+    from shipcast.operators.split import class_weights, with_weights
+    if family == "RandomForest" and KIND[task] != "regression":
+        return with_weights(train, "label", "weight"), "weight"
+    if family == "GBT" and KIND[task] == "binary":
+        ratio = class_weights(train, "label").where("label = 1").first()
+        positive = float(ratio["pos_weight"] or 1.0) if ratio else 1.0
+        return train.withColumn("weight", F.when(F.col("label") == 1, positive).otherwise(1.0)), "weight"
+    return train, None
+
+
+def fit_one(train: DataFrame, task: str, family: str, params: dict):
+    """One fit with the task's weights; ``train`` has label and features."""
+    rows, weight = weighted(train, task, family)
     n_rows = train.count() if family == "Logistic" else None
-    ests = [_estimator(family, kind, d, weight_col, n_rows) for d in draws]
-    # CrossValidator tunes one estimator over param maps; here each draw is a
-    # separate estimator object, so cross-validate each and keep the best.
-    ev = evaluator(task)
-    best = None
-    for d, est in zip(draws, ests):
-        cv = CrossValidator(estimator=est, estimatorParamMaps=[{}], evaluator=ev, foldCol="fold", numFolds=N_FOLDS,
-                            parallelism=parallelism, seed=SEED)
-        m = cv.fit(train)
-        score = float(m.avgMetrics[0])
-        if best is None or (score > best[2] if ev.isLargerBetter() else score < best[2]):
-            best = (m.bestModel, d, score)
-    return best
+    return _estimator(family, KIND[task], params, weight, n_rows).fit(rows)
+
+
+def random_search(train: DataFrame, task: str, family: str, feature_cols: list[str], n_iter: int | None = None,
+                  grid: dict | None = None, balance=None, parallelism: int = 4, max_rows: int | None = None):
+    """ml13: draw parameter sets, score each on every ``fold`` of ``train``
+    (label, fold and feature columns), and return (best model refit on all rows,
+    best params, best mean score, [(draw, params, mean score)]).
+
+    ``balance`` is applied to the training part of each fold.  ``max_rows``
+    bounds the labelled rows of the search by their hash order (None: all).
+    """
+    draws = draw_params(grid or GRIDS[task][family], n_iter or N_ITER[task])
+    measure, larger = cv_score(task)
+    if max_rows:
+        train = train.orderBy(F.xxhash64(*train.columns)).limit(max_rows)
+
+    def vectors(df: DataFrame) -> DataFrame:
+        return assemble(df, feature_cols)[0].select("label", "features").persist()
+
+    held, parts = [], []
+    for k in range(N_FOLDS):
+        rest = train.where(F.col("fold") != k)
+        held.append(vectors(train.where(F.col("fold") == k)))
+        parts.append(vectors(balance(rest) if balance else rest))
+
+    def one(job):
+        k, params = job
+        return measure(fit_one(parts[k], task, family, params).transform(held[k]))
+
+    with ThreadPool(parallelism) as pool:
+        scores = pool.map(one, [(k, d) for d in draws for k in range(N_FOLDS)])
+    table = [(i, d, float(sum(scores[i * N_FOLDS:(i + 1) * N_FOLDS]) / N_FOLDS)) for i, d in enumerate(draws)]
+    _, params, best = (max if larger else min)(table, key=lambda r: r[2])
+    full = vectors(balance(train) if balance else train)
+    model = fit_one(full, task, family, params)
+    for df in (*held, *parts, full):
+        df.unpersist()
+    return model, params, best, table
 
 
 def select_best(metrics: DataFrame, metric: str, minimize: bool, seq: str = "seq") -> DataFrame:
@@ -199,12 +220,6 @@ def select_best(metrics: DataFrame, metric: str, minimize: bool, seq: str = "seq
     return metrics.withColumn("is_best", (F.row_number().over(w) == 1).cast("int"))
 
 
-def fit_final(train: DataFrame, task: str, family: str, params: dict, weight_col: str | None = None):
-    """ml20: refit the chosen configuration on all training rows."""
-    n_rows = train.count() if family == "Logistic" else None
-    return _estimator(family, KIND[task], params, weight_col, n_rows).fit(train)
-
-
 def score(model, df: DataFrame, task: str) -> DataFrame:
     """ml21: (order_id, prediction); risk classes are decoded to names."""
     from shipcast.operators.encode import decode_labels
@@ -219,5 +234,5 @@ def score(model, df: DataFrame, task: str) -> DataFrame:
 def pipeline_model(assembler_cols: list[str], model):
     """io11 helper: assembler + fitted learner as one savable pipeline."""
     from pyspark.ml import PipelineModel
-    va = VectorAssembler(inputCols=assembler_cols, outputCol="features", handleInvalid="keep")
+    va = VectorAssembler(inputCols=assembler_cols, outputCol="features", handleInvalid="error")
     return PipelineModel(stages=[va, model])

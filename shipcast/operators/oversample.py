@@ -4,16 +4,19 @@ Every smaller class is grown to the majority size with synthetic rows
 ``x + u * (nn - x)``, where ``nn`` is one of ``k`` neighbours of base row
 ``x`` in the same class and ``u`` is in [0, 1).
 
-Neighbours: rows of a class are ranked (distributed ``rank_rows``) along a
-fixed random projection of the features, a 1-D locality order; the
-neighbours of the row at rank r are the rows at ranks r +- 1, r +- 2, ...
-(cyclic).  This replaces exact Euclidean k-NN, which needs all pairs within
-a class (quadratic, and one task for a hot class).  Here each synthetic row
-costs one equi-join lookup on (class, rank).
+Base rows are drawn uniformly, by a hash of (class, copy number).  Neighbours
+are the nearest of the class by distance: candidates come from several fixed
+random projections of the features, each a distributed ranking of the class
+(``rank_rows``) in which a base row looks up the ``REACH`` rows on either side
+(no wrapping round), and of these candidates the ``k`` at the smallest
+Euclidean distance stay, the row itself left out.  All pairs of a class are
+never formed: a base row costs ``2 * REACH`` lookups a projection by equi-join
+on (class, projection, rank).  In a class of at most ``REACH + 1`` rows the
+candidates are the whole class, so its neighbours are exact; a class of one row
+only repeats that row.
 
-Determinism: base rows cycle through the class in rank order; the neighbour
-offset and ``u`` come from a hash of (class, base rank, copy number), so the
-output does not depend on partitioning or retries.
+Determinism: draws come from hashes of (class, copy number), so the output does
+not depend on partitioning or retries.
 """
 
 from __future__ import annotations
@@ -24,35 +27,28 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shipcast.operators.quantiles import stable
 from shipcast.operators.split import rank_rows
 
 SEED = 42
 K_NEIGHBOURS = 5
-
-
-def _offsets(k: int) -> list[int]:
-    out, step = [], 1
-    while len(out) < k:
-        out.append(step)
-        if len(out) < k:
-            out.append(-step)
-        step += 1
-    return out
+#: Random projections that propose neighbours, and ranks looked up on either side.
+PROJECTIONS, REACH = 4, 8
 
 
 def smote(df: DataFrame, label: str, feature_cols: Sequence[str], k: int = K_NEIGHBOURS,
-          seed: int = SEED, synthetic_col: str = "is_synthetic") -> DataFrame:
+          seed: int = SEED, synthetic_col: str = "is_synthetic",
+          carry: Sequence[str] = ()) -> DataFrame:
     """``df`` plus synthetic rows so that every class has the majority count.
-    Synthetic rows carry NULL for columns other than the label, the features,
-    and ``fold`` (inherited from the base row when present)."""
+    Synthetic rows take ``fold`` (when present) and the ``carry`` columns from
+    their base row; other columns than these, the label and the features are NULL."""
     feature_cols = list(feature_cols)
     rng = random.Random(seed)
-    weights = [rng.gauss(0.0, 1.0) for _ in feature_cols]
-    proj = sum((F.coalesce(F.col(c).cast("double"), F.lit(0.0)) * w for c, w in zip(feature_cols, weights)),
-               F.lit(0.0))
+    feats = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in feature_cols])
+    carry = [c for c in ("fold", *carry) if c in df.columns]
     key = "_row"
-    base = df.withColumn(key, F.xxhash64(*[F.col(c) for c in df.columns]))
-    ranked = rank_rows(base, [proj, F.col(key)], by=[label])  # adds _rank, _n (class size)
+    base = (df.select(label, *carry, feats.alias("_x"), F.xxhash64(*[F.col(c) for c in df.columns]).alias(key))
+            .where(F.col(label).isNotNull()))
 
     # Class sizes are plan metadata (one row per class).
     sizes = {r[0]: r[1] for r in df.groupBy(label).agg(F.count(F.lit(1))).collect()}
@@ -65,28 +61,45 @@ def smote(df: DataFrame, label: str, feature_cols: Sequence[str], k: int = K_NEI
         m = n_max - n
         if m <= 0 or cls is None:
             continue
-        # Synthetic indices t = 0..m-1, spread evenly over tasks; base row is
-        # rank t mod n, so a tiny class with a huge deficit is not one task.
+        # Synthetic indices t = 0..m-1, spread evenly over tasks, so a tiny
+        # class with a huge deficit is not one task.
         part = spark.range(0, m, 1, max(1, min(nparts, m // 10000 + 1))).select(
             F.lit(cls).cast(lab_type).alias(label), F.col("id").alias("_t"),
             F.lit(n).cast("long").alias("_n"))
         idx = part if idx is None else idx.unionByName(part)
     if idx is None:
         return df.withColumn(synthetic_col, F.lit(0))
-    offs = F.array(*[F.lit(o) for o in _offsets(k)])
     h = F.xxhash64(F.col(label), F.col("_t"), F.lit(seed))
-    idx = idx.select(
-        label, "_t",
-        F.pmod(F.col("_t"), F.col("_n")).alias("_rank"),
-        F.pmod(F.pmod(F.col("_t"), F.col("_n")) + F.element_at(offs, (F.pmod(h, F.lit(k)) + 1).cast("int")),
-               F.col("_n")).alias("_nr"),
-        (F.pmod(F.xxhash64(h, F.lit(1)), F.lit(1 << 30)) / float(1 << 30)).alias("_u"))
-    carry = [c for c in ("fold",) if c in df.columns]
-    feats = F.array(*[F.col(c).cast("double") for c in feature_cols])
-    base_rows = ranked.select(label, "_rank", *carry, feats.alias("_x"))
-    nbr = ranked.select(label, F.col("_rank").alias("_nr"), feats.alias("_y"))
+    ranked = stable(rank_rows(base, [F.col(key)], by=[label]).drop("_n"))  # numbered rows of every class
+    idx = idx.select(label, "_t", F.pmod(h, F.col("_n")).alias("_rank"), F.xxhash64(h, F.lit(2)).alias("_pick"),
+                     (F.pmod(F.xxhash64(h, F.lit(1)), F.lit(1 << 30)) / float(1 << 30)).alias("_u"))
+    idx = stable(idx)
+
+    # The k nearest candidates of every drawn row.
+    wanted = idx.select(label, "_rank").distinct()
+    tables = None
+    for p in range(PROJECTIONS):
+        weights = F.array(*[F.lit(rng.gauss(0.0, 1.0)) for _ in feature_cols])
+        along = F.aggregate(F.zip_with("_x", weights, lambda x, w: x * w), F.lit(0.0), lambda acc, v: acc + v)
+        line = rank_rows(ranked.select(label, "_rank", "_x"), [along, F.col("_rank")], by=[label],
+                         rank_col="_at", size_col="_size").withColumn("_p", F.lit(p)).drop("_size")
+        tables = line if tables is None else tables.unionByName(line)
+    tables = stable(tables)
+    asked = (tables.join(wanted, [label, "_rank"])
+             .select(label, "_p", F.col("_rank").alias("_base"), F.col("_x").alias("_bx"),
+                     F.explode(F.sequence(F.col("_at") - REACH, F.col("_at") + REACH)).alias("_at")))
+    gap = F.aggregate(F.zip_with("_bx", "_x", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, v: acc + v)
+    near = (asked.join(tables, [label, "_p", "_at"]).where("_rank <> _base")
+            .select(label, "_base", F.struct(gap.alias("d"), F.col("_rank").alias("r")).alias("_c")).distinct()
+            .groupBy(label, "_base").agg(F.slice(F.array_sort(F.collect_list("_c")), 1, k).alias("_near")))
+    # A row alone in its class is its own neighbour.
+    choice = (idx.join(near, (idx[label] == near[label]) & (idx["_rank"] == near["_base"]), "left")
+              .select(idx[label], "_rank", "_u", F.coalesce(
+                  F.get("_near", F.pmod(F.col("_pick"), F.size("_near")).cast("int"))["r"], F.col("_rank")).alias("_nr")))
+    base_rows = ranked.select(label, "_rank", *carry, "_x")
+    nbr = ranked.select(label, F.col("_rank").alias("_nr"), F.col("_x").alias("_y"))
     # Equi-joins on (class, rank); AQE splits a hot key on the index side.
-    syn = idx.join(base_rows, [label, "_rank"]).join(nbr, [label, "_nr"])
+    syn = choice.join(base_rows, [label, "_rank"]).join(nbr, [label, "_nr"])
     mixed = F.zip_with("_x", "_y", lambda a, b: a + F.col("_u") * (b - a))
     syn = syn.select(label, *carry, mixed.alias("_z"))
     out_cols = []

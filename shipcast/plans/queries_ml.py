@@ -9,7 +9,8 @@ from shipcast.operators import baseline as B
 from shipcast.operators import encode as E
 from shipcast.operators import metrics as MT
 from shipcast.operators import split as S
-from shipcast.plans.catalog import _ship, _train, r, register, rounded
+from shipcast.operators.quantiles import stable
+from shipcast.plans.catalog import ORACLE, _ship, _train, r, register, rounded
 from shipcast.plans.oracle import with_shipments
 from shipcast.sources.shipments import train_test
 
@@ -205,7 +206,7 @@ def _fitted(spark, sf, task, family):
         train, _, cols = _prepared(spark, sf, task)
         params = M.draw_params(M.GRIDS[task][family], 1)[0]
         tr, _ = M.assemble(train, cols)
-        _FITTED[key] = M.fit_final(tr, task, family, params)
+        _FITTED[key] = M.fit_one(tr.select("label", "features"), task, family, params)
     return _FITTED[key]
 
 
@@ -239,8 +240,7 @@ def io06(spark, sf):
     from shipcast.plans.preprocess import run_pipeline
     from shipcast.sources import sinks
     out = run_pipeline(_ship(spark, sf), "cost")
-    path = sinks.write_csv(out, sinks.new_path(spark, "processed_cost"))
-    return spark.read.option("header", True).csv(path)
+    return spark.read.parquet(sinks.write_parquet(out, sinks.new_path(spark, "processed_cost")))
 
 
 @register("ml05_smote")
@@ -254,19 +254,23 @@ def ml05(spark, sf):
     return smote(df, "label", feats)
 
 
+@register("ml05_smote_class_counts", W("""SELECT CASE supply_chain_disruption_risk WHEN 'Low_Risk' THEN 0
+ WHEN 'Medium_Risk' THEN 1 WHEN 'High_Risk' THEN 2 END AS label, count(*) AS n_rows,
+ max(count(*)) OVER () - count(*) AS n_synthetic FROM train GROUP BY 1"""))
+def ml05_counts(spark, sf):
+    """Rows and synthetic rows of each class after oversampling."""
+    return ml05(spark, sf).groupBy("label").agg(F.count_if(F.col("is_synthetic") == 0).alias("n_rows"),
+                                                F.count_if(F.col("is_synthetic") == 1).alias("n_synthetic"))
+
+
 @register("ml13_random_search")
 def ml13(spark, sf):
-    """Logistic search for the delay task: the reference's C list, 5 draws, 5 folds."""
+    """Logistic search for the delay task: the reference's C list, 5 folds, one row per draw."""
     from shipcast.operators import models as M
     train, _, cols = _prepared(spark, sf, "delay")
-    fit = S.kfold(train, "label")
-    fit_v, _ = M.assemble(fit, cols)
-    fit_v = fit_v.select("label", "fold", "features").cache()
-    rows = []
-    for i, d in enumerate(M.draw_params(M.GRIDS["delay"]["Logistic"], M.N_ITER["delay"])):
-        _, _, cv = M.random_search(fit_v, "delay", "Logistic", grid={"C": [d["C"]]}, n_iter=1)
-        rows.append((i, float(d["C"]), float(cv)))
-    return spark.createDataFrame(rows, "seq int, C double, cv_auc double")
+    fit = stable(S.kfold(train, "label").select("label", "fold", *cols))
+    table = M.random_search(fit, "delay", "Logistic", cols)[3]
+    return spark.createDataFrame([(i, float(d["C"]), float(cv)) for i, d, cv in table], "seq int, C double, cv_auc double")
 
 
 def _task_query(task, families):
@@ -310,6 +314,26 @@ def ag27(spark, sf):
     return c.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(0))))
 
 
+@register("ag27_delayed_share_and_spend")
+def ag27_delay_spend(spark, sf):
+    """Share of orders predicted delayed, and total predicted spend, over the test orders."""
+    late = _family_query("delay", "Logistic")(spark, sf).agg(F.avg("prediction").alias("delayed_share"))
+    spend = _family_query("cost", "RandomForest")(spark, sf).agg(F.sum("prediction").alias("total_spend"))
+    return late.crossJoin(spend)  # one row each
+
+
+@register("cl01_repair_count", W("SELECT count(*) FILTER (actual_delivery_days < 0) AS n_fixed FROM train"))
+def cl01_count(spark, sf):
+    from shipcast.operators.clean import count_repairs
+    return count_repairs(_train(spark, sf))
+
+
+@register("pp01_null_report")
+def pp01_nulls(spark, sf):
+    from shipcast.plans.preprocess import null_report, run_pipeline
+    return null_report(run_pipeline(_ship(spark, sf), "all"))
+
+
 @register("fx12_overstock_flag")
 def fx12(spark, sf):
     from shipcast.operators.features import overstock_flag
@@ -335,7 +359,7 @@ def io09(spark, sf):
     return spark.read.option("header", True).csv(path)
 
 
-@register("io10_sink_metrics")
+@register("io10_sink_metrics", ORACLE["ml18_select_best"])
 def io10(spark, sf):
     from shipcast.sources import sinks
     m = ml18(spark, sf)

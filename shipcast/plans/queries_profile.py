@@ -9,7 +9,7 @@ from shipcast.plans.catalog import (NUMERIC, SHIP_COLUMNS, STRINGS, _ship, _trai
                                     pct2_sql, q, r, register, rounded, union)
 from shipcast.plans.oracle import with_shipments
 from shipcast.sources import sinks
-from shipcast.sources.tables import coerce_timestamps, read_csv, text_schema
+from shipcast.sources.tables import coerce_timestamps, load_parquet_splits, read_csv, text_schema
 
 W = with_shipments
 
@@ -18,7 +18,12 @@ W = with_shipments
 
 @register("io01_scan_parquet", W("SELECT * FROM shipments"))
 def io01(spark, sf):
-    return _ship(spark, sf)
+    """Both splits written as Parquet and read by the loader."""
+    ship = _ship(spark, sf)
+    path = sinks.write_parquet(ship, sinks.new_path(spark, "splits"))
+    train, test = load_parquet_splits(spark, f"{path}/split=train", f"{path}/split=test")
+    return (train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+            .select(*ship.columns))
 
 
 @register("io02_scan_csv", W("SELECT * FROM shipments"))
@@ -294,7 +299,15 @@ def ag19(spark, sf):
     return rounded(P.describe(_train(spark, sf)))
 
 
-@register("ag19_describe_datetime")
+def _moments_sql(c):
+    u = f"epoch_us(CAST({c} AS TIMESTAMP))"
+    at = lambda e: f"make_timestamp(CAST(round({e}) AS BIGINT))"
+    return (f"SELECT '{c}' AS \"column\", count({c}) AS count, {at(f'avg({u})')} AS mean, {at(f'min({u})')} AS min, "
+            + ", ".join(f"{at(f'quantile_cont({u}, {q})')} AS {n}" for q, n in ((0.25, 'q25'), (0.5, 'q50'), (0.75, 'q75')))
+            + f", {at(f'max({u})')} AS max FROM train")
+
+
+@register("ag19_describe_datetime", W(union([_moments_sql(c) for c in ("order_date", "order_timestamp")])))
 def ag19d(spark, sf):
     return P.describe_datetime(_train(spark, sf))
 

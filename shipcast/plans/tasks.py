@@ -1,9 +1,9 @@
 """ml23: one model task end to end.
 
 prepare (pp01 for the task, labels re-attached by key) -> hold-out split
-(stratified for classes) -> folds on the fitting part -> oversampling of the
-fitting part (risk task; D5: validation rows are never oversampled) ->
-random search per model family with k-fold CV -> validation metrics ->
+(stratified for classes) -> folds on the fitting part -> random search per model
+family with k-fold CV, oversampling each fold's training part (risk task; D5:
+validation rows are never oversampled) -> validation metrics ->
 selection -> refit on all train rows -> test scores.
 """
 
@@ -19,6 +19,7 @@ from shipcast.operators import metrics as MT
 from shipcast.operators import models as M
 from shipcast.operators import split as S
 from shipcast.operators.oversample import smote
+from shipcast.operators.quantiles import stable
 from shipcast.plans.preprocess import run_pipeline
 from shipcast.sources.shipments import shipments_table
 
@@ -77,48 +78,39 @@ def _validate(model, val: DataFrame, task: str) -> dict:
 
 
 def run_task(spark: SparkSession, sf_dir: str, task: str, families: list[str] | None = None,
-             n_iter: int | None = None, parallelism: int = 4) -> dict:
-    """Returns {"metrics": DataFrame, "predictions": DataFrame, "model": fitted
-    learner, "feature_cols": list, "best": (family, params)}."""
+             n_iter: int | None = None, parallelism: int = 4, max_rows: int | None = None) -> dict:
+    """Returns {"metrics": DataFrame (one row per family: best parameters, cross-
+    validation score, validation metrics), "search": DataFrame (one row per family
+    and draw), "predictions": DataFrame, "model": fitted learner, "feature_cols":
+    list, "best": (family, params)}."""
     train, test, cols = prepare(spark, sf_dir, task)
     strat = "label" if M.KIND[task] != "regression" else None
     split = S.holdout(train, strat)
-    fit_part = S.kfold(split.where(F.col("is_val") == 0).drop("is_val"), strat)
-    val = split.where(F.col("is_val") == 1).drop("is_val")
+    fit_part = S.kfold(split.where(F.col("is_val") == 0).drop("is_val"), strat).select("label", "fold", *cols)
+    fit_part = stable(fit_part)
+    val_v, _ = M.assemble(split.where(F.col("is_val") == 1).drop("is_val"), cols)
+    balance = None
     if task == "risk":
-        fit_part = smote(fit_part, "label", cols)
-    weight = None
-    if task in ("risk", "delay"):
-        fit_part = S.with_weights(fit_part, "label", "weight")
-        weight = "weight"
-    fit_v, _ = M.assemble(fit_part, cols)
-    val_v, _ = M.assemble(val, cols)
-    fit_v = fit_v.select("label", "fold", *([weight] if weight else []), "features").cache()
-
-    rows, models = [], {}
-    fams = families or list(M.GRIDS[task])
-    for seq, fam in enumerate(fams):
-        w = weight if fam != "GBT" or M.KIND[task] == "binary" else None
-        model, params, cv = M.random_search(fit_v, task, fam, n_iter, weight_col=w, parallelism=parallelism)
+        flat = [c for c in cols if not c.endswith("_vec")]
+        balance = lambda df: smote(df, "label", flat, carry=[c for c in cols if c not in flat])
+
+    rows, draws, best_params = [], [], {}
+    for seq, fam in enumerate(families or list(M.GRIDS[task])):
+        model, params, cv, table = M.random_search(fit_part, task, fam, cols, n_iter, balance=balance,
+                                                   parallelism=parallelism, max_rows=max_rows)
         res = _validate(model, val_v, task)
-        models[fam] = (params, w)
+        best_params[fam] = params
         rows.append({"model": fam, "seq": seq, "cv_metric": cv, "params": str(params),
                      **{k: (float(v) if v is not None else None) for k, v in res.items()}})
+        draws += [(fam, i, str(p), s) for i, p, s in table]
     metric, minimize = M.SELECT_METRIC[task]
-    table = spark.createDataFrame(rows)  # one row per model family: small by construction
-    table = M.select_best(table, metric, minimize)
+    table = M.select_best(spark.createDataFrame(rows), metric, minimize)  # one row per model family
     best = table.where(F.col("is_best") == 1).first()["model"]
-    params, w = models[best]
 
-    full = train
-    if task == "risk":
-        full = smote(full, "label", cols)
-    if weight:
-        full = S.with_weights(full, "label", "weight")
-    full_v, _ = M.assemble(full, cols)
-    final = M.fit_final(full_v, task, best, params, w)
+    full = train.select("label", *cols)
+    full_v, _ = M.assemble(balance(full) if balance else full, cols)
+    final = M.fit_one(full_v.select("label", "features"), task, best, best_params[best])
     test_v, _ = M.assemble(test, cols)
-    preds = M.score(final, test_v, task)
-    fit_v.unpersist()
-    return {"metrics": table, "predictions": preds, "model": final, "feature_cols": cols,
-            "best": (best, params)}
+    return {"metrics": table, "search": spark.createDataFrame(draws, "model string, draw int, params string, cv_metric double"),
+            "predictions": M.score(final, test_v, task), "model": final, "feature_cols": cols,
+            "best": (best, best_params[best])}

@@ -132,23 +132,31 @@ def train_test(df: DataFrame) -> tuple[DataFrame, DataFrame]:
             df.where(F.col("split") == "test").drop("split"))
 
 
+#: (application, folder, state of its files): (path, schema) of the written order table.
 _WRITTEN: dict = {}
+_INPUTS = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+
+
+def _state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Size and time of every input, so that a changed input is built anew."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    paths = [jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{t}.parquet") for t in _INPUTS]
+    found = [p.getFileSystem(conf).getFileStatus(p) for p in paths]
+    return tuple((f.getLen(), f.getModificationTime()) for f in found)
 
 
 def shipments_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The order table written once per application as Parquet in the shared
-    folder, partitioned by ``split``, and scanned from there.
+    """The order table written once per application and state of its inputs as
+    Parquet in the shared folder, partitioned by ``split``, and scanned from there.
 
     This is the flat order file the workload starts from: building it once
     replaces re-running the star join in every fit and apply step, later
     scans prune columns, and a ``split`` filter prunes whole folders."""
     from shipcast.session import scratch_path
-    key = (spark.sparkContext.applicationId, sf_dir)
-    path = _WRITTEN.get(key)
-    if path is None:
-        path = scratch_path(spark, "shipments")
-        shipments(spark, sf_dir).write.mode("overwrite").partitionBy("split").parquet(path)
-        _WRITTEN[key] = path
-    df = spark.read.parquet(path)
-    cols = [c for c in shipments(spark, sf_dir).columns]
-    return df.select(*cols)
+    key = (spark.sparkContext.applicationId, sf_dir, _state(spark, sf_dir))
+    if key not in _WRITTEN:
+        path, built = scratch_path(spark, "shipments"), shipments(spark, sf_dir)
+        built.write.mode("overwrite").partitionBy("split").parquet(path)
+        _WRITTEN[key] = path, built.schema
+    path, schema = _WRITTEN[key]
+    return spark.read.schema(schema).parquet(path).select(*schema.names)

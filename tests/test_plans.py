@@ -36,3 +36,15 @@ def test_value_share_has_no_window(spark):
     for name in ("ag02_value_share_nonnull", "ag03_value_share_allrows"):
         plan = entry.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "Window" not in plan
+
+
+def test_row_features_start_no_job_and_need_no_exchange(spark):
+    """Building a row-wise feature runs nothing, and its plan is one scan."""
+    entry.queries()["fe01_month_num"](spark, SF_SMALL)  # the order table is there now
+    for name in ("fe01_month_num", "fe08_cost_per_unit", "fx03_inv_gap", "fe13_log1p_costs"):
+        group = f"watch-{name}"
+        spark.sparkContext.setJobGroup(group, name)
+        plan = entry.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert not jobs and "Exchange" not in plan and plan.count("FileScan") == 1
