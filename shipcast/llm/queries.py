@@ -75,6 +75,25 @@ def op7_substring_dedup(spark, sf_dir):
     return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+OP7_SQL = """
+WITH words AS (
+    SELECT doc_id, unnest(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS word,
+           generate_subscripts(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), 1) AS pos
+    FROM documents WHERE text IS NOT NULL),
+windows AS (
+    SELECT *, CASE WHEN count(*) OVER ahead = 13 THEN string_agg(word, ' ') OVER ahead END AS run
+    FROM words WINDOW ahead AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)),
+firsts AS (SELECT run, min(doc_id) AS first_id FROM windows WHERE run IS NOT NULL GROUP BY run),
+covered AS (
+    SELECT w.doc_id, w.pos, w.word, coalesce(max(CASE WHEN f.first_id < w.doc_id THEN 1 ELSE 0 END) OVER (
+        PARTITION BY w.doc_id ORDER BY w.pos ROWS BETWEEN 12 PRECEDING AND CURRENT ROW), 0) = 1 AS gone
+    FROM windows w LEFT JOIN firsts f ON w.run = f.run)
+SELECT d.doc_id, count(c.pos) AS n_words, count(*) FILTER (c.gone) AS n_removed,
+       sha256(coalesce(string_agg(c.word, ' ' ORDER BY c.pos) FILTER (NOT c.gone), '')) AS kept_sha256
+FROM documents d LEFT JOIN covered c ON d.doc_id = c.doc_id GROUP BY d.doc_id
+"""
+
+
 def op8_simhash_near_dedup(spark, sf_dir):
     near = simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=4, radius=4)
     return near.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -95,4 +114,4 @@ def op10_pii(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_source_mixing, op3_quality_attention, op4_line_dedup, op5_quartile_digest, op6_e8_lattice, op7_substring_dedup, op8_simhash_near_dedup, op9_license_scan, op10_pii)}
-ORACLE = {"op4_line_dedup": OP4_SQL}
+ORACLE = {"op4_line_dedup": OP4_SQL, "op7_substring_dedup": OP7_SQL}
