@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shipcast.llm.common import BLOCK, components, group_links, written
+from shipcast.llm.common import components, group_links, written
 
 THRESHOLD = 0.98
 TABLES, PROBES = 6, 2
@@ -37,6 +37,8 @@ TABLES, PROBES = 6, 2
 #: at cosine 0.98 in 64 dimensions, and 0.02 % of unrelated pairs are candidates; a larger scale is more selective.
 SCALE = 1.3
 SEED = 5
+#: Classes of a component that one task counts against as many others.
+COUNTED = 256
 
 
 def roots() -> np.ndarray:
@@ -139,7 +141,7 @@ def near_duplicates(table: DataFrame, threshold: float = THRESHOLD, tables: int
 
     # Links within components: blocks of classes, every pair of blocks once.
     wholes = joined.groupBy("root").agg(F.min("first_id").alias("component_id"), F.count("*").alias("classes"))
-    wholes = written(wholes.withColumn("blocks", F.ceil(F.col("classes") / BLOCK).cast("int")), "lattice-components")
+    wholes = written(wholes.withColumn("blocks", F.ceil(F.col("classes") / COUNTED).cast("int")), "lattice-components")
     dealt = (joined.join(wholes.where("classes > 1"), "root")
              .withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
