@@ -20,7 +20,7 @@ time, so a passage that a third of all documents share reaches its part once a
 batch.  The same holds for windows.  Answers go back to the batch's list of
 documents, and from there by document.
 
-Words and windows are compared by 64-bit hashes (anchors: 39 bits, which only
+Words and windows are compared by 64-bit hashes (anchors: 43 bits, which only
 preselect), so two different windows would have to collide for a wrong removal.
 
 Null text has no words.  A null doc_id comes after all others.  Rows with equal
@@ -44,7 +44,10 @@ from shipcast.llm.common import partitions, runs, written
 WINDOW = 13
 LAST = (1 << 63) - 1  # stands for a null doc_id
 #: Words of a batch, bytes hashed at a time, words of a piece of a very long document.
-BATCH_WORDS, CHUNK, PIECE = 1 << 20, 1 << 21, 1 << 23
+BATCH_WORDS, CHUNK, PIECE = 1 << 20, 1 << 21, (1 << 20) - 64
+#: An anchor entry: this many bits of hash, of place in the batch, and one that marks an index block.
+PLACE = 20
+HASH = 63 - PLACE
 SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
 BASE, STEP = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 _powers: dict[int, np.ndarray] = {}
@@ -136,7 +139,8 @@ def unstretched(raw: bytes) -> np.ndarray:
 ENTRIES, DOCUMENTS, HITS = 0, 1, 2
 SENT = "part int, batch long, kind int, a binary, ids binary, places binary"
 ANSWER = "batch long, kind int, a binary"
-PLACE_BITS = np.uint64((1 << 24) - 1)
+PLACE_BITS = np.uint64((1 << PLACE) - 1)
+BELOW = np.uint64(PLACE + 1)  # bits below the hash
 
 
 def sent(rows: list[tuple]) -> pa.RecordBatch:
@@ -251,17 +255,16 @@ def anchor_hits(docs: DataFrame, window: int) -> DataFrame:
             doc = np.repeat(np.arange(len(base)), inside)
             at = np.arange(len(doc)) - np.repeat(np.cumsum(inside) - inside, inside)
             place = base[doc] + at
-            # 39 bits of hash, 24 of place, 1 that says whether the run is an index block
-            code = rolling(np.concatenate(batch.words), place, block) >> np.uint64(25) << np.uint64(25)
+            code = rolling(np.concatenate(batch.words), place, block) >> BELOW << BELOW
             code |= place.astype(np.uint64) << np.uint64(1) | ((at + first[doc]) % block == 0).astype(np.uint64)
             code.sort()
-            starts, sizes = runs(code >> np.uint64(25))
+            starts, sizes = runs(code >> BELOW)
             # Runs that repeat within the batch are hits; one of each goes on, as index block if any is.
             several = code[np.repeat(sizes > 1, sizes)]
             rows = batch.rows(several >> np.uint64(1) & PLACE_BITS)
             code = code[starts] | np.bitwise_or.reduceat(code & np.uint64(1), starts)
             yield sent(rows + [(k, batch.number, ENTRIES, planes(code[a:b]), None, None)
-                               for k, a, b in batch.edges(code >> np.uint64(25), 39)])
+                               for k, a, b in batch.edges(code >> BELOW, HASH)])
 
     def meet(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         if (through := passed(table)) is not None:
@@ -269,8 +272,8 @@ def anchor_hits(docs: DataFrame, window: int) -> DataFrame:
         packets = table.column("a").to_pylist()
         code = unplanes(packets, "<u8")
         batch = np.repeat(table.column("batch").to_numpy(), [len(p) // 8 for p in packets])
-        order = np.argsort(code >> np.uint64(25), kind="stable")
-        starts, sizes = runs((code >> np.uint64(25))[order])
+        order = np.argsort(code >> BELOW, kind="stable")
+        starts, sizes = runs((code >> BELOW)[order])
         indexed = np.bitwise_or.reduceat(code[order] & np.uint64(1), starts).astype(bool)
         hit = order[np.repeat((sizes > 1) & indexed, sizes)]
         return hits(batch[hit], code[hit] >> np.uint64(1) & PLACE_BITS)
