@@ -35,9 +35,9 @@ def regression_metrics(df: DataFrame, label: str = "label", pred: str = "predict
     y, p = F.col(label), F.col(pred)
     e = y - p
     s = df.agg(F.count(F.lit(1)).alias("n"), F.sum(e * e).alias("_sse"), F.avg(F.abs(e)).alias("mae"),
-               F.avg(F.when(y != 0, F.abs(e / y))).alias("_mape"), F.avg(y).alias("_ybar"),
-               F.sum(y * y).alias("_syy"), F.sum(y).alias("_sy"))
-    sst = F.col("_syy") - F.col("_sy") * F.col("_sy") / F.col("n")
+               F.avg(F.when(y != 0, F.abs(e / y))).alias("_mape"),
+               F.var_pop(y).alias("_var"), F.count(y).alias("_ny"))
+    sst = F.col("_var") * F.col("_ny")  # centred sums: large labels do not cancel
     return s.select("n", F.sqrt(F.try_divide(F.col("_sse"), F.col("n"))).alias("rmse"), "mae",
                     (F.col("_mape") * 100).alias("mape"),
                     (1 - F.try_divide(F.col("_sse"), sst)).alias("r2"))

@@ -295,10 +295,8 @@ def jn03(spark, sf):
     return _family_query("inventory", "RandomForest")(spark, sf)
 
 
-@register("ag25_prediction_stats")
-def ag25(spark, sf):
+def _prediction_stats(p):
     from shipcast.operators.quantiles import quantiles_wide
-    p = _family_query("cost", "RandomForest")(spark, sf)
     # The median uses the rank-based quantile: no single task holds the column.
     med = quantiles_wide(p, ["prediction"], [0.5], names={("prediction", 0.5): "median"})
     s = p.agg(F.avg("prediction").alias("mean"), F.min("prediction").alias("min"),
@@ -306,6 +304,18 @@ def ag25(spark, sf):
     return s.crossJoin(med).select("mean", "median", "min", "max")
 
 
+@register("ag25_prediction_stats")
+def ag25(spark, sf):
+    return _prediction_stats(_family_query("cost", "RandomForest")(spark, sf))
+
+
+@register("ag25_prediction_stats_baseline", W(f"""SELECT {r('avg(p)', 'mean')}, {r('quantile_cont(p, 0.5)', 'median')},
+ {r('min(p)', 'min')}, {r('max(p)', 'max')} FROM ({_baseline_sql('realistic_total_cost', ['product_category'])})"""))
+def ag25_baseline(spark, sf):
+    """The same statistics of the group-mean predictor, which SQL can make too."""
+    return rounded(_prediction_stats(_baseline_scored(spark, sf, "realistic_total_cost", ["product_category"])))
+
+
 @register("ag27_prediction_class_share")
 def ag27(spark, sf):
     p = _family_query("risk", "RandomForest")(spark, sf)
@@ -334,6 +344,26 @@ def pp01_nulls(spark, sf):
     return null_report(run_pipeline(_ship(spark, sf), "all"))
 
 
+@register("fx12_overstock_flag_baseline", W(f"""SELECT count(*) FILTER (stock > p) AS n_overstocked, count(*) AS n_orders
+FROM ({_baseline_sql('optimal_stock_days', ['product_category']).replace(' AS y,', ' AS y, t.current_stock_days AS stock,')})"""))
+def fx12_baseline(spark, sf):
+    """Overstocked orders against the group-mean predictor, which SQL can make too."""
+    from shipcast.operators.features import overstock_flag
+    train, test = train_test(_ship(spark, sf))
+    state = B.fit_group_mean(train, "optimal_stock_days", ["product_category"])
+    scored = B.predict_group_mean(test.where(F.col("optimal_stock_days").isNotNull()), state, ["product_category"])
+    return overstock_flag(scored).agg(F.count_if(F.col("overstocked") == 1).alias("n_overstocked"),
+                                      F.count(F.lit(1)).alias("n_orders"))
+
+
+@register("ag27_predicted_spend_baseline", W(f"""SELECT {r('sum(p)', 'total_spend', 2)}, count(*) AS n_orders
+FROM ({_baseline_sql('realistic_total_cost', ['product_category'])})"""))
+def ag27_baseline(spark, sf):
+    """Total predicted spend of the group-mean predictor."""
+    scored = _baseline_scored(spark, sf, "realistic_total_cost", ["product_category"])
+    return rounded(scored.agg(F.sum("prediction").alias("total_spend"), F.count(F.lit(1)).alias("n_orders")), 2)
+
+
 @register("fx12_overstock_flag")
 def fx12(spark, sf):
     from shipcast.operators.features import overstock_flag
