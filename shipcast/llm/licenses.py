@@ -1,15 +1,22 @@
 """License scans by conditional compression.
 
-Candidate blocks are the lines that hold a cue word, joined over at most
-``GAP`` lines between them.  A block is compressed alone and with each license
-template as a raw zstandard dictionary; templates are ranked by how much
-smaller the block gets.  Templates that save at least ``MIN_REDUCTION`` are
-confirmed by their exact wording differences: the words of the template that
-the block lacks must be at most ``MAX_MISSING`` of them (none of a short one).
+Texts are searched in windows around their cue words: ``reach`` words on both
+sides, twice the words of the longest template, so that a notice lies in a
+window whole, however its lines are wrapped and whatever comment prefix they
+carry.  Windows overlap by ``reach`` words and are bounded in words, so a long
+text is scanned whole, a window at a time.  In a window every place is found
+where a template is confirmed by its exact wording differences: the words of
+the template that the place lacks must be at most ``MAX_MISSING`` of them (none
+of a short one), and the place must save at least ``MIN_REDUCTION`` when it is
+compressed with the template as a raw zstandard dictionary.
 
-Documents are judged row by row in one pass, without a shuffle; texts are
-scanned whole, a long block in windows a few times the template's length.
-Blocks that repeat are scored once for each task (a bounded memory of results).
+A block is the lines of such places that share lines, with the cue lines
+around them (joined over at most ``GAP`` lines between them).  It is compressed
+alone and with each license template found in it; templates are ranked by how
+much smaller the block gets.
+
+Documents are judged row by row in one pass, without a shuffle.  Windows that
+repeat are searched once for each task (a bounded memory of results).
 
 Null and empty texts have no blocks; repeated rows give repeated results; a
 null doc_id is kept; an empty table gives an empty result.  Only doc_id and
@@ -20,6 +27,9 @@ from __future__ import annotations
 
 import difflib
 import re
+import string
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,7 +38,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CUES = r"(?i)licen[sc]|copyright|\(c\) [0-9]{4}|all rights reserved|public domain|spdx|warrant(y|ies)|redistribut"
+# Cues of several words may be broken over lines, with a comment prefix between.
+CUES = (r"(?i)licen[sc]|copyright|\(c\) [0-9]{4}|all[^0-9a-z]+rights[^0-9a-z]+reserved|public[^0-9a-z]+domain|spdx"
+        r"|warrant(y|ies)|redistribut")
+WORD = re.compile(r"\S+")
+EDGES = string.punctuation + "\u201c\u201d\u2018\u2019\u00ab\u00bb"
 GAP = 2
 LEVEL = 3
 MIN_REDUCTION, MAX_MISSING = 0.2, 0.1
@@ -79,11 +93,11 @@ TEMPLATES = {
 
 
 def wording(text: str) -> list[str]:
-    return [w for w in (x.strip(".,;:()\"'").lower() for x in text.split()) if w]
+    return [w for w in (x.strip(EDGES).lower() for x in text.split()) if w]
 
 
 def blocks(text: str) -> list[tuple[int, int, str]]:
-    """(first line, last line, text) of each candidate block."""
+    """(first line, last line, text) of each run of cue lines."""
     lines = text.split("\n")
     cues = [i for i, line in enumerate(lines) if re.search(CUES, line)]
     out = []
@@ -95,48 +109,179 @@ def blocks(text: str) -> list[tuple[int, int, str]]:
     return [(a, b, "\n".join(lines[a:b + 1])) for a, b in out]
 
 
-def differences(block: list[str], template: list[str]) -> tuple[int, int]:
-    """Words of the template that the block lacks, and further words amid those it has, at the best place."""
-    span = max(8, 2 * len(template))
-    best = (len(template), 0)
-    for begin in range(0, max(1, len(block) - len(template)), len(template)):
-        part = block[begin:begin + span]
-        found = [m for m in difflib.SequenceMatcher(None, part, template, False).get_matching_blocks() if m.size]
-        if found:
-            same = sum(m.size for m in found)
-            extra = found[-1].a + found[-1].size - found[0].a - same
-            best = min(best, (len(template) - same, extra))
-    return best
+def backward(text: str, at: int, floor: int, n: int) -> int:
+    """Where the ``n`` words before ``at`` begin, not before ``floor``."""
+    step, low = 16 * n, at
+    while low > floor:
+        low = max(floor, low - step)
+        starts = [m.start() for m in WORD.finditer(text, low, at)]
+        if len(starts) > n:  # the first one may be a part of a word
+            return starts[-n]
+        step *= 2
+    return floor
+
+
+def forward(text: str, at: int, n: int) -> int:
+    end = at
+    for k, m in enumerate(WORD.finditer(text, at)):
+        if k > n:  # the first one may be a part of a word
+            break
+        end = m.end()
+    return end
+
+
+def regions(text: str, reach: int) -> Iterator[tuple[int, int]]:
+    """Stretches of the text that reach ``reach`` words to both sides of the cues in them."""
+    begin = end = last = None
+    for m in re.finditer(CUES, text):
+        if begin is None:
+            begin = backward(text, m.start(), 0, reach)
+        elif m.start() - last > 2 * reach:  # nearer cues are surely within reach
+            end = forward(text, last, reach)
+            start = backward(text, m.start(), last, reach)
+            if start > end:
+                yield begin, end
+                begin = start
+        last = m.end()
+    if begin is not None:
+        yield begin, forward(text, last, reach)
+
+
+def windows(text: str, reach: int) -> Iterator[list[tuple[str, int, int]]]:
+    """(word, begin, end) in windows of 3 * ``reach`` words that overlap by ``reach``."""
+    for begin, end in regions(text, reach):
+        held, new = [], False
+        for m in WORD.finditer(text, begin, end):
+            if w := m.group().strip(EDGES).lower():
+                held.append((w, m.start(), m.end()))
+                new = True
+                if len(held) == 3 * reach:
+                    yield held
+                    held, new = held[-reach:], False
+        if new:
+            yield held
+
+
+def lacking(part: list[str], template: Counter) -> int:
+    """At least so many words of the template are not in ``part``."""
+    have = Counter(w for w in part if w in template)
+    return sum(n - min(n, have[w]) for w, n in template.items())
+
+
+def places(words: list[str], template: list[str]) -> list[tuple[int, int, int, int]]:
+    """(words missing, further words amid, first, last) of each place that has the template, apart from each other."""
+    n, bag = len(template), Counter(template)
+    if not n or lacking(words, bag) > MAX_MISSING * n:
+        return []
+    found = set()
+
+    def search(low: int, high: int) -> None:
+        part = words[low:high]
+        if lacking(part, bag) > MAX_MISSING * n:
+            return
+        same = [m for m in difflib.SequenceMatcher(None, part, template, False).get_matching_blocks() if m.size]
+        best = None
+        for i in range(len(same)):  # words that happen to match far off do not belong to the place
+            size = 0
+            for m in same[i:]:
+                size += m.size
+                extra = m.a + m.size - same[i].a - size
+                if n - size <= MAX_MISSING * n and extra <= n:
+                    here = (n - size, extra, low + same[i].a, low + m.a + m.size - 1)
+                    best = min(best or here, here)
+        if best:
+            found.add(best)
+            search(low, best[2])
+            search(best[3] + 1, high)
+
+    # A place spans at most 2 n words, so one of these parts holds it whole.
+    for begin in range(0, max(1, len(words) - n + 1), n):
+        search(begin, begin + max(8, 3 * n))
+    return apart(sorted(found))
+
+
+def apart(found: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
+    """Best first, those that overlap none before them."""
+    out, firsts, lasts = [], [], []
+    for x in found:
+        k = bisect_left(firsts, x[2])
+        if (k == 0 or lasts[k - 1] < x[2]) and (k == len(firsts) or x[3] < firsts[k]):
+            firsts.insert(k, x[2])
+            lasts.insert(k, x[3])
+            out.append(x)
+    return out
 
 
 class Scanner:
     def __init__(self, templates: dict[str, str]):
         self.words = {k: wording(t) for k, t in templates.items()}
+        self.reach = 2 * max(map(len, self.words.values()), default=1)
         self.plain = self.compressor()
-        self.given = {k: self.compressor(zstandard.ZstdCompressionDict(t.encode(), zstandard.DICT_TYPE_RAWCONTENT))
-                      for k, t in templates.items()}
-        self.score = lru_cache(1 << 14)(self._score)
+        self.given = {k: self.compressor(self.dictionary(t)) for k, t in templates.items()}
+        self.given_words = {k: self.compressor(self.dictionary(" ".join(w))) for k, w in self.words.items()}
+        self.search = lru_cache(1 << 12)(self._search)
+
+    @staticmethod
+    def dictionary(text: str) -> zstandard.ZstdCompressionDict:
+        return zstandard.ZstdCompressionDict(text.encode(), zstandard.DICT_TYPE_RAWCONTENT)
 
     @staticmethod
     def compressor(given: zstandard.ZstdCompressionDict | None = None) -> zstandard.ZstdCompressor:
         return zstandard.ZstdCompressor(level=LEVEL, dict_data=given, write_content_size=False, write_dict_id=False)
 
-    def _score(self, block: str) -> list[tuple[str, float, int, int]]:
-        """(license, share saved, words missing, further words), best first, confirmed ones only."""
-        raw = block.encode("utf-8", "replace")
-        alone = len(self.plain.compress(raw))
-        saved = sorted(((1 - len(c.compress(raw)) / alone, k) for k, c in self.given.items()), key=lambda x: (-x[0], x[1]))
-        words, out = wording(block), []
-        for share, name in saved:
-            template = self.words[name]
-            # In a long block one notice is a small part: its saving is held against its own length.
-            if share * alone < MIN_REDUCTION * min(alone, len(" ".join(template))):
-                continue
-            missing, extra = differences(words, template)
-            if missing <= MAX_MISSING * len(template) and extra <= len(template):
-                out.append((name, share, missing, extra))
+    def _search(self, text: str) -> list[tuple[str, int, int, int, int]]:
+        """(license, words missing, further words, first, last) of each place in a window of words."""
+        words, out = text.split(" "), []
+        for name, template in self.words.items():
+            for missing, extra, first, last in places(words, template):
+                # A place is held against the template's length: it may have further words amid.
+                raw = " ".join(words[first:last + 1]).encode("utf-8", "replace")
+                alone = len(self.plain.compress(raw))
+                saved = alone - len(self.given_words[name].compress(raw))
+                if saved >= MIN_REDUCTION * min(alone, len(" ".join(template))):
+                    out.append((name, missing, extra, first, last))
         return out
 
+    def find(self, text: str) -> list[tuple[str, int, int, int, int]]:
+        """(license, words missing, further words, begin, end) of each place in the text."""
+        found = {}
+        for window in windows(text, self.reach):
+            for name, missing, extra, first, last in self.search(" ".join(w for w, _, _ in window)):
+                found.setdefault(name, set()).add((missing, extra, window[first][1], window[last][2] - 1))
+        return [(name, *x) for name, all_ in found.items() for x in apart(sorted(all_))]
+
+    def blocks(self, text: str) -> list[tuple[int, int, str, list[tuple[str, float, int, int]]]]:
+        """(first line, last line, block, its licenses): (license, share saved, words missing, further words), best first."""
+        found = self.find(text)
+        if not found:
+            return []
+        ends = [m.start() for m in re.finditer("\n", text)]
+        spans = [(bisect_left(ends, begin), bisect_left(ends, end), (name, missing, extra))
+                 for name, missing, extra, begin, end in found]
+        merged = []
+        for a, b, hit in sorted(spans + [(a, b, None) for a, b, _ in blocks(text)], key=lambda x: x[:2]):
+            if merged and a <= merged[-1][1]:
+                merged[-1][1] = max(b, merged[-1][1])
+            else:
+                merged.append([a, b, {}])
+            if hit:
+                hits = merged[-1][2]
+                hits[hit[0]] = min(hits.get(hit[0], hit[1:]), hit[1:])
+        out = []
+        for a, b, hits in merged:
+            if hits:
+                block = text[ends[a - 1] + 1 if a else 0:ends[b] if b < len(ends) else len(text)]
+                raw = block.encode("utf-8", "replace")
+                alone = len(self.plain.compress(raw))
+                out.append((a, b, block, sorted(
+                    ((name, 1 - len(self.given[name].compress(raw)) / alone, *x) for name, x in hits.items()),
+                    key=lambda x: (-x[1], x[0]))))
+        return out
+
+    def score(self, block: str) -> list[tuple[str, float, int, int]]:
+        """(license, share saved, words missing, further words), best first in each block, confirmed ones only."""
+        return [x for _, _, _, hits in self.blocks(block) for x in hits]
+
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     """One row per document, block and confirmed license: doc_id, first_line,
@@ -151,8 +296,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
             scanner = scanner or Scanner(templates or TEMPLATES)
             rows = [(i, a, b, name, rank, share, missing, extra, block)
                     for i, text in enumerate(rb.column(1).to_pylist())
-                    for a, b, block in blocks(text)
-                    for rank, (name, share, missing, extra) in enumerate(scanner.score(block), 1)]
+                    for a, b, block, hits in scanner.blocks(text)
+                    for rank, (name, share, missing, extra) in enumerate(hits, 1)]
             cols = list(zip(*rows)) or [()] * 9
             out = [rb.column(0).take(pa.array(cols[0], pa.int64()))]
             yield pa.RecordBatch.from_arrays(out + [pa.array(c, t) for c, t in zip(cols[1:], types[1:])], names)

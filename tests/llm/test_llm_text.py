@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import textwrap
 
 import numpy as np
 import pytest
@@ -174,6 +175,31 @@ def test_licenses(spark):
     assert [x[0] for x in scanner.score(prose + " " + licenses.TEMPLATES["ISC-text"] + " " + prose)] == ["ISC-text"]
 
 
+def test_wrapped_licenses_are_found_whole(spark):
+    rng = random.Random(4)
+    prose = [" ".join(rng.choice("sun moon star sea".split()) for _ in range(12)) for _ in range(60)]
+    scanner, docs, want = licenses.Scanner(licenses.TEMPLATES), [], {}
+    for name, text in licenses.TEMPLATES.items():
+        for width in (20, 72):
+            for prefix in ("", "# ", "//", " * ", "-- "):
+                notice = [prefix + x for x in textwrap.wrap(text, width, break_on_hyphens=False, break_long_words=False)]
+                want[len(docs)] = (name, 60, 59 + len(notice))
+                docs.append((len(docs), "\n".join(prose + notice + prose)))
+    got = {}
+    for r in licenses.scan(spark.createDataFrame(docs, "doc_id long, text string")).collect():
+        if r.license == want[r.doc_id][0]:
+            got[r.doc_id] = (r.license, r.first_line, r.last_line)
+            assert (r.n_missing, r.n_extra) == (0, 0)
+    assert got == want
+    # Two notices near each other, the first one changed, are two blocks.
+    isc = licenses.TEMPLATES["ISC-text"]
+    changed = textwrap.wrap(isc.replace("any purpose", "any good purpose"), 72)
+    twice = "\n".join([*changed, "", "", "", "", *textwrap.wrap(isc, 72)])
+    assert [(a, b, hits[0][0], hits[0][2:]) for a, b, _, hits in scanner.blocks(twice)] \
+        == [(0, 2, "ISC-text", (0, 1)), (7, 9, "ISC-text", (0, 0))]
+    assert scanner.score(licenses.TEMPLATES["MIT"].upper())[0][0] == "MIT"
+
+
 def test_license_query_finds_every_notice(spark):
     rows = queries.op9_license_scan(spark, SF_SMALL).where("rank = 1").collect()
     docs = read(spark, SF_SMALL, "documents").collect()
