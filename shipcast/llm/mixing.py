@@ -7,12 +7,14 @@ target is above.
 
 Within a source, documents lie in a fixed pseudo-random order on a line of
 cumulative words, and the line is run through again for as long as the target
-asks.  A run of a document is taken when its middle lies before the target, so
-a source takes its target to within half a document, and no document is taken
-more than ``cap`` times.  A source's weight varies over training: its schedule
-is integrated to the cumulative demand, and the cumulative words before a run
-are put through the inverse of that integral, which gives the run's training
-position in [0, 1).  Documents are range-sorted by position.
+asks.  A run of a document is taken when it ends before the target.  The words
+still missing (a long document may straddle the target) are refilled from the
+runs behind it, see ``_refill``: a source misses its target by at most half of
+a document that could still be taken, or of the last one taken, and no document
+is taken more than ``cap`` times.  A source's weight varies over training: its
+schedule is integrated to the cumulative demand, and the cumulative words
+before a run are put through the inverse of that integral, which gives the run's
+training position in [0, 1).  Documents are range-sorted by position.
 
 The order is by a hash of the row, cut into buckets by the hash's leading bits,
 so running sums are made per (source, bucket) and no source is gathered in a
@@ -28,6 +30,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -120,6 +123,78 @@ def _whole(cap: int) -> Column:
     return F.filter(_runs(cap), lambda end: (F.col("_mix_size") > 0) & (end <= F.col("_mix_target")))
 
 
+def _refill(placed: DataFrame, cap: int) -> DataFrame:
+    """(_mix_f, _mix_fs, _mix_fills): source, start and middles of the further runs that fill the gaps of the sources.
+
+    ``placed``: source, bucket, start, hash, size, target, times (whole runs taken), last (where they end).
+    A pass takes, for each source, the one document that comes nearest to the
+    gap, if it misses by at most half of the smallest one at hand or if all at
+    hand are longer than half of the gap; else it runs through the documents of
+    up to half of the gap, in the order of the line, by running sums per
+    (source, lap, bucket), which leaves less than half of the gap or none of them.
+    So passes grow with the logarithm of the gap, and end when no document is
+    shorter than twice the gap.
+    """
+    gaps = written(placed.groupBy("source").agg(
+        F.first("target").alias("target"), (F.first("target") - F.coalesce(F.max("last"), F.lit(0))).alias("gap"))
+        .withColumnRenamed("source", "_mix_s"), "mix-gaps")
+    same = F.col("source").eqNullSafe(F.col("_mix_s"))
+    near = F.col("size") < 2 * F.col("gap")
+    # Documents of twice the gap or more never bring a source nearer to its target, as gaps only shrink.
+    rest = written(placed.where((F.col("times") < cap) & (F.col("size") > 0)).join(gaps, same).where(near)
+                   .select("source", "bucket", "start", "hash", "size", "times"), "mix-rest")
+    fills = []
+    while True:
+        small = F.col("size") <= F.col("gap") / 2
+        miss = F.abs(F.col("gap") - F.col("size"))
+        steps = (rest.join(gaps, same).groupBy("_mix_s", "target", "gap").agg(
+            F.min("size").alias("least"), F.max(small).alias("small"),
+            F.min(F.struct(miss.alias("miss"), "hash", "start", "size")).alias("one")))
+        steps = written(steps.select("_mix_s", "target", "gap", "one", (
+            ~F.col("small") | (F.col("one.miss") <= F.col("least") / 2)).alias("single")), "mix-steps")
+        if steps.isEmpty():
+            break
+        single = steps.where("single").select(
+            F.col("_mix_s").alias("source"), F.col("one.start").alias("start"), F.col("one.size").alias("end"),
+            F.greatest(F.col("target") - F.col("one.size") / 2, F.lit(0.0)).alias("middle"))
+        taken = [written(single, "mix-fill")]
+        if not steps.where(~F.col("single")).isEmpty():
+            runs = (rest.join(steps.where(~F.col("single")), same).where(small)
+                    .withColumn("lap", F.explode(F.sequence("times", F.lit(cap - 1)))))
+            sums = runs.groupBy("_mix_s", "gap", "lap", "bucket").agg(F.sum("size").alias("n"))
+            before = F.sum("n").over(Window.partitionBy("_mix_s").orderBy("lap", "bucket")) - F.col("n")
+            sums = written(sums.select(F.col("_mix_s").alias("_mix_r"), "gap", F.col("lap").alias("_mix_l"),
+                                       F.col("bucket").alias("_mix_b"), before.alias("before"))
+                           .where(F.col("before") < F.col("gap")).drop("gap"), "mix-sums")
+            order = Window.partitionBy("source", "lap", "bucket").orderBy("start")
+            ends = (runs.join(sums, F.col("source").eqNullSafe(F.col("_mix_r")) & (F.col("lap") == F.col("_mix_l"))
+                              & (F.col("bucket") == F.col("_mix_b")))
+                    .withColumn("end", F.col("before") + F.sum("size").over(order)).where(F.col("end") <= F.col("gap")))
+            taken.append(written(ends.select(
+                "source", "start", "end",
+                (F.col("target") - F.col("gap") + F.col("end") - F.col("size") / 2).alias("middle")), "mix-fill"))
+            discard(sums)
+        fills += taken
+        new = reduce(DataFrame.unionByName, taken)
+        ends = new.groupBy(F.col("source").alias("_mix_e")).agg(F.max("end").alias("end"))
+        left = written(gaps.join(ends, F.col("_mix_s").eqNullSafe(F.col("_mix_e")))
+                       .select("_mix_s", "target", (F.col("gap") - F.col("end")).alias("gap")), "mix-gaps")
+        used = new.groupBy(F.col("source").alias("_mix_u"), F.col("start").alias("_mix_us")).agg(F.count("*").alias("n"))
+        times = (F.col("times") + F.coalesce("n", F.lit(0))).cast("int")
+        fewer = written(rest.join(left, same).where(near)
+                        .join(used, F.col("source").eqNullSafe(F.col("_mix_u")) & (F.col("start") == F.col("_mix_us")), "left")
+                        .select("source", "bucket", "start", "hash", "size", times.alias("times"))
+                        .where(F.col("times") < cap), "mix-rest")
+        discard(gaps, rest, steps)
+        gaps, rest = left, fewer
+    all_ = reduce(DataFrame.unionByName, fills) if fills else \
+        placed.select("source", "start", F.lit(0.0).alias("middle")).where(F.lit(False))
+    out = written(all_.groupBy(F.col("source").alias("_mix_f"), F.col("start").alias("_mix_fs"))
+                  .agg(F.sort_array(F.collect_list("middle")).alias("_mix_fills")), "mix-fills")
+    discard(gaps, rest, steps, *fills)
+    return out
+
+
 def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, cap: int = CAP,
         times: Sequence[float] = TIMES, shapes: Sequence[Sequence[float]] = SHAPES) -> DataFrame:
     """``docs`` with _mix_size, _mix_source_size, _mix_target and _mix_positions:
@@ -141,30 +216,22 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, cap: int = CAP,
         .select(F.col("source").alias("_mix_s"), "_mix_b", "_mix_before", F.col("source_size").alias("_mix_source_size"),
                 F.col("cycle").alias("_mix_cycle"), F.col("target").alias("_mix_target")), "mix-starts")
 
-    # The words still missing after the whole runs, and the document that comes nearest to them.
-    placed = written(_placed(sized, starts).select("source", "doc_id", "_mix_hash", "_mix_size", "_mix_target",
-                                                   F.size(_whole(cap)).alias("times"),
-                                                   F.array_max(_whole(cap)).alias("last")), "mix-placed")
-    gaps = placed.groupBy("source").agg((F.first("_mix_target") - F.coalesce(F.max("last"), F.lit(0))).alias("gap"))
-    gaps = written(gaps.withColumnRenamed("source", "_mix_s"), "mix-gaps")
-    miss = F.abs(F.col("gap") - F.col("_mix_size"))
-    fill = (placed.where((F.col("times") < cap) & (F.col("_mix_size") > 0))
-            .join(gaps, F.col("source").eqNullSafe(F.col("_mix_s"))).where(miss < F.col("gap"))
-            .groupBy("_mix_s").agg(F.min(F.struct(miss.alias("miss"), F.col("_mix_hash").alias("hash"),
-                                                  F.col("doc_id").alias("id"))).alias("_mix_fill")))
-    fill = written(fill.withColumnRenamed("_mix_s", "_mix_f"), "mix-fill")
-    starts = written(starts.join(fill, F.col("_mix_s").eqNullSafe(F.col("_mix_f")), "left").drop("_mix_f"),
-                     "mix-starts")
-    discard(sized, totals, placed, gaps)
-
-    final = _placed(marked, starts)
-    fills = (F.col("_mix_hash") == F.col("_mix_fill.hash")) & F.col("doc_id").eqNullSafe(F.col("_mix_fill.id"))
+    placed = written(_placed(sized, starts).select(
+        "source", F.col("_mix_bucket").alias("bucket"), F.col("_mix_start").alias("start"),
+        F.col("_mix_hash").alias("hash"), F.col("_mix_size").alias("size"), F.col("_mix_target").alias("target"),
+        F.size(_whole(cap)).alias("times"), F.array_max(_whole(cap)).alias("last")), "mix-placed")
+    fills = _refill(placed, cap)
+    discard(sized, totals, placed)
+
+    # A document of words is told from others of its source by its place on the line.
+    final = _placed(marked, starts).join(
+        fills, F.col("source").eqNullSafe(F.col("_mix_f")) & (F.col("_mix_start") == F.col("_mix_fs"))
+        & (F.col("_mix_size") > 0), "left")
     middles = F.transform(_whole(cap), lambda end: end - F.col("_mix_size") / 2)
-    extra = F.when(fills, F.array(F.greatest(F.col("_mix_target") - F.col("_mix_size") / 2, F.lit(0.0))))
-    taken = F.concat(middles, F.coalesce(extra, F.array().cast("array<double>")))
+    taken = F.concat(middles, F.coalesce("_mix_fills", F.array().cast("array<double>")))
     positions = F.transform(taken, lambda m: position(m / F.col("_mix_target"), F.col("_mix_cycle"), times, shapes))
     return final.withColumn("_mix_positions", positions).drop(
-        "_mix_hash", "_mix_bucket", "_mix_s", "_mix_b", "_mix_before", "_mix_cycle", "_mix_start", "_mix_fill")
+        "_mix_hash", "_mix_bucket", "_mix_s", "_mix_b", "_mix_before", "_mix_cycle", "_mix_start", "_mix_f", "_mix_fs", "_mix_fills")
 
 
 def training_order(mixed: DataFrame) -> DataFrame:

@@ -142,6 +142,27 @@ def test_caps_and_resharing(spark):
     assert want["a"] == 36
 
 
+@pytest.mark.parametrize("sizes", [[1000] * 99 + [100_000], [2 ** k for k in range(12)] * 4 + [40_000] * 5])
+def test_long_documents_do_not_keep_a_source_from_its_target(spark, sizes, mix=mixing.mix):
+    docs = spark.createDataFrame([(k, s, n) for s in "abcd" for k, n in enumerate(sizes)], "id int, source string, n int")
+    docs = docs.select(F.col("id").alias("doc_id"), "source", F.repeat(F.lit("w "), F.col("n")).alias("text"))
+    rows = mix(docs, weights=(1.0, 3.0)).collect()
+    for source in "abcd":  # the targets are half of the source's words, or three halves
+        own = [r for r in rows if r.source == source]
+        gap = own[0]._mix_target - sum(r._mix_size * len(r._mix_positions) for r in own)
+        assert all(len(r._mix_positions) <= 3 and all(0 <= p < 1 for p in r._mix_positions) for r in own)
+        assert abs(gap) <= 1024
+        assert not any(abs(gap - r._mix_size) < gap for r in own if len(r._mix_positions) < 3)
+        assert gap >= 0 or any(r._mix_positions and r._mix_size >= -2 * gap for r in own)
+
+
+def test_repeated_rows_fill_a_gap_once(spark):
+    docs = spark.createDataFrame([(1, "a", "w " * 10)] * 7 + [(2, "b", "w " * 10)] * 7, "doc_id int, source string, text string")
+    rows = mixing.mix(docs, weights=(1.0, 1.5)).collect()
+    for source, n in (("a", 6), ("b", 8)):  # targets of 5.6 and 8.4 rows
+        assert sum(len(r._mix_positions) for r in rows if r.source == source) == n
+
+
 def test_positions_follow_the_schedule(spark):
     shares = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
     df = spark.createDataFrame([(s, c) for s in shares for c in range(3)], "s double, c int")
