@@ -147,8 +147,8 @@ def apply_group_medians(df: DataFrame, group_state: DataFrame, global_state: Dat
     (category step, ``all_null_group_falls_back``)."""
     keys = list(keys)
     cols = [c for c in present(df, cols) if f"{c}__grp" in group_state.columns]
-    # Written, so that the planner broadcasts the state if its bytes allow and shuffles df only beyond that.
-    j = (df.join(stable(group_state), keys, "left")
+    # The state should be a written table: the planner then broadcasts it if its bytes allow.
+    j = (df.join(group_state, keys, "left")
          .crossJoin(F.broadcast(global_state)))
     out = []
     for c in df.columns:
@@ -171,7 +171,7 @@ def impute_by_group(train: DataFrame, df: DataFrame, spec: str) -> DataFrame:
     if not cols:
         return df
     gs, gl = fit_group_and_global(train, keys, cols)
-    return apply_group_medians(df, gs, gl, keys, cols, all_null_group_falls_back=(spec == "category"))
+    return apply_group_medians(df, stable(gs), gl, keys, cols, all_null_group_falls_back=(spec == "category"))
 
 
 def fill_own_group_median(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
@@ -185,7 +185,7 @@ def fill_own_group_median(df: DataFrame, keys: Sequence[str], cols: Sequence[str
 def impute_by_group_frame(fit_on: DataFrame, df: DataFrame, keys, cols) -> DataFrame:
     cols = present(fit_on, cols)
     gs, gl = fit_group_and_global(fit_on, keys, cols)
-    return apply_group_medians(df, gs, gl, keys, cols, all_null_group_falls_back=True)
+    return apply_group_medians(df, stable(gs), gl, keys, cols, all_null_group_falls_back=True)
 
 
 def fit_global_fill(train: DataFrame, exclude: Sequence[str] = (KEY,)) -> tuple[list[str], DataFrame]:
@@ -194,6 +194,13 @@ def fit_global_fill(train: DataFrame, exclude: Sequence[str] = (KEY,)) -> tuple[
     return cols, fit_global_medians(train, cols, suffix="__fill")
 
 
+def columns_with_nulls(df: DataFrame, cols: Sequence[str]) -> list[str]:
+    """Those of ``cols`` that hold a NULL: one row, a flag per column.  Only these are
+    sorted for a median."""
+    flags = df.agg(*[F.max(F.col(c).isNull().cast("int")).alias(c) for c in cols]).first().asDict() if cols else {}
+    return [c for c in cols if flags[c] == 1]
+
+
 def apply_global_fill(df: DataFrame, train: DataFrame, state: DataFrame | None = None,
                       exclude: Sequence[str] = (KEY,)) -> DataFrame:
     """cl06: every numeric column that has a NULL in train is filled with the
@@ -201,9 +208,7 @@ def apply_global_fill(df: DataFrame, train: DataFrame, state: DataFrame | None =
     NULLs in train keeps its values because its fill is never used."""
     cols = numeric_columns(train, exclude=exclude)
     cols = [c for c in cols if c in df.columns]
-    # One row, a flag per column: only columns that need a fill are sorted for a median.
-    flags = train.agg(*[F.max(F.col(c).isNull().cast("int")).alias(c) for c in cols]).first().asDict() if cols else {}
-    need = [c for c in cols if flags[c] == 1]
+    need = columns_with_nulls(train, cols)
     if need and state is None:
         state = fit_global_medians(train, need, suffix="__fill")
     j = df.crossJoin(F.broadcast(state)) if need else df
@@ -248,16 +253,3 @@ def fit_impute_specs(train: DataFrame, specs: dict = IMPUTE_SPECS) -> dict:
         gl = glob.agg(*[F.max(F.when(F.col("column") == c, F.col("value"))).alias(f"{c}__glob") for c in cols])
         out[name] = (_seen_keys(train, keys).join(gw, keys, "left"), gl)
     return out
-
-
-def impute_all_groups(train: DataFrame, df: DataFrame, specs: dict = IMPUTE_SPECS) -> DataFrame:
-    """cl03, cl04, cl05 in order, fitted in one pass over train."""
-    fits = fit_impute_specs(train, specs)
-    out = df
-    for name in ("route", "product", "category"):
-        if name not in fits:
-            continue
-        keys, cols = specs[name]
-        gs, gl = fits[name]
-        out = apply_group_medians(out, gs, gl, keys, cols, all_null_group_falls_back=(name == "category"))
-    return out

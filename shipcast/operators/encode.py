@@ -79,26 +79,40 @@ def _present(df: DataFrame, cols: Sequence[str] | None) -> list[str]:
     return [c for c in (cols or CATEGORICAL) if c in df.columns]
 
 
-def one_hot(train: DataFrame, df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """en01: replace each categorical column ``c`` by the sparse vector ``c_vec``
-    over train's sorted values but the first; NULL or an unseen value gives all
-    zeros.  A column without train values gives a vector of one zero."""
+def fit_one_hot(train: DataFrame, cols: Sequence[str] | None = None) -> tuple[list[str], list]:
+    """(columns, fitted stages): the stages turn every categorical string column ``c``
+    into the sparse vector ``c_vec`` over train's sorted values but the first."""
     from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorSlicer
     cols = _present(train, cols)
     if not cols:
-        return df
-    text = [F.col(c).cast("string").alias(c) for c in cols]
-    known = train.select(*text)
-    out = df.select(*[c for c in df.columns if c not in cols], *text)
+        return [], []
+    known = train.select(*[F.col(c).cast("string").alias(c) for c in cols])
     index = StringIndexer(inputCols=cols, outputCols=[f"{c}__idx" for c in cols],
                           stringOrderType="alphabetDesc", handleInvalid="keep").fit(known)
     # The sizes come from the indexer's labels, so no pass over the data is needed here.
     encode = OneHotEncoder(inputCols=[f"{c}__idx" for c in cols], outputCols=[f"{c}__ohe" for c in cols],
                            dropLast=False, handleInvalid="keep").fit(index.transform(known.limit(1)))
-    out = encode.transform(index.transform(out))
-    for c, values in zip(cols, index.labelsArray):
-        slots = list(range(max(len(values) - 1, 1)))
-        out = VectorSlicer(inputCol=f"{c}__ohe", outputCol=f"{c}_vec", indices=slots).transform(out)
+    slices = [VectorSlicer(inputCol=f"{c}__ohe", outputCol=f"{c}_vec", indices=list(range(max(len(values) - 1, 1))))
+              for c, values in zip(cols, index.labelsArray)]
+    return cols, [index, encode, *slices]
+
+
+def feature_names(stages, spark) -> DataFrame:
+    """(column, slot from 1, name) of every slot of the one-hot vectors of fitted stages."""
+    from pyspark.ml.feature import StringIndexerModel
+    rows = [(f"{c[:-5]}_vec", k + 1, value) for s in stages if isinstance(s, StringIndexerModel)
+            for c, values in zip(s.getOutputCols(), s.labelsArray) for k, value in enumerate(values[:-1])]
+    return spark.createDataFrame(rows, "column string, slot int, name string")
+
+
+def one_hot(train: DataFrame, df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """en01: replace each categorical column ``c`` by the sparse vector ``c_vec``
+    over train's sorted values but the first; NULL or an unseen value gives all
+    zeros.  A column without train values gives a vector of one zero."""
+    cols, stages = fit_one_hot(train, cols)
+    out = df.select(*[c for c in df.columns if c not in cols], *[F.col(c).cast("string").alias(c) for c in cols])
+    for stage in stages:
+        out = stage.transform(out)
     return out.drop(*[x for c in cols for x in (c, f"{c}__idx", f"{c}__ohe")])
 
 

@@ -144,7 +144,11 @@ def log_cost_exprs(df: DataFrame, cols=LOG_COST_COLUMNS) -> dict[str, Column]:
 def engineer(df: DataFrame, train: DataFrame, extras: bool = False) -> DataFrame:
     """The pipeline's feature step: fe01-fe12 (and fx01-fx11 with ``extras``),
     train-fitted where a statistic is needed.  Existing columns are kept."""
-    state = fit_feature_state(train)
+    return engineer_with(df, fit_feature_state(train), extras)
+
+
+def engineer_with(df: DataFrame, state: DataFrame | None, extras: bool = False) -> DataFrame:
+    """The feature step with a fitted state (``fit_feature_state``)."""
     j = df if state is None else df.crossJoin(F.broadcast(state))
     fitted = [] if state is None else state.columns
     feats = core_feature_exprs(df)

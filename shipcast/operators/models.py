@@ -1,16 +1,12 @@
-"""Model operators on ``pyspark.ml`` (ml07-ml13, ml18, ml20-ml22).
+"""Model operators on ``pyspark.ml`` (ml07-ml12, ml18, ml21, ml22).
 
 * Feature matrix: ``VectorAssembler`` over the numeric family (ml22).
 * Learners: Spark's random forest, gradient-boosted trees (one-vs-rest for
   three classes), and L2 logistic regression stand in for the reference's
   forest / boosting / logistic models.  Parameter lists are the reference's;
   each is mapped to the nearest Spark parameter (see ``_estimator``).
-* Search (ml13): ``n_iter`` parameter sets drawn with a fixed seed.  Every
-  (fold, draw) is one fit on the other folds and one score on the fold, and
-  ``parallelism`` of them run at once as Spark jobs; what a task does to its
-  training rows (oversampling, class weights) is done to each fold's training
-  part alone, so validation rows are never synthetic.  The best draw is refit
-  once on all rows.
+* Search (ml13): ``n_iter`` parameter sets drawn with a fixed seed; the search
+  itself is in ``shipcast.operators.search``.
 * Selection (ml18): a metrics table, best row by the task metric, ties to the
   earlier model.
 """
@@ -19,11 +15,9 @@ from __future__ import annotations
 
 import itertools
 import random
-from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, OneVsRest,
                                        RandomForestClassifier)
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, Window
@@ -95,10 +89,6 @@ def draw_params(grid: dict, n_iter: int, seed: int = SEED) -> list[dict]:
     return rng.sample(combos, min(n_iter, len(combos)))
 
 
-def _subset(frac) -> str:
-    return {0.7: "0.7", 0.8: "0.8", 0.9: "0.9"}.get(frac, str(frac))
-
-
 def _estimator(family: str, kind: str, params: dict, weight_col: str | None, n_rows: int | None = None):
     """Reference parameters -> Spark estimator (nearest equivalents:
     min_samples_split ~ minInstancesPerNode * 2, min_samples_leaf and
@@ -116,7 +106,7 @@ def _estimator(family: str, kind: str, params: dict, weight_col: str | None, n_r
     if family == "GBT":
         kw = dict(maxIter=int(p["n_estimators"]), maxDepth=int(p["max_depth"]), stepSize=float(p["learning_rate"]),
                   subsamplingRate=float(p.get("subsample", 1.0)),
-                  featureSubsetStrategy=_subset(p.get("colsample_bytree", 1.0)),
+                  featureSubsetStrategy=str(p.get("colsample_bytree", 1.0)),
                   minInfoGain=float(p.get("gamma", 0.0)),
                   minInstancesPerNode=int(p.get("min_child_weight", 1)), **common)
         if kind == "regression":
@@ -137,23 +127,7 @@ def _estimator(family: str, kind: str, params: dict, weight_col: str | None, n_r
     raise ValueError(f"unknown model family {family!r}")
 
 
-# ---------------------------------------------------------------- evaluation
-
-def cv_score(task: str):
-    """(function from predictions to a score, whether larger is better): what the
-    search of a task maximises; hard labels for the delay task, squared error for
-    the regressions (business cost only selects between families)."""
-    y, p = F.col("label"), F.col("prediction")
-    kind = KIND[task]
-    if kind == "regression":
-        return (lambda df: df.agg(F.sqrt(F.avg((p - y) * (p - y)))).first()[0]), False
-    if kind == "binary":
-        def rate(label: float):
-            return F.avg(F.when(y == label, (p == label).cast("double")))
-        return (lambda df: df.agg((rate(1.0) + rate(0.0)) / 2).first()[0]), True
-    return (lambda df: MulticlassClassificationEvaluator(
-        labelCol="label", predictionCol="prediction", metricName="f1").evaluate(df)), True
-
+# ---------------------------------------------------------------- fits
 
 def weighted(train: DataFrame, task: str, family: str) -> tuple[DataFrame, str | None]:
     """Class weights as the reference sets them: balanced for the forests of the
@@ -175,42 +149,17 @@ def fit_one(train: DataFrame, task: str, family: str, params: dict):
     return _estimator(family, KIND[task], params, weight, n_rows).fit(rows)
 
 
-def random_search(train: DataFrame, task: str, family: str, feature_cols: list[str], n_iter: int | None = None,
-                  grid: dict | None = None, balance=None, parallelism: int = 4, max_rows: int | None = None):
-    """ml13: draw parameter sets, score each on every ``fold`` of ``train``
-    (label, fold and feature columns), and return (best model refit on all rows,
-    best params, best mean score, [(draw, params, mean score)]).
-
-    ``balance`` is applied to the training part of each fold.  ``max_rows``
-    bounds the labelled rows of the search by their hash order (None: all).
-    """
-    draws = draw_params(grid or GRIDS[task][family], n_iter or N_ITER[task])
-    measure, larger = cv_score(task)
-    if max_rows:
-        train = train.orderBy(F.xxhash64(*train.columns)).limit(max_rows)
-
-    def vectors(df: DataFrame) -> DataFrame:
-        return assemble(df, feature_cols)[0].select("label", "features").persist()
-
-    held, parts = [], []
-    for k in range(N_FOLDS):
-        rest = train.where(F.col("fold") != k)
-        held.append(vectors(train.where(F.col("fold") == k)))
-        parts.append(vectors(balance(rest) if balance else rest))
-
-    def one(job):
-        k, params = job
-        return measure(fit_one(parts[k], task, family, params).transform(held[k]))
-
-    with ThreadPool(parallelism) as pool:
-        scores = pool.map(one, [(k, d) for d in draws for k in range(N_FOLDS)])
-    table = [(i, d, float(sum(scores[i * N_FOLDS:(i + 1) * N_FOLDS]) / N_FOLDS)) for i, d in enumerate(draws)]
-    _, params, best = (max if larger else min)(table, key=lambda r: r[2])
-    full = vectors(balance(train) if balance else train)
-    model = fit_one(full, task, family, params)
-    for df in (*held, *parts, full):
-        df.unpersist()
-    return model, params, best, table
+def loader(family: str, kind: str):
+    """The class that reads back a saved fit of ``fit_one``."""
+    from pyspark.ml import classification as C
+    from pyspark.ml import regression as R
+    if family == "Logistic":
+        return C.LogisticRegressionModel
+    if kind == "regression":
+        return R.RandomForestRegressionModel if family == "RandomForest" else R.GBTRegressionModel
+    if family == "RandomForest":
+        return C.RandomForestClassificationModel
+    return C.GBTClassificationModel if kind == "binary" else C.OneVsRestModel
 
 
 def select_best(metrics: DataFrame, metric: str, minimize: bool, seq: str = "seq") -> DataFrame:
@@ -229,10 +178,3 @@ def score(model, df: DataFrame, task: str) -> DataFrame:
     elif task == "delay":
         out = out.withColumn("prediction", F.col("prediction").cast("int"))
     return out
-
-
-def pipeline_model(assembler_cols: list[str], model):
-    """io11 helper: assembler + fitted learner as one savable pipeline."""
-    from pyspark.ml import PipelineModel
-    va = VectorAssembler(inputCols=assembler_cols, outputCol="features", handleInvalid="error")
-    return PipelineModel(stages=[va, model])

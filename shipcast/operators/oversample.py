@@ -1,114 +1,261 @@
-"""ml05: SMOTE-style oversampling as Spark joins.
-
-Every smaller class is grown to the majority size with synthetic rows
-``x + u * (nn - x)``, where ``nn`` is one of ``k`` neighbours of base row
-``x`` in the same class and ``u`` is in [0, 1).
-
-Base rows are drawn uniformly, by a hash of (class, copy number).  Neighbours
-are the nearest of the class by distance: candidates come from several fixed
-random projections of the features, each a distributed ranking of the class
-(``rank_rows``) in which a base row looks up the ``REACH`` rows on either side
-(no wrapping round), and of these candidates the ``k`` at the smallest
-Euclidean distance stay, the row itself left out.  All pairs of a class are
-never formed: a base row costs ``2 * REACH`` lookups a projection by equi-join
-on (class, projection, rank).  In a class of at most ``REACH + 1`` rows the
-candidates are the whole class, so its neighbours are exact; a class of one row
-only repeats that row.
-
-Determinism: draws come from hashes of (class, copy number), so the output does
-not depend on partitioning or retries.
+"""ml05: SMOTE over feature vectors, with exact neighbours.
+
+Every smaller class is grown to the majority size with synthetic vectors
+``x + u * (nn - x)``, where ``nn`` is one of the ``k`` nearest rows of base row
+``x`` in its class (Euclidean distance over all slots, one-hot ones included) and
+``u`` is in [0, 1).  Base rows are drawn uniformly.
+
+Neighbours are exact, by pivot cells: up to ``PIVOTS`` rows of a class are pivots,
+and every row belongs to the cell of its nearest one.  A base row is compared
+with its own cell first, and its k-th distance there bounds the search: another
+cell is visited only if the triangle inequality allows a nearer row in it (by the
+plane between the two pivots, or by the range of distances that the cell's rows
+have to their pivot).  Cells are cut into blocks of ``BLOCK`` rows and meet the
+base rows that visit them by an equi-join on (class, cell, block); a task holds
+two blocks, whatever a cell's size.  Where cells do not separate a class the work
+is quadratic in its size, as it must be for exact neighbours.
+
+Draws come from hashes of (class, copy number) and ranks from hashes of the rows,
+so the result does not depend on partitioning or retries.
 """
 
 from __future__ import annotations
 
-import random
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shipcast.operators.quantiles import stable
 from shipcast.operators.split import rank_rows
 
 SEED = 42
 K_NEIGHBOURS = 5
-#: Random projections that propose neighbours, and ranks looked up on either side.
-PROJECTIONS, REACH = 4, 8
-
-
-def smote(df: DataFrame, label: str, feature_cols: Sequence[str], k: int = K_NEIGHBOURS,
-          seed: int = SEED, synthetic_col: str = "is_synthetic",
-          carry: Sequence[str] = ()) -> DataFrame:
-    """``df`` plus synthetic rows so that every class has the majority count.
-    Synthetic rows take ``fold`` (when present) and the ``carry`` columns from
-    their base row; other columns than these, the label and the features are NULL."""
-    feature_cols = list(feature_cols)
-    rng = random.Random(seed)
-    feats = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in feature_cols])
-    carry = [c for c in ("fold", *carry) if c in df.columns]
-    key = "_row"
-    base = (df.select(label, *carry, feats.alias("_x"), F.xxhash64(*[F.col(c) for c in df.columns]).alias(key))
-            .where(F.col(label).isNotNull()))
+#: Pivots a class, and rows a block.
+PIVOTS, BLOCK = 64, 1024
+
+
+# ---------------------------------------------------------------- vectors in Arrow
+
+def _entries(vectors: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, slot, value) of the stored entries of a vector column."""
+    if isinstance(vectors, pa.ChunkedArray):
+        vectors = vectors.combine_chunks()
+    kind, _, indices, values = vectors.flatten()
+    sizes = values.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    row = np.repeat(np.arange(len(vectors)), sizes)
+    slot = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    sparse = kind.to_numpy(zero_copy_only=False) == 0
+    slot[sparse[row]] = indices.filter(pa.array(sparse)).flatten().to_numpy(zero_copy_only=False)
+    return row, slot, values.flatten().to_numpy(zero_copy_only=False)
+
+
+def _matrices(*columns: pa.Array) -> list[np.ndarray]:
+    """The columns as dense matrices over the slots that any of them uses."""
+    parts = [_entries(c) for c in columns]
+    used = np.unique(np.concatenate([slot for _, slot, _ in parts]))
+    out = []
+    for column, (row, slot, value) in zip(columns, parts):
+        m = np.zeros((len(column), len(used)))
+        m[row, np.searchsorted(used, slot)] = value
+        out.append(m)
+    return out
+
+
+def _vectors(row, slot, value, n: int, size: int) -> pa.StructArray:
+    """Sparse vectors from entries sorted by row and slot."""
+    ends = np.searchsorted(row, np.arange(n + 1)).astype(np.int32)
+    lists = [pa.ListArray.from_arrays(pa.array(ends), x) for x in (pa.array(slot, pa.int32()), pa.array(value, pa.float64()))]
+    return pa.StructArray.from_arrays([pa.array(np.zeros(n), pa.int8()), pa.array(np.full(n, size), pa.int32()), *lists],
+                                      ["type", "size", "indices", "values"])
+
+
+def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """All distances between two sets of rows, up to rounding of the products."""
+    square = (a * a).sum(1)[:, None] + (b * b).sum(1)[None] - 2 * a @ b.T
+    return np.sqrt(np.maximum(square, 0))
+
+
+# ---------------------------------------------------------------- neighbours
+
+def _compare(k: int):
+    """Block against block: the k nearest rows of every base row among the block's."""
+    def nearest(key: tuple, asked: pa.Table, held: pa.Table) -> pa.Table:
+        out = {"cls": [], "base": [], "d": [], "r": []}
+        if asked.num_rows and held.num_rows:
+            q, x = _matrices(asked.column("v"), held.column("v"))
+            base, rank = asked.column("base").to_numpy(), held.column("r").to_numpy()
+            square = (q * q).sum(1)[:, None] + (x * x).sum(1)[None] - 2 * q @ x.T
+            square[base[:, None] == rank[None]] = np.inf
+            slack = 1e-9 * (1 + (q * q).sum(1) + (x * x).sum(1).max())
+            last = min(k, len(rank)) - 1
+            bar = np.partition(square, last, 1)[:, last] + slack  # products round; differences decide below
+            for i in range(len(base)):
+                near = np.flatnonzero((square[i] <= bar[i]) & np.isfinite(square[i]))
+                d = np.sqrt(((x[near] - q[i]) ** 2).sum(1))
+                first = np.lexsort((rank[near], d))[:k]
+                out["base"] += [base[i]] * len(first)
+                out["d"] += d[first].tolist()
+                out["r"] += rank[near][first].tolist()
+            out["cls"] = [key[0].as_py()] * len(out["base"])
+        return pa.table({"cls": pa.array(out["cls"], pa.string()), "base": pa.array(out["base"], pa.int64()),
+                         "d": pa.array(out["d"], pa.float64()), "r": pa.array(out["r"], pa.int64())})
+    return nearest
+
+
+def _meet(asked: DataFrame, held: DataFrame, k: int) -> DataFrame:
+    """(cls, base, d, r): the k nearest of ``held`` (cls, cell, r, v) to each of ``asked``
+    (cls, cell, base, v) within the cells they share, by blocks of both."""
+    def blocks(df, name):
+        return df.groupBy("cls", "cell").agg(F.ceil(F.count("*") / BLOCK).alias(name))
+
+    shape = stable(blocks(asked, "qs").join(blocks(held, "hs"), ["cls", "cell"]))
+
+    def dealt(df, row, own, other, own_name, other_name):
+        return (df.join(shape, ["cls", "cell"])
+                .withColumn(own_name, F.pmod(F.xxhash64(row), F.col(own)))
+                .withColumn(other_name, F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)))
+                .drop("qs", "hs"))
 
+    keys = ["cls", "cell", "qb", "hb"]
+    left = dealt(asked, "base", "qs", "hs", "qb", "hb").groupBy(*keys)
+    right = dealt(held, "r", "hs", "qs", "hb", "qb").groupBy(*keys)
+    return left.cogroup(right).applyInArrow(_compare(k), "cls string, base long, d double, r long")
+
+
+def _least(found: DataFrame, k: int) -> DataFrame:
+    own = Window.partitionBy("cls", "base").orderBy("d", "r")
+    return found.withColumn("at", F.row_number().over(own)).where(F.col("at") <= k)
+
+
+def neighbours(rows: DataFrame, asked: DataFrame, k: int = K_NEIGHBOURS) -> DataFrame:
+    """(cls, base, at 1..k, d, r): the k nearest other rows of each asked row in its
+    class, ties by rank.
+
+    ``rows``: cls string, r long (from 0 in each class, in random order), v vector.
+    ``asked``: cls, r of the rows to ask for."""
+    # At most PIVOTS rows a class: a bounded driver-side table.
+    pivots: dict[str, list] = {}
+    for p in rows.where(F.col("r") < PIVOTS).orderBy("cls", "r").collect():
+        pivots.setdefault(p["cls"], []).append(p["v"].toArray())
+    pivots = {c: np.array(v) for c, v in pivots.items()}
+
+    def to_pivots(rb):
+        """(rows, their class's pivots' distances), class by class."""
+        classes = np.array(rb.column("cls").to_pylist(), object)
+        for c in dict.fromkeys(classes):
+            at = np.flatnonzero(classes == c)
+            row, slot, value = _entries(rb.column("v").take(pa.array(at)))
+            x = np.zeros((len(at), pivots[c].shape[1]))
+            x[row, slot] = value
+            yield c, at, _distances(x, pivots[c])
+
+    def place(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rb in it:
+            cell, ring = np.zeros(rb.num_rows, np.int32), np.zeros(rb.num_rows)
+            for _, at, d in to_pivots(rb):
+                cell[at], ring[at] = d.argmin(1), d.min(1)
+            yield pa.RecordBatch.from_arrays([*rb.columns, pa.array(cell), pa.array(ring)], [*rb.schema.names, "cell", "ring"])
+
+    schema = T.StructType([*rows.select("cls", "r", "v").schema.fields, T.StructField("cell", T.IntegerType()),
+                           T.StructField("ring", T.DoubleType())])
+    placed = stable(rows.select("cls", "r", "v").mapInArrow(place, schema))
+    held = placed.select("cls", "cell", "r", "v")
+    wanted = stable(placed.join(asked, ["cls", "r"]).withColumnRenamed("r", "base"))
+    first = stable(_least(_meet(wanted.select("cls", "cell", "base", "v"), held, k), k))
+
+    # Other cells, as far as the triangle inequality leaves them: at most PIVOTS x classes ranges.
+    rings = {(r["cls"], r["cell"]): (r["low"], r["high"]) for r in placed.groupBy("cls", "cell").agg(
+        F.min("ring").alias("low"), F.max("ring").alias("high")).collect()}
+    bound = first.where(F.col("at") == k).select("cls", "base", F.col("d").alias("bound"))
+    open_ = wanted.join(bound, ["cls", "base"], "left").fillna(float("inf"), ["bound"])
+
+    def visits(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rb in it:
+            own, bound = rb.column("cell").to_numpy(), rb.column("bound").to_numpy()
+            for c, at, d in to_pivots(rb):
+                between = _distances(pivots[c], pivots[c])
+                for cell in range(d.shape[1]):
+                    if (c, cell) not in rings:
+                        continue
+                    low, high = rings[c, cell]
+                    mine, gap = own[at], np.maximum(between[own[at], cell], 1e-300)
+                    plane = (d[:, cell] ** 2 - d[np.arange(len(at)), mine] ** 2) / (2 * gap)
+                    least = np.maximum.reduce([plane * (between[mine, cell] > 0), d[:, cell] - high, low - d[:, cell]])
+                    go = at[(mine != cell) & (least <= bound[at] * (1 + 1e-9) + 1e-6)]
+                    if len(go):
+                        picked = pa.array(go)
+                        yield pa.RecordBatch.from_arrays(
+                            [rb.column("cls").take(picked), pa.array(np.full(len(go), cell, np.int32)),
+                             rb.column("base").take(picked), rb.column("v").take(picked)], ["cls", "cell", "base", "v"])
+
+    more = stable(open_.select("cls", "cell", "base", "v", "bound").mapInArrow(
+        visits, wanted.select("cls", "cell", "base", "v").schema))
+    found = first.drop("at").unionByName(_meet(more, held, k))
+    return _least(found, k)
+
+
+# ---------------------------------------------------------------- oversampling
+
+def smote(df: DataFrame, label: str, features: str = "features", k: int = K_NEIGHBOURS, seed: int = SEED,
+          synthetic_col: str = "is_synthetic", carry: Sequence[str] = ()) -> DataFrame:
+    """``label``, ``features``, the ``carry`` columns and ``is_synthetic``: all rows, and
+    synthetic ones so that every class has the majority count.  Synthetic rows
+    take the ``carry`` columns of their base row.  A class of one row repeats it;
+    in a class of at most k rows all others are neighbours.  Rows without a label
+    stay and are not grown."""
+    carry = [c for c in carry if c in df.columns]
+    rows = df.select(label, *carry, features)
     # Class sizes are plan metadata (one row per class).
-    sizes = {r[0]: r[1] for r in df.groupBy(label).agg(F.count(F.lit(1))).collect()}
-    n_max = max(sizes.values()) if sizes else 0
-    spark = df.sparkSession
-    nparts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    lab_type = df.schema[label].dataType
-    idx = None
-    for cls, n in sizes.items():
-        m = n_max - n
-        if m <= 0 or cls is None:
-            continue
-        # Synthetic indices t = 0..m-1, spread evenly over tasks, so a tiny
-        # class with a huge deficit is not one task.
-        part = spark.range(0, m, 1, max(1, min(nparts, m // 10000 + 1))).select(
-            F.lit(cls).cast(lab_type).alias(label), F.col("id").alias("_t"),
-            F.lit(n).cast("long").alias("_n"))
-        idx = part if idx is None else idx.unionByName(part)
-    if idx is None:
-        return df.withColumn(synthetic_col, F.lit(0))
-    h = F.xxhash64(F.col(label), F.col("_t"), F.lit(seed))
-    ranked = stable(rank_rows(base, [F.col(key)], by=[label]).drop("_n"))  # numbered rows of every class
-    idx = idx.select(label, "_t", F.pmod(h, F.col("_n")).alias("_rank"), F.xxhash64(h, F.lit(2)).alias("_pick"),
-                     (F.pmod(F.xxhash64(h, F.lit(1)), F.lit(1 << 30)) / float(1 << 30)).alias("_u"))
-    idx = stable(idx)
-
-    # The k nearest candidates of every drawn row.
-    wanted = idx.select(label, "_rank").distinct()
-    tables = None
-    for p in range(PROJECTIONS):
-        weights = F.array(*[F.lit(rng.gauss(0.0, 1.0)) for _ in feature_cols])
-        along = F.aggregate(F.zip_with("_x", weights, lambda x, w: x * w), F.lit(0.0), lambda acc, v: acc + v)
-        line = rank_rows(ranked.select(label, "_rank", "_x"), [along, F.col("_rank")], by=[label],
-                         rank_col="_at", size_col="_size").withColumn("_p", F.lit(p)).drop("_size")
-        tables = line if tables is None else tables.unionByName(line)
-    tables = stable(tables)
-    asked = (tables.join(wanted, [label, "_rank"])
-             .select(label, "_p", F.col("_rank").alias("_base"), F.col("_x").alias("_bx"),
-                     F.explode(F.sequence(F.col("_at") - REACH, F.col("_at") + REACH)).alias("_at")))
-    gap = F.aggregate(F.zip_with("_bx", "_x", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, v: acc + v)
-    near = (asked.join(tables, [label, "_p", "_at"]).where("_rank <> _base")
-            .select(label, "_base", F.struct(gap.alias("d"), F.col("_rank").alias("r")).alias("_c")).distinct()
-            .groupBy(label, "_base").agg(F.slice(F.array_sort(F.collect_list("_c")), 1, k).alias("_near")))
-    # A row alone in its class is its own neighbour.
-    choice = (idx.join(near, (idx[label] == near[label]) & (idx["_rank"] == near["_base"]), "left")
-              .select(idx[label], "_rank", "_u", F.coalesce(
-                  F.get("_near", F.pmod(F.col("_pick"), F.size("_near")).cast("int"))["r"], F.col("_rank")).alias("_nr")))
-    base_rows = ranked.select(label, "_rank", *carry, "_x")
-    nbr = ranked.select(label, F.col("_rank").alias("_nr"), F.col("_x").alias("_y"))
-    # Equi-joins on (class, rank); AQE splits a hot key on the index side.
-    syn = choice.join(base_rows, [label, "_rank"]).join(nbr, [label, "_nr"])
-    mixed = F.zip_with("_x", "_y", lambda a, b: a + F.col("_u") * (b - a))
-    syn = syn.select(label, *carry, mixed.alias("_z"))
-    out_cols = []
-    for f in df.schema.fields:
-        if f.name == label or f.name in carry:
-            out_cols.append(F.col(f.name))
-        elif f.name in feature_cols:
-            out_cols.append(F.col("_z")[feature_cols.index(f.name)].cast(f.dataType).alias(f.name))
-        else:
-            out_cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    synthetic = syn.select(*out_cols, F.lit(1).alias(synthetic_col))
-    return df.withColumn(synthetic_col, F.lit(0)).unionByName(synthetic)
+    sizes = {r[0]: r[1] for r in rows.groupBy(label).agg(F.count(F.lit(1))).collect()}
+    most = max(sizes.values(), default=0)
+    small = {c: n for c, n in sizes.items() if c is not None and n < most}
+    kept = rows.withColumn(synthetic_col, F.lit(0))
+    if not small:
+        return kept
+    spark, kind = df.sparkSession, df.schema[label].dataType
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    base = stable(rows.where(F.col(label).isin(list(small))).select(
+        F.col(label).cast("string").alias("cls"), *carry, F.col(features).alias("v")))
+    base = stable(rank_rows(base, [F.xxhash64("v"), *carry], by=["cls"], rank_col="r", size_col="_n").drop("_n"))
+
+    index = None
+    for c, n in small.items():
+        # Copy numbers, spread evenly over tasks whatever the class's size.
+        made = spark.range(0, most - n, 1, max(1, min(tasks, (most - n) // 10000 + 1))).select(
+            F.lit(c).cast(kind).cast("string").alias("cls"), F.col("id").alias("t"), F.lit(n).cast("long").alias("n"))
+        index = made if index is None else index.unionByName(made)
+    h = F.xxhash64("cls", "t", F.lit(seed))
+    index = stable(index.select(
+        "cls", F.pmod(h, F.col("n")).alias("r"), F.xxhash64(h, F.lit(2)).alias("pick"),
+        (F.pmod(F.xxhash64(h, F.lit(1)), F.lit(1 << 30)) / float(1 << 30)).alias("u")))
+
+    near = neighbours(base, index.select("cls", "r").distinct(), k)
+    near = near.groupBy("cls", F.col("base").alias("r")).agg(F.array_sort(F.collect_list(F.struct("at", "r"))).alias("near"))
+    pick = F.get("near", F.pmod(F.col("pick"), F.size("near")).cast("int"))["r"]
+    drawn = index.join(near, ["cls", "r"], "left").select("cls", "r", "u", F.coalesce(pick, F.col("r")).alias("nr"))
+    pairs = (drawn.join(base, ["cls", "r"])
+             .join(base.select("cls", F.col("r").alias("nr"), F.col("v").alias("w")), ["cls", "nr"])
+             .select(F.col("cls").cast(kind).alias(label), *carry, "v", "w", "u"))
+
+    def mix(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rb in it:
+            n = rb.num_rows
+            if not n:
+                continue
+            size = rb.column("v").flatten()[1][0].as_py() or len(rb.column("v").flatten()[3][0])
+            parts = [_entries(rb.column(c)) for c in ("v", "w")]
+            keys, where = np.unique(np.concatenate([row * size + slot for row, slot, _ in parts]), return_inverse=True)
+            x, y, cut = np.zeros(len(keys)), np.zeros(len(keys)), len(parts[0][0])
+            x[where[:cut]], y[where[cut:]] = parts[0][2], parts[1][2]
+            row = keys // size
+            made = x + rb.column("u").to_numpy()[row] * (y - x)
+            yield pa.RecordBatch.from_arrays(
+                [*[rb.column(c) for c in (label, *carry)], _vectors(row, keys % size, made, n, size)], [label, *carry, features])
+
+    schema = T.StructType([*pairs.select(label, *carry).schema.fields, T.StructField(features, VectorUDT())])
+    return kept.unionByName(pairs.mapInArrow(mix, schema).withColumn(synthetic_col, F.lit(1)))

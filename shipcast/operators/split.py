@@ -51,7 +51,8 @@ def rank_rows(df: DataFrame, order: Sequence, by: Sequence[str] = (),
     # The window runs over the small offset table (partitions x groups rows).
     parts = (parts.withColumn(size_col, F.sum("_cnt").over(wg))
              .withColumn("_start", F.sum("_cnt").over(wg.orderBy("_pid")) - F.col("_cnt")))
-    j = ordered.join(F.broadcast(parts), ["_pid", *by])
+    # Written (partitions x groups rows), so that the planner broadcasts it if its bytes allow.
+    j = ordered.join(stable(parts), ["_pid", *by])
     out = j.withColumn(rank_col, F.col("_start") + F.col("_mid") - F.col("_base"))
     return out.drop("_pid", "_mid", "_base", "_cnt", "_start", *ocols)
 

@@ -1,12 +1,9 @@
 """pp01: the preprocessing pipeline, in the reference's fixed order:
 drop -> repair -> winsorize -> impute -> features -> log + scale -> encode.
 
-Both splits travel in one DataFrame with a ``split`` column; every fitted
-statistic is computed from the ``train`` rows only and applied to all rows.
-Each step's fit reads the previous step's output, so the plan would grow
-with every step; it is cut by writing Parquet to the shared folder (which
-survives executor loss, is compressed and pruned by column) after the
-imputation steps and at the end.
+The steps are the fitted stages of ``operators/stages.py``: statistics come from
+the ``train`` rows only, and one ``PipelineModel`` applies them to both splits in
+one projection with joins to the small state tables.
 """
 
 from __future__ import annotations
@@ -14,40 +11,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shipcast.functions.columns import numeric_columns
-from shipcast.operators import clean as C
-from shipcast.operators import encode as E
-from shipcast.operators import features as FE
 from shipcast.operators.quantiles import stable
+from shipcast.operators.stages import fit_preprocessing
 
 KEY = "order_id"
 SPLIT = "split"
-TARGETS = ("supply_chain_disruption_risk", "realistic_total_cost", "will_be_delayed", "optimal_stock_days")
-
-
-def _train(df: DataFrame) -> DataFrame:
-    return df.where(F.col(SPLIT) == "train")
-
 
 
 def run_pipeline(df: DataFrame, task: str = "all") -> DataFrame:
     """All rows of ``df`` (with ``split``) processed for ``task``; keeps
     ``order_id`` and ``split`` as side keys."""
-    out = C.drop_leakage(df, task)                                   # pj01
-    out = C.null_negatives(out)                                       # cl01
-    out = C.apply_winsor(out, C.fit_winsor(_train(out)))              # cl02
-    out = stable(out)
-    out = C.impute_all_groups(_train(out), out)                       # cl03-cl05
-    out = stable(out)
-    out = C.apply_global_fill(out, _train(out), exclude=(KEY,))       # cl06
-    out = FE.engineer(out, _train(out))                               # fe01-fe12
-    logs = FE.log_cost_exprs(out)                                     # fe13
-    out = out.select("*", *[e.alias(n) for n, e in logs.items()])
-    out = stable(out)
-    num = numeric_columns(out, exclude=(KEY,))
-    out = E.apply_scaler(out, E.fit_scaler(_train(out), num))         # nm01
-    out = E.one_hot(_train(out), out)                                 # en01 (+en02 by construction)
-    return stable(out)
+    return stable(fit_preprocessing(df.where(F.col(SPLIT) == "train"), task).transform(df))
 
 
 def null_report(processed: DataFrame) -> DataFrame:

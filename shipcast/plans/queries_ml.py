@@ -6,12 +6,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shipcast.operators import baseline as B
+from shipcast.operators import clean as C
 from shipcast.operators import encode as E
 from shipcast.operators import metrics as MT
 from shipcast.operators import split as S
 from shipcast.operators.quantiles import stable
-from shipcast.plans.catalog import ORACLE, _ship, _train, r, register, rounded
+from shipcast.plans.catalog import NUMERIC, _ship, _train, r, register, rounded
 from shipcast.plans.oracle import with_shipments
+from shipcast.plans.queries_features import _FEATURES, ONE_HOT_COLUMNS, _vocab_sql
 from shipcast.sources.shipments import train_test
 
 W = with_shipments
@@ -183,40 +185,98 @@ def ml18(spark, sf):
     return rounded(select_best(table, "rmse", minimize=True).select("model", "seq", "rmse", "is_best"))
 
 
-# ------------------------------------------------------------------ models (rows-only)
-# Model outputs depend on the learner's randomness and floating point, so they
-# are checked by row count and schema only.  Each family query fits one
-# parameter set drawn from the reference's list on the processed train split
-# and scores the test split; ml13/ml23 run the search itself.
+# ------------------------------------------------------------------ the pipeline in SQL
+
+_NEGATIVE = "CASE WHEN actual_delivery_days < 0 THEN NULL ELSE actual_delivery_days END"
+PP01_FEATURES = [(n, e) for q, exprs in _FEATURES if q.startswith("fe") and q != "fe13_log1p_costs" for n, e, _ in exprs]
+_LOGS = [(n, e) for q, exprs in _FEATURES if q == "fe13_log1p_costs" for n, e, _ in exprs]
+PP01_NUMERIC = [*NUMERIC, *[n for n, _ in PP01_FEATURES], "quality_index", "supplier_perf_bucket", *[n for n, _ in _LOGS]]
+
+
+def _pipeline_ctes():
+    """raw orders -> p6 (all columns, scaled) in SQL, step by step as the pipeline does."""
+    win = [c for c in C.WINSOR_COLUMNS if c in NUMERIC]
+    bounds = ", ".join(f"quantile_cont({c}, {p}) AS {c}_p{k}" for c in win for p, k in ((0.01, "01"), (0.99, "99")))
+    clip = ", ".join(f"CASE WHEN {c} IS NULL THEN NULL ELSE greatest(least({c}, {c}_p99), {c}_p01) END AS {c}" for c in win)
+    drop = ", ".join(f"{c}_p{k}" for c in win for k in ("01", "99"))
+    out = [f"p0 AS (SELECT * REPLACE ({_NEGATIVE} AS actual_delivery_days) FROM shipments)",
+           f"p1 AS (SELECT * EXCLUDE ({drop}) REPLACE ({clip}) FROM p0, (SELECT {bounds} FROM p0 WHERE split = 'train') b)"]
+    at = "p1"
+    for spec, (keys, cols) in C.IMPUTE_SPECS.items():
+        cols = [c for c in cols if c in NUMERIC]
+        med = ", ".join(f"quantile_cont({c}, 0.5) AS {c}__m" for c in cols)
+        on, known = " AND ".join(f"s.{k} = g.{k}" for k in keys), " AND ".join(f"{k} IS NOT NULL" for k in keys)
+        fill = {c: f"coalesce(g.{c}__m, a.{c}__m)" if spec == "category" else
+                f"CASE WHEN g.{keys[0]} IS NOT NULL THEN g.{c}__m ELSE a.{c}__m END" for c in cols}
+        out.append(f"{spec}_fill AS (SELECT s.* REPLACE ({', '.join(f'coalesce(s.{c}, {fill[c]}) AS {c}' for c in cols)}) FROM {at} s "
+                   f"LEFT JOIN (SELECT {', '.join(keys)}, {med} FROM {at} WHERE split = 'train' AND {known} GROUP BY {', '.join(keys)}) g "
+                   f"ON {on} CROSS JOIN (SELECT {med} FROM {at} WHERE split = 'train') a)")
+        at = f"{spec}_fill"
+    med = ", ".join(f"quantile_cont({c}, 0.5) AS {c}__m, count(*) FILTER ({c} IS NULL) AS {c}__k" for c in NUMERIC)
+    gone = ", ".join(f"{c}__m, {c}__k" for c in NUMERIC)
+    fill = ", ".join(f"CAST(CASE WHEN {c}__k > 0 THEN coalesce({c}, {c}__m) ELSE {c} END AS DOUBLE) AS {c}" for c in NUMERIC)
+    out.append(f"p4 AS (SELECT * EXCLUDE ({gone}) REPLACE ({fill}) FROM {at}, (SELECT {med} FROM {at} WHERE split = 'train') f)")
+    x = "supplier_historical_performance"
+    made = [*PP01_FEATURES, *_LOGS,
+            ("quality_index", "(defect_rate_ppm - dm) / (ds + 1e-8) + (quality_risk_score - qm) / (qs + 1e-8)"),
+            ("supplier_perf_bucket", f"CASE WHEN {x} <= q25 THEN 0 WHEN {x} <= q50 THEN 1 WHEN {x} <= q75 THEN 2 "
+                                     f"WHEN {x} IS NOT NULL THEN 3 END")]
+    out.append(f"""p5 AS (SELECT p4.*, {', '.join(f'{e} AS {n}' for n, e in made)} FROM p4, (
+SELECT avg(defect_rate_ppm) AS dm, stddev_samp(defect_rate_ppm) AS ds, avg(quality_risk_score) AS qm, stddev_samp(quality_risk_score) AS qs,
+ quantile_cont({x}, 0.25) AS q25, quantile_cont({x}, 0.5) AS q50, quantile_cont({x}, 0.75) AS q75 FROM p4 WHERE split = 'train') st)""")
+    scaled = ", ".join(r(f"({c} - {c}__m) / (CASE WHEN {c}__s = 0 OR {c}__s IS NULL THEN 1 ELSE {c}__s END)", c) for c in PP01_NUMERIC)
+    moments = ", ".join(f"avg({c}) AS {c}__m, stddev_pop({c}) AS {c}__s" for c in PP01_NUMERIC)
+    out.append(f"p6 AS (SELECT order_id, split, order_date, supply_chain_disruption_risk, {', '.join(ONE_HOT_COLUMNS)}, {scaled} "
+               f"FROM p5, (SELECT {moments} FROM p5 WHERE split = 'train') st)")
+    # Slots run from the last value to the second; the first value has none.
+    out.append(f"v AS ({_vocab_sql(ONE_HOT_COLUMNS, 'train')})")
+    out += [f"v_{c} AS (SELECT val, CAST(CASE WHEN rk = 1 THEN 0 ELSE max(rk) OVER () - rk + 1 END AS INTEGER) AS slot "
+            f"FROM v WHERE col = '{c}')" for c in ONE_HOT_COLUMNS]
+    return ",\n".join(out)
+
+
+_SLOTS = ", ".join(f"coalesce(v_{c}.slot, 0) AS {c}_slot" for c in ONE_HOT_COLUMNS)
+_SLOT_JOINS = " ".join(f"LEFT JOIN v_{c} ON v_{c}.val = CAST(p6.{c} AS VARCHAR)" for c in ONE_HOT_COLUMNS)
+PP01_SQL = W(f"""SELECT order_id, split, order_date, supply_chain_disruption_risk, {', '.join(PP01_NUMERIC)}, {_SLOTS}
+FROM p6 {_SLOT_JOINS}""", ctes=_pipeline_ctes())
+NULLS_SQL = W("SELECT split, count(*) AS n_rows, CAST(sum(" + " + ".join(
+    f"CASE WHEN {c} IS NULL THEN 1 ELSE 0 END" for c in ("order_date", "supply_chain_disruption_risk", *PP01_NUMERIC))
+    + " + CASE WHEN order_date IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_cells FROM p6 GROUP BY split", ctes=_pipeline_ctes())
+ML22_SQL = W(f"""SELECT order_id, CAST((SELECT count(*) FROM v WHERE rk > 1) AS INTEGER) AS n_slots,
+ {' + '.join(f'CASE WHEN coalesce(v_{c}.slot, 0) > 0 THEN 1 ELSE 0 END' for c in ONE_HOT_COLUMNS)} AS n_filled
+FROM p6 {_SLOT_JOINS} WHERE split = 'train'""", ctes=_pipeline_ctes())
 
-def _prepared(spark, sf, task):
-    from shipcast.plans.tasks import prepare
-    return prepare(spark, sf, task)
 
+# ------------------------------------------------------------------ models (rows-only)
+# Fits depend on the learner's randomness and floating point, so they are checked
+# by row count and schema only.  ml07-ml12 fit one parameter set drawn from the
+# reference's list on the processed train split and score the test split; the
+# task runs search, select and refit, and every report reads their results.
 
-_FITTED: dict = {}
+#: The lists of the registered task runs, short enough for a check
+#: (two draws a family); ``run_task`` without lists searches the reference's.
+CHECK_GRIDS = {
+    "risk": {"RandomForest": {"n_estimators": [10, 20], "max_depth": [5, 8], "max_features": ["sqrt", "log2"]}},
+    "cost": {"RandomForest": {"n_estimators": [10, 20], "max_depth": [5, 8], "min_samples_leaf": [2, 5]},
+             "GBT": {"n_estimators": [5], "max_depth": [3, 4], "learning_rate": [0.1, 0.3]}},
+    "delay": {"Logistic": {"C": [0.01, 0.1, 1, 10]}},
+    "inventory": {"RandomForest": {"n_estimators": [10, 20], "max_depth": [5, 8], "min_samples_leaf": [2, 5]},
+                  "GBT": {"n_estimators": [5], "max_depth": [3, 4], "learning_rate": [0.1, 0.3]}},
+}
+CHECK_DRAWS = {"risk": 2, "cost": 2, "delay": 4, "inventory": 2}
 
 
-def _fitted(spark, sf, task, family):
-    """One fit per (application, input, task, family): several queries score
-    or summarise the same model."""
-    from shipcast.operators import models as M
-    key = (spark.sparkContext.applicationId, sf, task, family)
-    if key not in _FITTED:
-        train, _, cols = _prepared(spark, sf, task)
-        params = M.draw_params(M.GRIDS[task][family], 1)[0]
-        tr, _ = M.assemble(train, cols)
-        _FITTED[key] = M.fit_one(tr.select("label", "features"), task, family, params)
-    return _FITTED[key]
+def _run(spark, sf, task):
+    from shipcast.plans.tasks import run_task
+    return run_task(spark, sf, task, CHECK_GRIDS[task], CHECK_DRAWS[task])
 
 
 def _family_query(task, family):
     def fn(spark, sf):
         from shipcast.operators import models as M
-        _, test, cols = _prepared(spark, sf, task)
-        model = _fitted(spark, sf, task, family)
-        te, _ = M.assemble(test, cols)
-        return M.score(model, te, task)
+        from shipcast.plans.tasks import fitted, prepare
+        _, test, cols = prepare(spark, sf, task)
+        return M.score(fitted(spark, sf, task, family), M.assemble(test, cols)[0], task)
     return fn
 
 
@@ -229,29 +289,43 @@ for _qid, _task, _fam in (("ml07_rf_classifier", "risk", "RandomForest"),
     register(_qid)(_family_query(_task, _fam))
 
 
-@register("pp01_run_pipeline")
+@register("pp01_run_pipeline", PP01_SQL)
 def pp01(spark, sf):
+    """All processed rows; every one-hot vector as the number of its slot (0: none)."""
+    from pyspark.ml.functions import vector_to_array
     from shipcast.plans.preprocess import run_pipeline
-    return run_pipeline(_ship(spark, sf), "all")
+    out = run_pipeline(_ship(spark, sf), "all")
+    hot = [F.array_position(vector_to_array(f"{c}_vec"), 1.0).cast("int").alias(f"{c}_slot") for c in ONE_HOT_COLUMNS]
+    return rounded(out.select("order_id", "split", "order_date", "supply_chain_disruption_risk", *PP01_NUMERIC, *hot))
 
 
 @register("io06_sink_processed")
 def io06(spark, sf):
-    from shipcast.plans.preprocess import run_pipeline
+    """Processed train and test rows of all four tasks, written as CSV and read back:
+    one row per task, split and column."""
+    from shipcast.plans.tasks import preprocessing
     from shipcast.sources import sinks
-    out = run_pipeline(_ship(spark, sf), "cost")
-    return spark.read.parquet(sinks.write_parquet(out, sinks.new_path(spark, "processed_cost")))
+    out = None
+    for task in CHECK_GRIDS:
+        fitted, processed = preprocessing(spark, sf, task)
+        path = sinks.write_processed(processed, E.feature_names(fitted.stages, spark), sinks.new_path(spark, f"processed_{task}"))
+        back = sinks.read_processed(spark, path, processed.schema)
+        rows = back.groupBy("split").agg(F.count("*").alias("n_rows"),
+                                         F.count_distinct("order_id").alias("n_orders")).withColumn("task", F.lit(task))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 @register("ml05_smote")
 def ml05(spark, sf):
-    """Risk classes of the train split grown to the majority size."""
+    """Risk classes of the train split grown to the majority size, over all processed columns."""
+    from pyspark.ml.functions import vector_to_array
+    from shipcast.operators import models as M
     from shipcast.operators.oversample import smote
-    from shipcast.plans.catalog import NUMERIC
-    train = E.encode_labels(_train(spark, sf), out="label")
-    feats = [c for c in NUMERIC if c != "supply_chain_disruption_risk"]
-    df = train.select("label", *feats).fillna(0.0, subset=feats)
-    return smote(df, "label", feats)
+    from shipcast.plans.tasks import prepare
+    train, _, cols = prepare(spark, sf, "risk")
+    out = smote(stable(M.assemble(train, cols)[0].select("label", "features")), "label")
+    return out.withColumn("features", vector_to_array("features"))
 
 
 @register("ml05_smote_class_counts", W("""SELECT CASE supply_chain_disruption_risk WHEN 'Low_Risk' THEN 0
@@ -265,34 +339,48 @@ def ml05_counts(spark, sf):
 
 @register("ml13_random_search")
 def ml13(spark, sf):
-    """Logistic search for the delay task: the reference's C list, 5 folds, one row per draw."""
-    from shipcast.operators import models as M
-    train, _, cols = _prepared(spark, sf, "delay")
-    fit = stable(S.kfold(train, "label").select("label", "fold", *cols))
-    table = M.random_search(fit, "delay", "Logistic", cols)[3]
-    return spark.createDataFrame([(i, float(d["C"]), float(cv)) for i, d, cv in table], "seq int, C double, cv_auc double")
+    """The trial table of all four task runs: one row per task, family, draw and fold."""
+    out = None
+    for task in CHECK_GRIDS:
+        rows = _run(spark, sf, task).trials.table().withColumn("task", F.lit(task))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
-def _task_query(task, families):
-    def fn(spark, sf):
-        from shipcast.plans.tasks import run_task
-        return run_task(spark, sf, task, families=families)["predictions"]
-    return fn
+@register("ml20_refit_full")
+def ml20(spark, sf):
+    """Test predictions of the cost task's best draw, refit on all train rows."""
+    return _run(spark, sf, "cost").predictions()
 
 
-register("ml23_task_run")(_task_query("delay", ["Logistic"]))
+@register("ml23_task_run")
+def ml23(spark, sf):
+    """All four tasks: every family's scores, and which one was selected."""
+    out = None
+    for task in CHECK_GRIDS:
+        rows = _run(spark, sf, task).metrics().select(
+            F.lit(task).alias("task"), "model", "cv_metric", F.to_json("params").alias("params"),
+            F.to_json("metrics").alias("metrics"), "is_best")
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 @register("ml21_score")
 def ml21(spark, sf):
-    """Test predictions of the cost task's forest, as (order_id, prediction)."""
-    return _family_query("cost", "RandomForest")(spark, sf)
+    """Test predictions of the risk task's selected model, as (order_id, class name)."""
+    return _run(spark, sf, "risk").predictions()
 
 
 @register("jn03_id_align")
 def jn03(spark, sf):
     """Predictions keep the key carried through transform (no positional join)."""
-    return _family_query("inventory", "RandomForest")(spark, sf)
+    return _run(spark, sf, "inventory").predictions()
+
+
+@register("jn03_id_align_keys", W("SELECT order_id, 1 AS n_predictions FROM test"))
+def jn03_keys(spark, sf):
+    """Every test order has one prediction under its own key."""
+    return jn03(spark, sf).groupBy("order_id").agg(F.count("prediction").cast("int").alias("n_predictions"))
 
 
 def _prediction_stats(p):
@@ -306,7 +394,7 @@ def _prediction_stats(p):
 
 @register("ag25_prediction_stats")
 def ag25(spark, sf):
-    return _prediction_stats(_family_query("cost", "RandomForest")(spark, sf))
+    return _prediction_stats(_run(spark, sf, "cost").predictions())
 
 
 @register("ag25_prediction_stats_baseline", W(f"""SELECT {r('avg(p)', 'mean')}, {r('quantile_cont(p, 0.5)', 'median')},
@@ -318,17 +406,22 @@ def ag25_baseline(spark, sf):
 
 @register("ag27_prediction_class_share")
 def ag27(spark, sf):
-    p = _family_query("risk", "RandomForest")(spark, sf)
-    c = p.groupBy("prediction").agg(F.count(F.lit(1)).alias("n"))
-    from pyspark.sql import Window
-    return c.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(0))))
+    """Predicted classes of the selected risk and delay models."""
+    parts = None
+    for task in ("risk", "delay"):
+        p = _run(spark, sf, task).predictions().groupBy(F.col("prediction").cast("string").alias("prediction")).agg(
+            F.count(F.lit(1)).alias("n"))
+        total = p.agg(F.sum("n").alias("total"))
+        p = p.crossJoin(total).select(F.lit(task).alias("task"), "prediction", "n", (F.col("n") / F.col("total")).alias("share"))
+        parts = p if parts is None else parts.unionByName(p)
+    return parts
 
 
 @register("ag27_delayed_share_and_spend")
 def ag27_delay_spend(spark, sf):
     """Share of orders predicted delayed, and total predicted spend, over the test orders."""
-    late = _family_query("delay", "Logistic")(spark, sf).agg(F.avg("prediction").alias("delayed_share"))
-    spend = _family_query("cost", "RandomForest")(spark, sf).agg(F.sum("prediction").alias("total_spend"))
+    late = _run(spark, sf, "delay").predictions().agg(F.avg("prediction").alias("delayed_share"))
+    spend = _run(spark, sf, "cost").predictions().agg(F.sum("prediction").alias("total_spend"))
     return late.crossJoin(spend)  # one row each
 
 
@@ -338,7 +431,7 @@ def cl01_count(spark, sf):
     return count_repairs(_train(spark, sf))
 
 
-@register("pp01_null_report")
+@register("pp01_null_report", NULLS_SQL)
 def pp01_nulls(spark, sf):
     from shipcast.plans.preprocess import null_report, run_pipeline
     return null_report(run_pipeline(_ship(spark, sf), "all"))
@@ -367,52 +460,50 @@ def ag27_baseline(spark, sf):
 @register("fx12_overstock_flag")
 def fx12(spark, sf):
     from shipcast.operators.features import overstock_flag
-    preds = _family_query("inventory", "RandomForest")(spark, sf)
+    preds = _run(spark, sf, "inventory").predictions()
     test = train_test(_ship(spark, sf))[1].select("order_id", "current_stock_days")
     return overstock_flag(test.join(preds, "order_id")).agg(
         F.sum("overstocked").alias("n_overstocked"), F.count(F.lit(1)).alias("n_orders"))
 
 
-@register("ml20_refit_full")
-def ml20(spark, sf):
-    from shipcast.operators import models as M
-    _, _, cols = _prepared(spark, sf, "cost")
-    m = _fitted(spark, sf, "cost", "RandomForest")
-    return spark.createDataFrame([(m.getNumTrees, len(cols))], "num_trees int, n_features int")
-
-
 @register("io09_sink_predictions")
 def io09(spark, sf):
+    """The four prediction files, read back: task, order_id, prediction."""
     from shipcast.sources import sinks
-    p = _family_query("delay", "Logistic")(spark, sf)
-    path = sinks.write_predictions(p, sinks.new_path(spark, "prediction_task_c_delay"))
-    return spark.read.option("header", True).csv(path)
+    out = None
+    for task in CHECK_GRIDS:
+        path = sinks.write_predictions(_run(spark, sf, task).predictions(), sinks.new_path(spark, f"prediction_task_{task}"))
+        rows = spark.read.option("header", True).csv(path).withColumn("task", F.lit(task))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
-@register("io10_sink_metrics", ORACLE["ml18_select_best"])
+@register("io10_sink_metrics")
 def io10(spark, sf):
-    from shipcast.sources import sinks
-    m = ml18(spark, sf)
-    path = sinks.write_metrics(m, sinks.new_path(spark, "task_b_cost_metrics"))
-    return spark.read.json(path)
+    """The metrics document of every task, as it stands in its file."""
+    out = None
+    for task in CHECK_GRIDS:
+        rows = _run(spark, sf, task).document().select(
+            "task", "best_model", F.to_json("best_params").alias("best_params"), F.to_json("results").alias("results"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 @register("io11_save_model")
 def io11(spark, sf):
-    from pyspark.ml import PipelineModel
-    from shipcast.operators import models as M
-    from shipcast.sources import sinks
-    _, test, cols = _prepared(spark, sf, "inventory")
-    m = _fitted(spark, sf, "inventory", "RandomForest")
-    path = sinks.save_model(M.pipeline_model(cols, m), sinks.new_path(spark, "task_d_inventory_model"))
-    return PipelineModel.load(path).transform(test).select("order_id", "prediction")
+    """The saved inventory pipeline, loaded, on raw test orders: order_id, prediction."""
+    raw = _ship(spark, sf).where(F.col("split") == "test").drop("optimal_stock_days")
+    return _run(spark, sf, "inventory").model().transform(raw).select("order_id", "prediction")
 
 
-@register("ml22_assemble")
+@register("ml22_assemble", ML22_SQL)
 def ml22(spark, sf):
-    """Processed numeric columns of the risk task as one dense vector per order."""
+    """Processed columns of the train orders as one vector each: its size, and how many slots are not zero."""
     from pyspark.ml.functions import vector_to_array
     from shipcast.operators import models as M
-    train, _, cols = _prepared(spark, sf, "risk")
-    v, _ = M.assemble(train, cols)
-    return v.select("order_id", vector_to_array("features").alias("features"))
+    from shipcast.plans.preprocess import run_pipeline
+    out = run_pipeline(_ship(spark, sf), "all").where(F.col("split") == "train")
+    hot = [f"{c}_vec" for c in ONE_HOT_COLUMNS]
+    v = vector_to_array("features")
+    return M.assemble(out.select("order_id", *hot), hot)[0].select(
+        "order_id", F.size(v).alias("n_slots"), F.size(F.filter(v, lambda x: x != 0)).alias("n_filled"))

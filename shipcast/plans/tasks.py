@@ -1,14 +1,24 @@
-"""ml23: one model task end to end.
+"""ml20, ml23: one model task end to end, and what it leaves behind.
 
 prepare (pp01 for the task, labels re-attached by key) -> hold-out split
 (stratified for classes) -> folds on the fitting part -> random search per model
 family with k-fold CV, oversampling each fold's training part (risk task; D5:
-validation rows are never oversampled) -> validation metrics ->
-selection -> refit on all train rows -> test scores.
+validation rows are never oversampled) -> validation metrics -> selection ->
+refit of the best draw on all train rows -> test scores.
+
+Everything lies in the shared folder under a digest of the state of the inputs
+and of the search: processed tables, fitted preprocessing, trials, models,
+predictions, and last the metrics document, which marks the run as whole.  A run
+that starts again goes on from its trials; reports read a finished one.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
+
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,100 +27,164 @@ from pyspark.sql import types as T
 from shipcast.operators import encode as E
 from shipcast.operators import metrics as MT
 from shipcast.operators import models as M
-from shipcast.operators import split as S
+from shipcast.operators import search as S
+from shipcast.operators import split as SP
 from shipcast.operators.oversample import smote
 from shipcast.operators.quantiles import stable
-from shipcast.plans.preprocess import run_pipeline
-from shipcast.sources.shipments import shipments_table
+from shipcast.operators.stages import fit_preprocessing
+from shipcast.session import exists, lasting_dir
+from shipcast.sources import sinks
+from shipcast.sources.shipments import input_state, shipments_table
 
 KEY = "order_id"
+#: Part of every digest: raise it when the code changes what it writes.
+FORMAT = 1
+
+
+def folder(spark: SparkSession, sf_dir: str, name: str, *key) -> str:
+    """The folder of something that depends on the inputs as they are now and on ``key``."""
+    text = json.dumps([FORMAT, sf_dir, input_state(spark, sf_dir), *key], sort_keys=True, default=str)
+    return f"{lasting_dir(spark)}/{name}-{hashlib.md5(text.encode()).hexdigest()[:16]}"
+
 
+# ---------------------------------------------------------------- prepared tables
 
-_PREPARED: dict = {}
+def preprocessing(spark: SparkSession, sf_dir: str, task: str) -> tuple[PipelineModel, DataFrame]:
+    """(fitted preprocessing, processed orders) of a task, fitted and written once."""
+    path = folder(spark, sf_dir, f"prepared-{task}")
+    if not exists(spark, f"{path}/orders/_SUCCESS"):
+        ship = shipments_table(spark, sf_dir)
+        fitted = fit_preprocessing(ship.where(F.col("split") == "train"), task)
+        fitted.write().overwrite().save(f"{path}/stages")
+        fitted.transform(ship).write.mode("overwrite").parquet(f"{path}/orders")
+    return PipelineModel.load(f"{path}/stages"), spark.read.parquet(f"{path}/orders")
+
+
+def feature_columns(processed: DataFrame, task: str) -> list[str]:
+    return [f.name for f in processed.schema.fields if isinstance(f.dataType, (T.NumericType, VectorUDT))
+            and f.name not in (KEY, "split", M.LABEL[task])]
+
+
+def labels(spark: SparkSession, sf_dir: str, task: str) -> DataFrame:
+    ship, name = shipments_table(spark, sf_dir), M.LABEL[task]
+    if task == "risk":
+        return E.encode_labels(ship.select(KEY, name), name, "label").select(KEY, "label")
+    return ship.select(KEY, F.col(name).cast("double").alias("label"))
 
 
 def prepare(spark: SparkSession, sf_dir: str, task: str):
     """(train, test, feature columns): processed features; train carries the
-    task label as ``label`` (joined by key, D3).
-
-    The processed table ends in a reliable checkpoint (a written table in the
-    shared folder), so within one application it is reused per (input, task)
-    instead of being rebuilt by every model step."""
-    k = (spark.sparkContext.applicationId, sf_dir, task)
-    if k not in _PREPARED:
-        _PREPARED[k] = _prepare(spark, sf_dir, task)
-    return _PREPARED[k]
-
-
-def _prepare(spark: SparkSession, sf_dir: str, task: str):
-    ship = shipments_table(spark, sf_dir)
-    processed = run_pipeline(ship, task)
-    lab = M.LABEL[task]
-    labels = ship.select(KEY, lab)
-    if task == "risk":
-        labels = E.encode_labels(labels, lab, "label").select(KEY, "label")
-    else:
-        labels = labels.select(KEY, F.col(lab).cast("double").alias("label"))
-    num = [c for c in processed.columns if c not in (KEY, "split")]
-    feats = [f.name for f in processed.select(*num).schema.fields
-             if isinstance(f.dataType, (T.NumericType, VectorUDT))]
-    feats = [c for c in feats if c != lab]
-    train = (processed.where(F.col("split") == "train").join(labels, KEY)
+    task label as ``label`` (joined by key, D3)."""
+    _, processed = preprocessing(spark, sf_dir, task)
+    train = (processed.where(F.col("split") == "train").join(labels(spark, sf_dir, task), KEY)
              .where(F.col("label").isNotNull()))
-    test = processed.where(F.col("split") == "test")
-    return train, test, feats
+    return train, processed.where(F.col("split") == "test"), feature_columns(processed, task)
+
 
+def balancer(task: str):
+    """What a task does to rows it trains on, beside class weights."""
+    return (lambda rows: smote(rows, "label").drop("is_synthetic")) if task == "risk" else None
 
-def _validate(model, val: DataFrame, task: str) -> dict:
+
+# ---------------------------------------------------------------- runs
+
+def _validate(model, val: DataFrame, task: str) -> dict[str, float]:
     pred = model.transform(val)
     kind = M.KIND[task]
     if kind == "regression":
         row = MT.regression_metrics(pred).first().asDict()
         row.update(MT.business_cost(pred).first().asDict())
-        return {k: row[k] for k in ("rmse", "mae", "mape", "r2", "business_cost")}
-    if kind == "binary":
+        names = ("rmse", "mae", "mape", "r2", "business_cost")
+    elif kind == "binary":
         from pyspark.ml.functions import vector_to_array
         prob = pred.select("label", vector_to_array("probability")[1].alias("score"), "prediction")
-        a = MT.auc(prob, "label", "score").first()["auc"]
-        h = MT.hard_label_auc(prob, "label", "prediction").first()["auc_hard_label"]
-        return {"areaUnderROC": a, "auc_hard_label": h}
-    return {"f1": MT.f1_weighted(pred).first()["f1_weighted"]}
-
-
-def run_task(spark: SparkSession, sf_dir: str, task: str, families: list[str] | None = None,
-             n_iter: int | None = None, parallelism: int = 4, max_rows: int | None = None) -> dict:
-    """Returns {"metrics": DataFrame (one row per family: best parameters, cross-
-    validation score, validation metrics), "search": DataFrame (one row per family
-    and draw), "predictions": DataFrame, "model": fitted learner, "feature_cols":
-    list, "best": (family, params)}."""
+        row = {"areaUnderROC": MT.auc(prob, "label", "score").first()["auc"],
+               "auc_hard_label": MT.hard_label_auc(prob, "label", "prediction").first()["auc_hard_label"]}
+        names = tuple(row)
+    else:
+        row, names = {"f1": MT.f1_weighted(pred).first()["f1_weighted"]}, ("f1",)
+    return {k: float(row[k]) for k in names if row[k] is not None}
+
+
+def run_task(spark: SparkSession, sf_dir: str, task: str, grids: dict | None = None, n_iter: int | None = None,
+             parallelism: int = 4) -> TaskRun:
+    """The task's run with these search lists (family -> lists; default: the
+    reference's), done if no whole run of it lies in the shared folder."""
+    grids = grids or M.GRIDS[task]
+    run = TaskRun(spark, folder(spark, sf_dir, f"task-{task}", grids, n_iter, M.N_ITER[task], M.SEED), task)
+    if run.whole():
+        return run
+    fitted, _ = preprocessing(spark, sf_dir, task)
     train, test, cols = prepare(spark, sf_dir, task)
     strat = "label" if M.KIND[task] != "regression" else None
-    split = S.holdout(train, strat)
-    fit_part = S.kfold(split.where(F.col("is_val") == 0).drop("is_val"), strat).select("label", "fold", *cols)
-    fit_part = stable(fit_part)
-    val_v, _ = M.assemble(split.where(F.col("is_val") == 1).drop("is_val"), cols)
-    balance = None
-    if task == "risk":
-        flat = [c for c in cols if not c.endswith("_vec")]
-        balance = lambda df: smote(df, "label", flat, carry=[c for c in cols if c not in flat])
-
-    rows, draws, best_params = [], [], {}
-    for seq, fam in enumerate(families or list(M.GRIDS[task])):
-        model, params, cv, table = M.random_search(fit_part, task, fam, cols, n_iter, balance=balance,
-                                                   parallelism=parallelism, max_rows=max_rows)
-        res = _validate(model, val_v, task)
-        best_params[fam] = params
-        rows.append({"model": fam, "seq": seq, "cv_metric": cv, "params": str(params),
-                     **{k: (float(v) if v is not None else None) for k, v in res.items()}})
-        draws += [(fam, i, str(p), s) for i, p, s in table]
+    split = SP.holdout(train.select(KEY, "label", *cols), strat)
+    folds = SP.kfold(split.where(F.col("is_val") == 0), strat)
+    fit_part = stable(M.assemble(folds, cols)[0].select("label", "fold", "features"))
+    val = stable(M.assemble(split.where(F.col("is_val") == 1), cols)[0].select("label", "features"))
+    results = {}
+    for family in grids:
+        model, params, cv, _ = S.random_search(fit_part, task, family, n_iter, grids[family], balancer(task),
+                                               parallelism, run.trials)
+        results[family] = {"cv_metric": cv, "params": params, "metrics": _validate(model, val, task)}
     metric, minimize = M.SELECT_METRIC[task]
-    table = M.select_best(spark.createDataFrame(rows), metric, minimize)  # one row per model family
-    best = table.where(F.col("is_best") == 1).first()["model"]
-
-    full = train.select("label", *cols)
-    full_v, _ = M.assemble(balance(full) if balance else full, cols)
-    final = M.fit_one(full_v.select("label", "features"), task, best, best_params[best])
-    test_v, _ = M.assemble(test, cols)
-    return {"metrics": table, "search": spark.createDataFrame(draws, "model string, draw int, params string, cv_metric double"),
-            "predictions": M.score(final, test_v, task), "model": final, "feature_cols": cols,
-            "best": (best, best_params[best])}
+    table = spark.createDataFrame([(f, k, x["metrics"].get(metric)) for k, (f, x) in enumerate(results.items())],
+                                  f"model string, seq int, {metric} double")  # one row per family
+    best = M.select_best(table, metric, minimize).where(F.col("is_best") == 1).first()["model"]
+    final = refit(train, cols, task, best, results[best]["params"])
+    whole = PipelineModel([*fitted.stages, VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="error"), final])
+    sinks.save_model(whole, run.path + "/model")
+    M.score(final, M.assemble(test, cols)[0], task).write.mode("overwrite").parquet(run.path + "/predictions")
+    sinks.write_metrics_document(spark, run.path + "/metrics", task, best, results)
+    return run
+
+
+def refit(train: DataFrame, cols: list[str], task: str, family: str, params: dict):
+    """ml20: these parameters fitted on all train rows (risk: after oversampling them)."""
+    rows = M.assemble(train, cols)[0].select("label", "features")
+    balance = balancer(task)
+    return M.fit_one(stable(balance(rows)) if balance else rows, task, family, params)
+
+
+class TaskRun:
+    """A task's results in the shared folder."""
+
+    def __init__(self, spark: SparkSession, path: str, task: str):
+        self.spark, self.path, self.task = spark, path, task
+        self.trials = S.Trials(spark, f"{path}/trials")
+
+    def whole(self) -> bool:
+        return exists(self.spark, f"{self.path}/metrics/_SUCCESS")
+
+    def document(self) -> DataFrame:
+        """One row: task, best_model, best_params, results (model -> cv_metric, params, metrics)."""
+        return sinks.read_metrics_document(self.spark, f"{self.path}/metrics")
+
+    def metrics(self) -> DataFrame:
+        """One row per family: cross-validation score, parameters, validation metrics, is_best."""
+        return (self.document().select("best_model", F.explode("results").alias("model", "result"))
+                .select("model", "result.cv_metric", "result.params", "result.metrics",
+                        (F.col("model") == F.col("best_model")).cast("int").alias("is_best")))
+
+    def predictions(self) -> DataFrame:
+        """Test predictions of the selected model, refit on all train rows: order_id, prediction."""
+        return self.spark.read.parquet(f"{self.path}/predictions")
+
+    def model(self) -> PipelineModel:
+        """Raw orders to predictions: the fitted preprocessing, assembler and learner."""
+        return PipelineModel.load(f"{self.path}/model")
+
+
+# ---------------------------------------------------------------- single fits
+
+def fitted(spark: SparkSession, sf_dir: str, task: str, family: str):
+    """The family's first drawn parameter set fitted on all train rows, once per state of the inputs."""
+    params = M.draw_params(M.GRIDS[task][family], 1)[0]
+    path = folder(spark, sf_dir, f"model-{task}-{family}", params)
+    loader = M.loader(family, M.KIND[task])
+    if not exists(spark, f"{path}/done/_SUCCESS"):
+        train, _, cols = prepare(spark, sf_dir, task)
+        model = M.fit_one(M.assemble(train, cols)[0].select("label", "features"), task, family, params)
+        sinks.save_model(model, f"{path}/model")
+        spark.range(1).write.mode("overwrite").parquet(f"{path}/done")
+        return model
+    return loader.load(f"{path}/model")

@@ -73,3 +73,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared folder for a written table."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def lasting_dir(spark: SparkSession) -> str:
+    """The shared folder itself rather than this application's part of it: what is
+    written here is found again by the next application."""
+    return (spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or shared_dir(spark)).rstrip("/")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)

@@ -137,7 +137,7 @@ _WRITTEN: dict = {}
 _INPUTS = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
-def _state(spark: SparkSession, sf_dir: str) -> tuple:
+def input_state(spark: SparkSession, sf_dir: str) -> tuple:
     """Size and time of every input, so that a changed input is built anew."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     paths = [jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{t}.parquet") for t in _INPUTS]
@@ -153,7 +153,7 @@ def shipments_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     replaces re-running the star join in every fit and apply step, later
     scans prune columns, and a ``split`` filter prunes whole folders."""
     from shipcast.session import scratch_path
-    key = (spark.sparkContext.applicationId, sf_dir, _state(spark, sf_dir))
+    key = (spark.sparkContext.applicationId, sf_dir, input_state(spark, sf_dir))
     if key not in _WRITTEN:
         path, built = scratch_path(spark, "shipments"), shipments(spark, sf_dir)
         built.write.mode("overwrite").partitionBy("split").parquet(path)

@@ -59,6 +59,58 @@ def write_metrics(metrics: DataFrame, path: str) -> str:
     return path
 
 
+#: The metrics document of one task.
+DOCUMENT = ("task string, best_model string, best_params map<string,string>, "
+            "results map<string,struct<cv_metric:double,params:map<string,string>,metrics:map<string,double>>>")
+
+
+def write_metrics_document(spark: SparkSession, path: str, task: str, best: str, results: dict) -> str:
+    """io10: one nested JSON document (best model, its parameters, every model's
+    results); it appears whole or not at all, by the committer's rename."""
+    def text(params):
+        return {k: str(v) for k, v in params.items()}
+
+    rows = {m: (x["cv_metric"], text(x["params"]), x["metrics"]) for m, x in results.items()}
+    one = spark.createDataFrame([(task, best, text(results[best]["params"]), rows)], DOCUMENT)
+    one.coalesce(1).write.mode("overwrite").json(path)
+    return path
+
+
+def read_metrics_document(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(DOCUMENT).json(path)
+
+
+def vector_text(col: str) -> F.Column:
+    """A vector as ``slot:value`` pairs of its non-zero entries, slots from 1, ascending."""
+    from pyspark.ml.functions import vector_to_array
+    cells = F.transform(vector_to_array(col), lambda v, i: F.struct((i + 1).alias("slot"), v.alias("value")))
+    return F.array_join(F.transform(F.filter(cells, lambda c: c["value"] != 0), lambda c: F.concat(
+        c["slot"].cast("string"), F.lit(":"), c["value"].cast("string"))), " ")
+
+
+def write_processed(df: DataFrame, names: DataFrame, path: str) -> str:
+    """io06: processed rows of both splits as CSV partitioned by ``split``, vectors as
+    ``slot:value`` text, and the table of feature names (column, slot, name) beside them."""
+    from pyspark.ml.linalg import VectorUDT
+    flat = df.select(*[vector_text(f.name).alias(f.name) if isinstance(f.dataType, VectorUDT) else F.col(f.name)
+                       for f in df.schema.fields])
+    write_csv(flat, f"{path}/rows")
+    write_csv(names, f"{path}/names", partition_by=None)
+    return path
+
+
+def read_processed(spark: SparkSession, path: str, schema) -> DataFrame:
+    """``write_processed``'s rows with numbers as in ``schema`` and vectors as slot -> value maps."""
+    from pyspark.ml.linalg import VectorUDT
+    plain = [f for f in schema.fields if not isinstance(f.dataType, VectorUDT)]
+    vectors = [f.name for f in schema.fields if isinstance(f.dataType, VectorUDT)]
+    rows = spark.read.option("header", True).csv(f"{path}/rows")
+    def cells(name):
+        pairs = F.transform(F.filter(F.split(F.coalesce(name, F.lit("")), " "), lambda x: x != ""), lambda x: F.split(x, ":"))
+        return F.map_from_arrays(F.transform(pairs, lambda x: x[0].cast("int")), F.transform(pairs, lambda x: x[1].cast("double")))
+    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in plain], *[cells(n).alias(n) for n in vectors])
+
+
 def save_model(model, path: str) -> str:
     """io11: persist a fitted ``PipelineModel`` (or any MLWritable)."""
     model.write().overwrite().save(path)

@@ -1,74 +1,188 @@
 """Oversampling, search and task runs on small frames with a planted signal."""
 
+import contextlib
+import io
+import json
+
 import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
 
 from shipcast.operators import models as M
+from shipcast.operators import oversample, search
 from shipcast.operators.oversample import smote
 from shipcast.operators.split import kfold
 from shipcast.sources.tables import load_parquet_splits
 
 
+def vectors(df, *cols):
+    return M.assemble(df, list(cols))[0].drop(*cols)
+
+
 def test_smote_draws_base_rows_uniformly(spark):
     """A class uniform on [0, 1), a tenth as many synthetic rows: their mean stays near one half."""
     df = (spark.range(1000).select(F.lit(0).alias("label"), (F.col("id") / 1000).alias("x"), F.lit(1.0).alias("y"))
           .unionByName(spark.range(1100).select(F.lit(1).alias("label"), F.lit(5.0).alias("x"), F.lit(0.0).alias("y"))))
-    out = smote(df, "label", ["x", "y"])
-    made = out.where("is_synthetic = 1").agg(F.count("*"), F.avg("x"), F.min("x"), F.max("x")).first()
-    assert made[0] == 100 and abs(made[1] - 0.5) < 0.1 and 0 <= made[2] and made[3] <= 0.999
-    assert out.where("label = 0").count() == 1100
-
-
-def test_smote_neighbours_are_near(spark):
-    """Every synthetic row lies between a base row and one of its five nearest."""
-    rng = np.random.default_rng(4)
-    minority, majority = rng.normal(size=(16, 3)), rng.normal(size=(60, 3)) + 9
-    rows = [(0, *map(float, v)) for v in minority] + [(1, *map(float, v)) for v in majority]
-    out = smote(spark.createDataFrame(rows, "label int, a double, b double, c double").repartition(4), "label", ["a", "b", "c"])
-    made = np.array([[r.a, r.b, r.c] for r in out.where("is_synthetic = 1").collect()])
-    assert len(made) == 44
+    out = smote(vectors(df, "x", "y"), "label")
+    made = np.array([r.features.toArray() for r in out.where("is_synthetic = 1").collect()])
+    assert len(made) == 100 and abs(made[:, 0].mean() - 0.5) < 0.1 and (made[:, 0] >= 0).all() and (made[:, 0] < 1).all()
+    assert (made[:, 1] == 1).all() and out.where("label = 1").count() == 1100
+
+
+def mixed_rows(n, seed):
+    """Clustered numeric columns and one-hot slots, as sparse vectors, with repeated rows."""
+    rng = np.random.default_rng(seed)
+    centre = rng.normal(size=(12, 4)) * 6
+    numeric = centre[rng.integers(0, 12, n)] + rng.normal(size=(n, 4))
+    hot = np.zeros((n, 40))
+    hot[np.arange(n), rng.integers(0, 40, n)] = 1
+    rows = np.hstack([numeric, hot])
+    rows[-20:] = rows[:20]
+    return rows
+
+
+def sparse(row):
+    at = np.flatnonzero(row)
+    return Vectors.sparse(len(row), at.tolist(), row[at].tolist())
+
+
+@pytest.mark.parametrize("pivots, block", [(64, 1024), (9, 100)])
+def test_neighbours_equal_brute_force(spark, monkeypatch, pivots, block):
+    monkeypatch.setattr(oversample, "PIVOTS", pivots)
+    monkeypatch.setattr(oversample, "BLOCK", block)
+    rows = mixed_rows(2000, 7)
+    df = spark.createDataFrame([("a" if k % 4 else "b", k // 4 if k % 4 == 0 else k - k // 4 - 1,
+                                 sparse(r) if k % 3 else Vectors.dense(r)) for k, r in enumerate(rows)],
+                               oversample.T.StructType([
+                                   oversample.T.StructField("cls", oversample.T.StringType()),
+                                   oversample.T.StructField("r", oversample.T.LongType()),
+                                   oversample.T.StructField("v", VectorUDT())]))
+    asked = df.select("cls", "r").where("r % 2 = 0")
+    found = oversample.neighbours(df, asked, 5)
+    got = {}
+    for r in found.collect():
+        got.setdefault((r["cls"], r["base"]), {})[r["at"]] = (r["d"], r["r"])
+    classes = {"b": rows[::4], "a": np.delete(rows, np.s_[::4], 0)}
+    assert len(got) == asked.count()
+    for (c, base), near in got.items():
+        x = classes[c]
+        d = np.sqrt(((x - x[base]) ** 2).sum(1))
+        d[base] = np.inf
+        want = np.sort(d)[:5]
+        assert sorted(near) == [1, 2, 3, 4, 5] and len({r for _, r in near.values()}) == 5
+        assert np.allclose([near[k][0] for k in range(1, 6)], want, atol=1e-9)
+        assert np.allclose([d[near[k][1]] for k in range(1, 6)], want, atol=1e-9)
+
+
+def test_neighbours_join_by_cells_only(spark):
+    plan = io.StringIO()
+    df = spark.createDataFrame([(0, sparse(r)) for r in mixed_rows(50, 1)] + [(1, sparse(r)) for r in mixed_rows(80, 2)],
+                               ["label", "features"])
+    with contextlib.redirect_stdout(plan):
+        smote(df, "label").explain()
+    assert "CartesianProduct" not in plan.getvalue() and "NestedLoop" not in plan.getvalue()
+
+
+def test_smote_rows_lie_between_neighbours_in_every_slot(spark):
+    minority, majority = mixed_rows(60, 3), mixed_rows(100, 4)
+    df = spark.createDataFrame([(0, 3, sparse(r)) for r in minority] + [(1, 4, sparse(r)) for r in majority],
+                               ["label", "fold", "features"])
+    out = smote(df.repartition(4), "label", carry=["fold"])
+    made = [r for r in out.where("is_synthetic = 1").collect()]
+    assert len(made) == 40 and {r["fold"] for r in made} == {3}
     distance = np.sqrt(((minority[:, None] - minority[None]) ** 2).sum(2))
-    nearest = distance.argsort(1)[:, 1:6]
+    np.fill_diagonal(distance, np.inf)
+    reach = np.sort(distance, 1)[:, 4]
 
     def between(p):
         for i in range(len(minority)):
-            for j in nearest[i]:
+            for j in np.flatnonzero(distance[i] <= reach[i]):
                 step = minority[j] - minority[i]
+                if not step.any():
+                    if np.abs(minority[i] - p).max() < 1e-9:
+                        return True
+                    continue
                 u = (p - minority[i]) @ step / (step @ step)
-                if -1e-9 <= u <= 1 and np.abs(minority[i] + u * step - p).max() < 1e-6:
+                if -1e-9 <= u <= 1 and np.abs(minority[i] + u * step - p).max() < 1e-9:
                     return True
         return False
 
-    # sixteen rows, eight on either side in four projections: at most a few rows miss a true neighbour
-    assert np.mean([between(p) for p in made]) > 0.9
+    assert all(between(r["features"].toArray()) for r in made)
+    again = smote(df.repartition(7), "label", carry=["fold"]).where("is_synthetic = 1").collect()
+    assert sorted(map(str, again)) == sorted(map(str, made))
 
 
 def test_smote_tiny_classes(spark):
     rows = [(0, 1.0)] + [(1, 2.0), (1, 3.0)] + [(2, float(k)) for k in range(10)]
-    out = smote(spark.createDataFrame(rows, "label int, x double"), "label", ["x"])
-    assert {r.label: r["count"] for r in out.groupBy("label").count().collect()} == {0: 10, 1: 10, 2: 10}
-    assert {r.x for r in out.where("label = 0").collect()} == {1.0}
-    assert all(2 <= r.x <= 3 for r in out.where("label = 1").collect())
+    out = smote(vectors(spark.createDataFrame(rows, "label int, x double"), "x"), "label").collect()
+    by = {}
+    for r in out:
+        by.setdefault(r.label, []).append(r.features[0])
+    assert {c: len(v) for c, v in by.items()} == {0: 10, 1: 10, 2: 10}
+    assert set(by[0]) == {1.0} and all(2 <= x <= 3 for x in by[1])
+
+
+def signal(spark, task, n=400):
+    df = spark.range(n).select(F.col("id").alias("order_id"), (F.pmod(F.xxhash64("id"), F.lit(1000)) / 1000).alias("a"),
+                               (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1000)) / 1000).alias("b"))
+    label = {"binary": F.col("a") > 0.6, "multiclass": F.floor(F.col("a") * 2.999), "regression": 10 * F.col("a") + F.col("b")}
+    df = kfold(df.withColumn("label", label[M.KIND[task]].cast("double")), None)
+    return M.assemble(df, ["a", "b"])[0].select("label", "fold", "features")
 
 
 @pytest.mark.parametrize("task, family, grid", [
     ("delay", "Logistic", {"C": [0.1, 10]}),
     ("cost", "RandomForest", {"n_estimators": [10], "max_depth": [4, 6]}),
-    ("risk", "RandomForest", {"n_estimators": [10], "max_depth": [4, 5]}),
-    ("inventory", "GBT", {"n_estimators": [8], "max_depth": [3], "learning_rate": [0.1, 0.3]})])
+    ("inventory", "GBT", {"n_estimators": [5], "max_depth": [3], "learning_rate": [0.1, 0.3]})])
 def test_search_beats_the_constant(spark, task, family, grid):
-    df = spark.range(400).select(F.col("id").alias("order_id"), (F.pmod(F.xxhash64("id"), F.lit(1000)) / 1000).alias("a"),
-                                 (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1000)) / 1000).alias("b"))
-    label = {"binary": F.col("a") > 0.6, "multiclass": F.floor(F.col("a") * 2.999), "regression": 10 * F.col("a") + F.col("b")}
-    df = kfold(df.withColumn("label", label[M.KIND[task]].cast("double")), None)
-    model, params, best, table = M.random_search(df.select("label", "fold", "a", "b"), task, family, ["a", "b"],
-                                                 n_iter=5, grid=grid)
+    df = signal(spark, task)
+    model, params, best, table = search.random_search(df, task, family, n_iter=5, grid=grid)
     assert len(table) == 2 and params in [d for _, d, _ in table] and best in [s for _, _, s in table]
-    _, larger = M.cv_score(task)
+    larger = search.SCORES[task]().isLargerBetter()
     constant = {"binary": 0.5, "multiclass": 0.4, "regression": 3.0}[M.KIND[task]]
     assert best > constant if larger else best < constant
-    assert model.transform(M.assemble(df, ["a", "b"])[0]).count() == 400
+    assert model.transform(df).count() == 400
+
+
+def test_search_scores_equal_a_plain_loop_and_trials_are_read_again(spark, tmp_path, monkeypatch):
+    """Balancing inside the folds included; the second search fits nothing but the refit."""
+    df = signal(spark, "risk", 240)
+    grid, balance = {"n_estimators": [5], "max_depth": [2, 4]}, lambda d: d.unionByName(d.where("label = 2"))
+    trials = search.Trials(spark, f"{tmp_path}/trials")
+    model, params, best, table = search.random_search(df, "risk", "RandomForest", n_iter=2, grid=grid, balance=balance,
+                                                      trials=trials)
+    for number, draw, score in table:
+        plain = []
+        for k in range(M.N_FOLDS):
+            fitted = M.fit_one(balance(df.where(f"fold <> {k}").select("label", "features")), "risk", "RandomForest", draw)
+            plain.append(search.WeightedF1().evaluate(fitted.transform(df.where(f"fold = {k}"))))
+        assert abs(sum(plain) / len(plain) - score) < 1e-9
+    rows = trials.table().collect()
+    assert len(rows) == 10 and {(r["draw"], r["fold"]) for r in rows} == {(d, k) for d in range(2) for k in range(5)}
+    means = {}
+    for r in rows:
+        means.setdefault(r["params"], []).append(r["score"])
+    top = max(means, key=lambda p: sum(means[p]))
+    assert json.loads(top) == params and abs(sum(means[top]) / 5 - best) < 1e-9
+    fits = []
+    fit_one = M.fit_one
+    monkeypatch.setattr(M, "fit_one", lambda *a: fits.append(a[3]) or fit_one(*a))
+    again = search.random_search(df, "risk", "RandomForest", n_iter=2, grid=grid, balance=balance, trials=trials)
+    assert fits == [params] and again[1:] == (params, best, table)
+
+
+@pytest.mark.parametrize("evaluator, rows, value, larger", [
+    (search.WeightedF1, [(0.0, 0.0), (0.0, 1.0), (1.0, 1.0), (2.0, 2.0)], (2 * 2 / 3 + 2 / 3 + 1) / 4, True),
+    (search.HardLabelAUC, [(0.0, 0.0), (0.0, 1.0), (1.0, 1.0)], 0.75, True),
+    (search.RMSE, [(1.0, 3.0), (2.0, 2.0)], 2 ** 0.5, False),
+    (search.BusinessCost, [(1.0, 3.0), (5.0, 2.0)], (2 + 9) / 2, False)])
+def test_evaluators(spark, tmp_path, evaluator, rows, value, larger):
+    df = spark.createDataFrame(rows, "y double, p double")
+    made = evaluator(labelCol="y", predictionCol="p")
+    assert abs(made.evaluate(df) - value) < 1e-12 and made.isLargerBetter() == larger
+    made.write().overwrite().save(f"{tmp_path}/e")
+    assert abs(evaluator.load(f"{tmp_path}/e").evaluate(df) - value) < 1e-12
 
 
 def test_loader_gives_nothing_for_a_missing_path(spark, tmp_path):
