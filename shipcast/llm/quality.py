@@ -9,15 +9,17 @@ weighs the document's passages, and the weighted mean of their vectors is
 scored.  Only document labels are learned from; where in a document the junk
 lies, the attention has to find.
 
-Learning is on at most ``SAMPLE`` labelled documents, those with the smallest
-hash of doc_id, whose encoded passages (about 80 numbers each) come to the
-driver; the model (a few thousand numbers) goes to every task, which scores
+Learning is on at most ``SAMPLE`` labelled documents and ``PASSAGES`` passages:
+those with the smallest hash of doc_id, whole documents, without those of more
+than a fiftieth of the passages.  Their encoded passages (about 80 numbers each)
+come to the driver; the model (a few thousand numbers) goes to every task, which scores
 texts row by row without a shuffle.  Same rows, same model.
 
 Null and empty texts are one passage of zeros.  With labels of one class only,
 or none, every score is the share (n1 + 1) / (n + 1), so that nothing is
-rejected without evidence.  Rows are scored one by one: repeats get equal
-scores, and an empty table gives an empty result.  Scores depend on text alone.
+rejected without evidence.  Rows are scored one by one, and a score (to nine
+decimals) depends on its text and the model alone, whatever rows stand beside
+it: repeats get equal scores, and an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,13 +29,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shipcast.llm.common import discard, written
+
 PASSAGE = 512
 #: Bytes encoded at a time (a multiple of PASSAGE): bounds a task's memory.
 CHUNK = PASSAGE * 2048
-SAMPLE = 4000
+SAMPLE, PASSAGES = 4000, 200_000
 THRESHOLD = 0.7
 HIDDEN, ATTENTION, EPOCHS, BATCH, RATE, DECAY = 24, 16, 30, 128, 0.01, 1e-3
 TRIPLES, PAIRS = 256, 64
@@ -53,23 +57,27 @@ def class_table() -> np.ndarray:
     return table
 
 
-def _encode(data: np.ndarray, bag: np.ndarray, bags: int) -> np.ndarray:
-    """Features of passages; ``bag`` has the passage of each byte."""
+def _encode(data: np.ndarray, bag: np.ndarray, at: np.ndarray, bags: int) -> np.ndarray:
+    """Features of passages; ``bag`` has the passage of each byte, ``at`` its place
+    there.  Pairs, triplets and repeats count only within a passage, so that a
+    passage's features do not depend on what lies beside it."""
     n = np.bincount(bag, minlength=bags).astype(np.float32)[:, None]
 
-    def table(which: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
-        return np.bincount(at * width + which, minlength=bags * width).reshape(bags, width).astype(np.float32)
+    def table(which: np.ndarray, of: np.ndarray, width: int) -> np.ndarray:
+        return np.bincount(of * width + which, minlength=bags * width).reshape(bags, width).astype(np.float32)
 
     kinds = table(class_table()[data], bag, len(CLASSES) + 1) / (n + 1)
     wide = data.astype(np.uint32)
     two = (wide[:-1] * np.uint32(0x9E3779B1) + wide[1:] * np.uint32(0x85EBCA77)) if len(data) > 1 else wide[:0]
     three = (two[:-1] + wide[2:] * np.uint32(0xC2B2AE3D)) if len(data) > 2 else wide[:0]
-    pairs = table((two ^ two >> np.uint32(16)) * np.uint32(0x2C1B3C6D) >> np.uint32(26), bag[:len(two)], PAIRS) / (n + SHORT)
-    triples = table((three ^ three >> np.uint32(16)) * np.uint32(0x2C1B3C6D) >> np.uint32(24), bag[:len(three)], TRIPLES)
+    whole2, whole3 = at[1:] >= 1, at[2:] >= 2
+    two, three = two[whole2], three[whole3]
+    pairs = table((two ^ two >> np.uint32(16)) * np.uint32(0x2C1B3C6D) >> np.uint32(26), bag[1:][whole2], PAIRS) / (n + SHORT)
+    triples = table((three ^ three >> np.uint32(16)) * np.uint32(0x2C1B3C6D) >> np.uint32(24), bag[2:][whole3], TRIPLES)
     # The largest share of bytes that repeat at one distance: words said over and over.
     again = np.zeros((bags, 1), np.float32)
     for lag in LAGS:
-        same = np.bincount(bag[lag:][data[lag:] == data[:-lag]], minlength=bags).astype(np.float32)[:, None]
+        same = np.bincount(bag[lag:][(data[lag:] == data[:-lag]) & (at[lag:] >= lag)], minlength=bags).astype(np.float32)[:, None]
         again = np.maximum(again, same / (n + SHORT))
     spread = np.stack([(triples > 0).mean(1), np.square(triples / (n + SHORT)).sum(1)], 1)
     return np.concatenate([kinds, spread, again, pairs], 1).astype(np.float32)
@@ -85,7 +93,8 @@ def encode(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
             counts = [max(1, -(-len(r) // PASSAGE)) for r in held]
             base = np.cumsum([0, *counts])
             bag = np.concatenate([b + np.arange(len(r)) // PASSAGE for b, r in zip(base, held)]).astype(np.int64)
-            parts.append(_encode(np.frombuffer(b"".join(held), np.uint8), bag, int(base[-1])))
+            at = np.concatenate([np.arange(len(r)) % PASSAGE for r in held]).astype(np.int16)
+            parts.append(_encode(np.frombuffer(b"".join(held), np.uint8), bag, at, int(base[-1])))
             held.clear()
             bytes_held = 0
 
@@ -162,8 +171,9 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
-    """The model, from at most ``sample`` labelled documents outside the held-out part."""
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int = PASSAGES) -> dict:
+    """The model, from at most ``sample`` labelled documents outside the held-out part
+    and at most ``most`` passages of them."""
     order = F.xxhash64("doc_id")
     chosen = (labels.where(~held_out() & F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
               .select("doc_id", F.col("quality").cast("int").alias("y")).dropDuplicates(["doc_id"])
@@ -174,13 +184,19 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
             x, sizes = encode(rb.column("text").to_pylist())
             edges = np.cumsum([0, *sizes])
             cells = [x[a:b].tobytes() for a, b in zip(edges, edges[1:])]
-            yield pa.RecordBatch.from_arrays([rb.column("doc_id"), rb.column("y"), pa.array(cells, pa.binary())],
-                                             ["doc_id", "y", "x"])
+            yield pa.RecordBatch.from_arrays(
+                [rb.column("doc_id"), rb.column("y"), pa.array(sizes, pa.int64()), pa.array(cells, pa.binary())],
+                ["doc_id", "y", "n", "x"])
 
     # The sample is bounded by the parameter, so every task may hold it.
-    rows = (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-            .join(F.broadcast(chosen.withColumn("doc_id", F.col("doc_id").cast("long"))), "doc_id")
-            .select("doc_id", "y", "text").mapInArrow(passages, "doc_id long, y int, x binary").collect())
+    short = F.coalesce(F.octet_length("text"), F.lit(0)) <= most // 50 * PASSAGE
+    encoded = written(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where(short)
+                      .join(F.broadcast(chosen.withColumn("doc_id", F.col("doc_id").cast("long"))), "doc_id")
+                      .select("doc_id", "y", "text").mapInArrow(passages, "doc_id long, y int, n long, x binary"), "quality")
+    first = encoded.withColumn("h", order).orderBy("h", "doc_id", F.xxhash64("x")).limit(sample)  # doc_ids may repeat
+    upto = F.sum("n").over(Window.orderBy("h", "doc_id", F.xxhash64("x")).rowsBetween(Window.unboundedPreceding, 0))
+    rows = first.withColumn("upto", upto).where(F.col("upto") <= most).select("doc_id", "y", "x").collect()
+    discard(encoded)
     rows.sort(key=lambda r: (r["doc_id"], bytes(r["x"])))
     y = np.array([r["y"] for r in rows], float)
     if len(set(y)) < 2:
@@ -196,7 +212,8 @@ def score(model: dict):
         if "share" in model or not len(texts):
             return pd.Series(np.full(len(texts), model.get("share", 0.0)))
         x, sizes = encode(list(texts))
-        return pd.Series(forward(model, x, sizes)["p"])
+        # Products may round differently by the number of rows; nine decimals do not show it.
+        return pd.Series(forward(model, x, sizes)["p"].round(9))
 
     return of
 
