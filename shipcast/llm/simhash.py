@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shipcast.llm.common import components, group_links, written
@@ -58,14 +58,19 @@ def text_fingerprint(text: str | None, shingle: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint's 64 bits as a long."""
+    """(doc_id, text_hash, fp): fp is the fingerprint's 64 bits as a long."""
     def score(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in it:
             fp = np.array([text_fingerprint(t.as_py(), shingle) for t in rb.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([rb.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([rb.column(0), rb.column(2), pa.array(fp.view(np.int64))],
+                                             ["doc_id", "text_hash", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        score, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), text_hash()).mapInArrow(
+        score, "doc_id long, text_hash long, fp long")
+
+
+def text_hash():
+    return F.xxhash64(F.col("text").cast("string")).alias("text_hash")
 
 
 def covering_masks(radius: int, seed: int = 7) -> list[int]:
@@ -77,8 +82,9 @@ def covering_masks(radius: int, seed: int = 7) -> list[int]:
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
-    """One row per document: doc_id, fp, component_id (the smallest doc_id reachable by links)."""
+def grouped(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
+    """One row per document: doc_id, text_hash, fp, root (a fingerprint that names its
+    component), component_id (the smallest doc_id reachable by links)."""
     prints = written(fingerprints(docs, shingle), "simhash-fp")
     classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-classes")
     masks = F.array(*[F.struct(F.lit(v).alias("v"), F.lit(m).alias("mask"))
@@ -95,19 +101,29 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataF
     joined = classes.join(roots, classes.fp == roots.id, "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root"))
     smallest = joined.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    members = written(joined.join(smallest, "root").select("fp", "component_id"), "simhash-members")
-    return prints.join(members, "fp").select("doc_id", "fp", "component_id")
+    members = written(joined.join(smallest, "root").select("fp", "root", "component_id"), "simhash-members")
+    return prints.join(members, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
+    """One row per document: doc_id, fp, component_id."""
+    return grouped(docs, shingle, radius).select("doc_id", "fp", "component_id")
 
 
 def keep_first(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
-    """``docs`` with one document of each group: the one whose doc_id names the component.
+    """``docs`` with one row of each component: the one with the smallest doc_id (null
+    last), and of rows that repeat it the one with the smallest text hash.
 
-    Of rows that repeat that doc_id one stays.  Rows without doc_id cannot be told
-    apart, and all stay.
+    Rows are told apart by doc_id and text, so rows that share a doc_id but not a
+    component each keep one row of theirs; of equal rows any one stays.
     """
-    near = near_duplicates(docs.select("doc_id", "text"), shingle, radius)
-    kept = near.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    # The window needs no shuffle of its own: the join has dealt the rows by doc_id.
-    one = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    out = docs.join(kept, "doc_id", "left_semi").select("*", one.alias("_sh_row")).where("_sh_row = 1")
-    return out.select(docs.columns).unionByName(docs.where(F.col("doc_id").isNull()).select(docs.columns))
+    lacks, text_id = F.col("doc_id").isNull().cast("int"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    first = grouped(docs.select("doc_id", "text"), shingle, radius).groupBy("root").agg(
+        F.min(F.struct(lacks.alias("lacks"), F.col("doc_id"), F.col("text_hash"))).alias("row"))
+    kept = first.select(F.col("row.lacks").alias("_sh_null"),
+                        F.coalesce(F.col("row.doc_id").cast("string"), F.lit("")).alias("_sh_id"),
+                        F.col("row.text_hash").alias("_sh_text"))
+    keys = ["_sh_null", "_sh_id", "_sh_text"]
+    rows = docs.withColumns({"_sh_null": lacks, "_sh_id": text_id, "_sh_text": text_hash()})
+    # Equal rows meet after a partial aggregate: one row each a task.
+    return rows.join(kept, keys, "left_semi").dropDuplicates(keys).select(docs.columns)
