@@ -46,6 +46,8 @@ EDGES = string.punctuation + "\u201c\u201d\u2018\u2019\u00ab\u00bb"
 GAP = 2
 LEVEL = 3
 MIN_REDUCTION, MAX_MISSING = 0.2, 0.1
+#: A block three times as long as the template has more to save elsewhere.
+MIN_CANDIDATE = 0.1
 
 # Short notices of public licenses, by name.
 TEMPLATES = {
@@ -83,6 +85,25 @@ TEMPLATES = {
     "ISC-text": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
         "granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    "LGPL-text": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at "
+        "your option) any later version. This library is distributed in the hope that it will be useful, but WITHOUT "
+        "ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."),
+    "AGPL-text": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version."),
+    "MIT-disclaimer": (
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED "
+        "TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL "
+        "THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF "
+        "CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER "
+        "DEALINGS IN THE SOFTWARE."),
+    "BSD-disclaimer": (
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+        "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+        "PARTICULAR PURPOSE ARE DISCLAIMED."),
     "Unlicense": "This is free and unencumbered software released into the public domain.",
     "CC-BY-4.0": "Licensed under CC BY 4.0.",
     "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
@@ -168,12 +189,9 @@ def lacking(part: list[str], template: Counter) -> int:
     return sum(n - min(n, have[w]) for w, n in template.items())
 
 
-def places(words: list[str], template: list[str]) -> list[tuple[int, int, int, int]]:
-    """(words missing, further words amid, first, last) of each place that has the template, apart from each other."""
-    n, bag = len(template), Counter(template)
-    if not n or lacking(words, bag) > MAX_MISSING * n:
-        return []
-    found = set()
+def place_in(words: list[str], template: list[str], low: int, high: int) -> set[tuple[int, int, int, int]]:
+    """(words missing, further words amid, first, last) of the places of the template in words[low:high]."""
+    n, bag, found = len(template), Counter(template), set()
 
     def search(low: int, high: int) -> None:
         part = words[low:high]
@@ -194,10 +212,35 @@ def places(words: list[str], template: list[str]) -> list[tuple[int, int, int, i
             search(low, best[2])
             search(best[3] + 1, high)
 
-    # A place spans at most 2 n words, so one of these parts holds it whole.
-    for begin in range(0, max(1, len(words) - n + 1), n):
-        search(begin, begin + max(8, 3 * n))
-    return apart(sorted(found))
+    search(low, high)
+    return found
+
+
+@lru_cache(1 << 10)
+def cue_word(template: str) -> str:
+    """The word in which the first cue of a template's wording ends (or its longest word)."""
+    cue = re.search(CUES, template)
+    if not cue:
+        return max(template.split(" "), key=len)
+    return template[:cue.end()].rsplit(" ", 1)[-1] + template[cue.end():].split(" ", 1)[0]
+
+
+def parts(words: list[str], template: list[str]) -> Iterator[tuple[int, int]]:
+    """Candidate blocks of a window for a template of n words; a place spans at most
+    2 n words, so one of them holds it whole.  A short template may lack no word:
+    its blocks lie around the window's words that equal its cue."""
+    n = len(template)
+    if not n:
+        return
+    if MAX_MISSING * n >= 1:
+        for begin in range(0, max(1, len(words) - n + 1), n):
+            yield begin, begin + max(8, 3 * n)
+        return
+    cue, end = cue_word(" ".join(template)), -1
+    for i, w in enumerate(words):
+        if w == cue and i >= end:  # the next block begins where places around this word end
+            end = i + max(8, 2 * n)
+            yield max(0, i - 2 * n), end + 2 * n
 
 
 def apart(found: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
@@ -229,18 +272,27 @@ class Scanner:
     def compressor(given: zstandard.ZstdCompressionDict | None = None) -> zstandard.ZstdCompressor:
         return zstandard.ZstdCompressor(level=LEVEL, dict_data=given, write_content_size=False, write_dict_id=False)
 
+    def saved(self, block: str, name: str) -> float:
+        """By how much the template makes the block smaller, as a share of the smaller of the two."""
+        raw = block.encode("utf-8", "replace")
+        alone = len(self.plain.compress(raw))
+        return (alone - len(self.given_words[name].compress(raw))) / min(alone, len(" ".join(self.words[name])))
+
+    def candidates(self, words: list[str]) -> list[tuple[float, str, int, int]]:
+        """(share saved, license, low, high) of the blocks that a template makes smaller, best first."""
+        found = [(self.saved(" ".join(words[a:b]), name), name, a, b)
+                 for name, template in self.words.items() for a, b in parts(words, template)]
+        return sorted((x for x in found if x[0] >= MIN_CANDIDATE), key=lambda x: (-x[0], *x[1:]))
+
     def _search(self, text: str) -> list[tuple[str, int, int, int, int]]:
-        """(license, words missing, further words, first, last) of each place in a window of words."""
-        words, out = text.split(" "), []
-        for name, template in self.words.items():
-            for missing, extra, first, last in places(words, template):
-                # A place is held against the template's length: it may have further words amid.
-                raw = " ".join(words[first:last + 1]).encode("utf-8", "replace")
-                alone = len(self.plain.compress(raw))
-                saved = alone - len(self.given_words[name].compress(raw))
-                if saved >= MIN_REDUCTION * min(alone, len(" ".join(template))):
-                    out.append((name, missing, extra, first, last))
-        return out
+        """(license, words missing, further words, first, last) of each place in a window of
+        words: proposed and ranked by compression, confirmed by wording."""
+        words, found = text.split(" "), {}
+        for _, name, low, high in self.candidates(words):
+            found.setdefault(name, set()).update(place_in(words, self.words[name], low, high))
+        # A place is held against the template's length: it may have further words amid.
+        return [(name, *x) for name, all_ in found.items() for x in apart(sorted(all_))
+                if self.saved(" ".join(words[x[2]:x[3] + 1]), name) >= MIN_REDUCTION]
 
     def find(self, text: str) -> list[tuple[str, int, int, int, int]]:
         """(license, words missing, further words, begin, end) of each place in the text."""

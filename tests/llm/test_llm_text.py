@@ -200,6 +200,41 @@ def test_wrapped_licenses_are_found_whole(spark):
     assert scanner.score(licenses.TEMPLATES["MIT"].upper())[0][0] == "MIT"
 
 
+def every_place(scanner, words):
+    """Wording alone, over a whole window and every template."""
+    out = []
+    for name, template in scanner.words.items():
+        found, n = set(), len(template)
+        for begin in range(0, max(1, len(words) - n + 1), n):
+            found |= licenses.place_in(words, template, begin, begin + max(8, 3 * n))
+        out += [(name, *x) for x in licenses.apart(sorted(found))
+                if scanner.saved(" ".join(words[x[2]:x[3] + 1]), name) >= licenses.MIN_REDUCTION]
+    return sorted(out)
+
+
+def test_compression_proposes_what_wording_confirms_in_every_window(spark):
+    scanner, asked, proposed, confirmed = licenses.Scanner(licenses.TEMPLATES), 0, 0, 0
+    for r in read(spark, SF_SMALL, "documents").collect():
+        for window in licenses.windows(r.text or "", scanner.reach):
+            words = [w for w, _, _ in window]
+            places = sorted(scanner.search(" ".join(words)))
+            assert places == every_place(scanner, words)
+            asked += sum(1 for t in scanner.words.values() for _ in licenses.parts(words, t))
+            proposed += len(scanner.candidates(words))
+            confirmed += len(places)
+    assert confirmed > 0 and proposed < asked / 2
+
+
+def test_compression_rejects_and_ranks():
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    prose = licenses.wording("the harbour was licensed to sell salt and rope to any ship that came in from the sea that year")
+    assert list(licenses.parts(prose, scanner.words["CC-BY-4.0"])) and scanner.candidates(prose) == []
+    block = licenses.TEMPLATES["GPL-text"]
+    ranked = list(dict.fromkeys(name for _, name, _, _ in scanner.candidates(licenses.wording(block))))
+    assert ranked[0] == "GPL-text" and len(ranked) > 1  # its relatives save less
+    assert scanner.score(block)[0][0] == "GPL-text"
+
+
 def test_license_query_finds_every_notice(spark):
     rows = queries.op9_license_scan(spark, SF_SMALL).where("rank = 1").collect()
     docs = read(spark, SF_SMALL, "documents").collect()
@@ -245,6 +280,28 @@ def test_quality_on_held_out(spark):
     assert np.mean([p for p, q in held if q == 1]) > 0.98
 
 
+def test_quality_scores_depend_on_the_text_alone(spark):
+    docs, labels = read(spark, SF_SMALL, "documents").select("doc_id", "text"), read(spark, SF_SMALL, "labels")
+    model = quality.fit(docs, labels)
+    again = quality.fit(docs.repartition(5).orderBy(F.rand(1)), labels)
+    assert all(np.array_equal(model[k], again[k]) for k in model)
+    texts = docs.unionByName(docs.where("doc_id % 5 = 0")).unionByName(spark.createDataFrame(
+        [(-1, "x"), (-2, "é" * 700), (-3, None), (-4, "x"), (-5, "word " * 300)], docs.schema))
+
+    def scores(df):
+        out = {}
+        for r in df.withColumn("p", quality.score(model)(F.col("text"))).collect():
+            assert out.setdefault(r.text, r.p) == r.p  # equal texts, equal scores
+        return out
+
+    first = scores(texts.coalesce(1))
+    assert first == scores(texts.repartition(7)) == scores(texts.orderBy(F.desc("doc_id")))
+    alone = {t: float(quality.forward(model, *quality.encode([t]))["p"][0].round(9)) for t in list(first)[:40]}
+    assert alone == {t: first[t] for t in alone}
+    few = quality.fit(docs, labels, most=150)  # the bound in passages, in whole documents
+    assert "share" in few or not np.array_equal(few["W"], model["W"])
+
+
 def test_quality_edges(spark):
     docs = edge_docs(spark)
     labels = spark.createDataFrame([(1, 1, 0), (4, 0, 0), (6, 1, 0), (9, None, 0), (None, 1, 0), (7, 1, 0), (7, 1, 0)],
