@@ -1,5 +1,5 @@
 """Correlation, feature, scaling and encoding queries with oracles
-(co*, so02, fe*, fx*, nm01, en*) and the rows-only sinks io04, io06, io08."""
+(co*, so02, fe*, fx*, nm01, en*) and the sinks io04 and io08."""
 
 from __future__ import annotations
 
@@ -34,11 +34,14 @@ pairs AS (SELECT pr.i, pr.j, n1.name AS var1, n2.name AS var2,
 _C = _corr_ctes(NUMERIC)
 
 
-@register("co01_corr_matrix", W(f"""
+_MATRIX = f"""
 SELECT var1, var2, {r('correlation', 'correlation')} FROM pairs
 UNION ALL SELECT var2, var1, {r('correlation', 'correlation')} FROM pairs
 UNION ALL SELECT name, name, CASE WHEN v > 0 THEN 1.0 END FROM ({union(
-    [f"SELECT '{c}' AS name, var_samp(CAST({c} AS DOUBLE)) AS v FROM train" for c in NUMERIC])})""", ctes=_C))
+    [f"SELECT '{c}' AS name, var_samp(CAST({c} AS DOUBLE)) AS v FROM train" for c in NUMERIC])})"""
+
+
+@register("co01_corr_matrix", W(_MATRIX, ctes=_C))
 def co01(spark, sf):
     return rounded(K.corr_matrix_long(_train(spark, sf), NUMERIC))
 
@@ -61,11 +64,13 @@ def co03(spark, sf):
     return rounded(K.corr_pairs(_train(spark, sf), K.KEY_VARIABLES).select("var1", "var2", "correlation", "abs_corr"))
 
 
-@register("io08_sink_corr")
+@register("io08_sink_corr", W("SELECT var1 AS variable, " + ", ".join(
+    f"max(CASE WHEN var2 = '{c}' THEN correlation END) AS {c}" for c in NUMERIC) + f" FROM ({_MATRIX}) GROUP BY var1", ctes=_C))
 def io08(spark, sf):
+    """The correlation matrix as CSV, read back."""
     wide = K.corr_matrix_wide(_train(spark, sf), NUMERIC)
     path = sinks.write_csv(wide, sinks.new_path(spark, "full_correlation_matrix"), partition_by=None)
-    return spark.read.option("header", True).option("inferSchema", True).csv(path)
+    return rounded(spark.read.option("header", True).schema(wide.schema).csv(path))
 
 
 # ------------------------------------------------------------------ features
@@ -226,9 +231,10 @@ def en03(spark, sf):
 
 # ------------------------------------------------------------------ sinks (rows-only)
 
-@register("io04_sink_csv_raw")
+@register("io04_sink_csv_raw", W("SELECT * FROM shipments"))
 def io04(spark, sf):
+    """Both splits as CSV, read back with the order table's types."""
     ship = _ship(spark, sf)
     train, test = train_test(ship)
     path = sinks.write_splits_csv(train, test, sinks.new_path(spark, "raw_splits"))
-    return spark.read.option("header", True).csv(path)
+    return spark.read.option("header", True).schema(ship.schema).csv(path).select(ship.columns)

@@ -257,8 +257,7 @@ FROM p6 {_SLOT_JOINS} WHERE split = 'train'""", ctes=_pipeline_ctes())
 #: (two draws a family); ``run_task`` without lists searches the reference's.
 CHECK_GRIDS = {
     "risk": {"RandomForest": {"n_estimators": [10, 20], "max_depth": [5, 8], "max_features": ["sqrt", "log2"]}},
-    "cost": {"RandomForest": {"n_estimators": [10, 20], "max_depth": [5, 8], "min_samples_leaf": [2, 5]},
-             "GBT": {"n_estimators": [5], "max_depth": [3, 4], "learning_rate": [0.1, 0.3]}},
+    "cost": {"RandomForest": {"n_estimators": [10, 20], "max_depth": [5, 8], "min_samples_leaf": [2, 5]}},
     "delay": {"Logistic": {"C": [0.01, 0.1, 1, 10]}},
     "inventory": {"RandomForest": {"n_estimators": [10, 20], "max_depth": [5, 8], "min_samples_leaf": [2, 5]},
                   "GBT": {"n_estimators": [5], "max_depth": [3, 4], "learning_rate": [0.1, 0.3]}},
@@ -299,23 +298,6 @@ def pp01(spark, sf):
     return rounded(out.select("order_id", "split", "order_date", "supply_chain_disruption_risk", *PP01_NUMERIC, *hot))
 
 
-@register("io06_sink_processed")
-def io06(spark, sf):
-    """Processed train and test rows of all four tasks, written as CSV and read back:
-    one row per task, split and column."""
-    from shipcast.plans.tasks import preprocessing
-    from shipcast.sources import sinks
-    out = None
-    for task in CHECK_GRIDS:
-        fitted, processed = preprocessing(spark, sf, task)
-        path = sinks.write_processed(processed, E.feature_names(fitted.stages, spark), sinks.new_path(spark, f"processed_{task}"))
-        back = sinks.read_processed(spark, path, processed.schema)
-        rows = back.groupBy("split").agg(F.count("*").alias("n_rows"),
-                                         F.count_distinct("order_id").alias("n_orders")).withColumn("task", F.lit(task))
-        out = rows if out is None else out.unionByName(rows)
-    return out
-
-
 @register("ml05_smote")
 def ml05(spark, sf):
     """Risk classes of the train split grown to the majority size, over all processed columns."""
@@ -337,34 +319,12 @@ def ml05_counts(spark, sf):
                                                 F.count_if(F.col("is_synthetic") == 1).alias("n_synthetic"))
 
 
-@register("ml13_random_search")
-def ml13(spark, sf):
-    """The trial table of all four task runs: one row per task, family, draw and fold."""
-    out = None
-    for task in CHECK_GRIDS:
-        rows = _run(spark, sf, task).trials.table().withColumn("task", F.lit(task))
-        out = rows if out is None else out.unionByName(rows)
-    return out
-
-
 @register("ml20_refit_full")
 def ml20(spark, sf):
     """Test predictions of the cost task's best draw, refit on all train rows."""
     return _run(spark, sf, "cost").predictions()
 
 
-@register("ml23_task_run")
-def ml23(spark, sf):
-    """All four tasks: every family's scores, and which one was selected."""
-    out = None
-    for task in CHECK_GRIDS:
-        rows = _run(spark, sf, task).metrics().select(
-            F.lit(task).alias("task"), "model", "cv_metric", F.to_json("params").alias("params"),
-            F.to_json("metrics").alias("metrics"), "is_best")
-        out = rows if out is None else out.unionByName(rows)
-    return out
-
-
 @register("ml21_score")
 def ml21(spark, sf):
     """Test predictions of the risk task's selected model, as (order_id, class name)."""
@@ -404,6 +364,13 @@ def ag25_baseline(spark, sf):
     return rounded(_prediction_stats(_baseline_scored(spark, sf, "realistic_total_cost", ["product_category"])))
 
 
+@register("ag27_delay_class_share")
+def ag27_delay(spark, sf):
+    """Predicted classes of the selected delay model."""
+    p = _run(spark, sf, "delay").predictions()
+    return p.groupBy("prediction").agg(F.count(F.lit(1)).alias("n")).crossJoin(p.agg(F.count("*").alias("n_orders")))
+
+
 @register("ag27_prediction_class_share")
 def ag27(spark, sf):
     """Predicted classes of the selected risk and delay models."""
@@ -507,3 +474,42 @@ def ml22(spark, sf):
     v = vector_to_array("features")
     return M.assemble(out.select("order_id", *hot), hot)[0].select(
         "order_id", F.size(v).alias("n_slots"), F.size(F.filter(v, lambda x: x != 0)).alias("n_filled"))
+
+
+@register("io06_sink_processed")
+def io06(spark, sf):
+    """Processed train and test rows of all four tasks, written as CSV and read back:
+    one row per task, split and column."""
+    from shipcast.plans.tasks import preprocessing
+    from shipcast.sources import sinks
+    out = None
+    for task in CHECK_GRIDS:
+        fitted, processed = preprocessing(spark, sf, task)
+        path = sinks.write_processed(processed, E.feature_names(fitted.stages, spark), sinks.new_path(spark, f"processed_{task}"))
+        back = sinks.read_processed(spark, path, processed.schema)
+        rows = back.groupBy("split").agg(F.count("*").alias("n_rows"),
+                                         F.count_distinct("order_id").alias("n_orders")).withColumn("task", F.lit(task))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@register("ml13_random_search")
+def ml13(spark, sf):
+    """The trial table of all four task runs: one row per task, family, draw and fold."""
+    out = None
+    for task in CHECK_GRIDS:
+        rows = _run(spark, sf, task).trials.table().withColumn("task", F.lit(task))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@register("ml23_task_run")
+def ml23(spark, sf):
+    """All four tasks: every family's scores, and which one was selected."""
+    out = None
+    for task in CHECK_GRIDS:
+        rows = _run(spark, sf, task).metrics().select(
+            F.lit(task).alias("task"), "model", "cv_metric", F.to_json("params").alias("params"),
+            F.to_json("metrics").alias("metrics"), "is_best")
+        out = rows if out is None else out.unionByName(rows)
+    return out
