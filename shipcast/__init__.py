@@ -8,7 +8,6 @@ operators/  DataFrame -> DataFrame operators (profile, correlate, clean,
             features, encode, split, metrics, models)
 plans/      composed runs: preprocessing pipeline, model tasks, and the
             query catalog used by ``__spark_entry__``
-streaming/  nothing: the workload has no stream input (see README)
 """
 
 from shipcast.session import get_spark, shared_dir
