@@ -25,6 +25,8 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -201,14 +203,22 @@ def neighbours(rows: DataFrame, asked: DataFrame, k: int = K_NEIGHBOURS) -> Data
 
 # ---------------------------------------------------------------- oversampling
 
-def smote(df: DataFrame, label: str, features: str = "features", k: int = K_NEIGHBOURS, seed: int = SEED,
+def smote(df: DataFrame, label: str, features: str | Sequence[str] = "features", k: int = K_NEIGHBOURS, seed: int = SEED,
           synthetic_col: str = "is_synthetic", carry: Sequence[str] = ()) -> DataFrame:
     """``label``, ``features``, the ``carry`` columns and ``is_synthetic``: all rows, and
     synthetic ones so that every class has the majority count.  Synthetic rows
     take the ``carry`` columns of their base row.  A class of one row repeats it;
     in a class of at most k rows all others are neighbours.  Rows without a label
-    stay and are not grown."""
+    stay and are not grown.  ``features`` may also be a list of numeric columns,
+    which come back as columns (NULL as 0)."""
     carry = [c for c in carry if c in df.columns]
+    if not isinstance(features, str):
+        cols = list(features)
+        flat = VectorAssembler(inputCols=cols, outputCol="features").transform(
+            df.select(label, *carry, *cols).fillna(0.0, subset=cols))
+        out, v = smote(flat, label, "features", k, seed, synthetic_col, carry), vector_to_array("features")
+        return out.select(label, *carry, *[v[i].cast(df.schema[c].dataType).alias(c) for i, c in enumerate(cols)],
+                          synthetic_col)
     rows = df.select(label, *carry, features)
     # Class sizes are plan metadata (one row per class).
     sizes = {r[0]: r[1] for r in rows.groupBy(label).agg(F.count(F.lit(1))).collect()}
