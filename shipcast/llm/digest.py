@@ -16,12 +16,13 @@ doc_id and text are read.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shipcast.llm.common import partitions, written
@@ -90,31 +91,52 @@ def with_next(prints: DataFrame, ids: DataFrame) -> DataFrame:
     """``prints`` with next_text and next_fingerprint: those of the next row by
     descending doc_id (nulls last, ties by text hash), the first after the last.
 
-    Rows are dealt to ranges of doc_id; the head of each range is also dealt to
-    the range before it, so one shuffle brings every row to its next.  The
-    ranges' bounds and heads are the only things of fixed size that all tasks see.
+    Rows are dealt to ranges of doc_id; where one doc_id fills whole ranges, and
+    where it is null, the rows are dealt on by their text hash, to as many parts
+    as ranges would hold them.  The head of each range is also dealt to the
+    range before it, so one shuffle brings every row to its next.  The ranges'
+    bounds and heads, at most some four for each of ``n``, are all that every
+    task sees.  (Of doc_ids beyond 2^53, which ranges tell apart to the nearest
+    double only, none is dealt on.)
     """
     n = 4 * partitions(prints.sparkSession)
-    ids = ids.select(F.col("doc_id").cast("long"))
-    bounds = ids.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 20 * n).alias("b")).first()["b"]
-    splits = [-math.inf, *sorted({float(b) for b in bounds or [0]}), math.inf]
+    ids = ids.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    seen = ids.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 20 * n).alias("b"),
+                   F.count("*").alias("rows"), F.count("doc_id").alias("known")).first()
+    splits = [-math.inf, *sorted({float(b) for b in seen["b"] or [0]}), math.inf]
+    #: Parts for each doc_id that fills ranges (bounds that it repeats) and for null.
+    parts = {b: k + 1 for b, k in Counter(seen["b"] or []).items() if k > 1 and abs(b) < 1 << 53}
+    lacking = max(1, math.ceil(n * (seen["rows"] - seen["known"]) / max(seen["rows"], 1)))
+    tie = F.xxhash64("text")
+
+    def part(of: Column) -> Column:
+        """Parts 1 to ``of`` of the text hashes, in their order."""
+        return F.least(F.floor((tie.cast("double") / 2.0 ** 64 + 0.5) * of).cast("int"), of - 1) + 1
 
     def ranged(df: DataFrame) -> DataFrame:
         known = df.withColumn("_x", F.coalesce(F.col("doc_id").cast("double"), F.lit(0.0)))
+        sub = F.when(F.col("doc_id").isNull(), part(F.lit(lacking)))
+        if parts:
+            table = F.create_map([F.lit(v) for pair in parts.items() for v in pair])
+            sub = sub.when(table[F.col("doc_id")].isNotNull(), part(table[F.col("doc_id")]))
+        # A bound opens its range, so larger doc_ids of the range (part 0) come before it.
         return (Bucketizer(splits=splits, inputCol="_x", outputCol="_range").transform(known)
-                .withColumn("_range", F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(F.col("_range").cast("int")))
+                .withColumn("_range", F.struct(
+                    F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(F.col("_range").cast("int")).alias("range"),
+                    (-sub.otherwise(F.lit(0))).alias("part")))
                 .drop("_x"))
 
+    place = F.struct(F.col("doc_id").isNull().alias("late"), (-F.col("doc_id")).alias("down"), tie.alias("tie"))
     order = Window.orderBy(F.col("_range").desc())  # one row per range
-    heads = ranged(ids).groupBy("_range").agg(F.max("doc_id").alias("_head"))
+    heads = ranged(ids).groupBy("_range").agg(F.min(place).alias("_head"))
     heads = written(heads.select("_range", "_head", F.coalesce(
         F.lag("_range").over(order), F.min("_range").over(Window.partitionBy(F.lit(0)))).alias("_back")), "digest-heads")
     own, back = (F.struct(F.col(c).alias("r"), F.lit(g).alias("ghost")) for c, g in (("_range", False), ("_back", True)))
-    is_head = F.col("doc_id").eqNullSafe(F.col("_head"))
+    is_head = place.eqNullSafe(F.col("_head"))
     dealt = (ranged(prints).join(F.broadcast(heads), "_range")
              .withColumn("_at", F.explode(F.when(is_head, F.array(own, back)).otherwise(F.array(own)))))
     dealt = dealt.select("doc_id", "text", "fingerprint", F.col("_at.r").alias("_r"), F.col("_at.ghost").alias("_ghost"),
-                         F.xxhash64("text").alias("_tie"))
+                         tie.alias("_tie"))
     by = Window.partitionBy("_r").orderBy("_ghost", F.col("doc_id").desc_nulls_last(), "_tie")
     # One window over plain columns, so that the texts are shuffled once.
     return (dealt.select("doc_id", "text", "fingerprint", "_ghost", F.lead("text").over(by).alias("next_text"),

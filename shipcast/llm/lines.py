@@ -23,9 +23,10 @@ A variant's key is made of its block of ``CHUNK`` code points and of chained
 hashes of the blocks before and behind, so a line costs its length times the
 block, not its length squared.
 
-Null text stays null.  Rows that share a doc_id are one document for the order
-(a line at the same place in both is the same occurrence if equal); a null
-doc_id comes last.  An empty table gives an empty result.  Other columns pass
+Null text stays null.  Null doc_ids come last, and rows that share a doc_id, or
+have none, are ordered by a hash of their texts, so that no doc_id gathers the
+lines of many rows.  Rows equal in both are one document: all of them keep the
+same lines.  An empty table gives an empty result.  Other columns pass
 unchanged, whatever their names: internal ones carry the prefix ``_ln``.
 """
 
@@ -51,8 +52,14 @@ def bare(line: Column) -> Column:
 
 
 def place() -> Column:
-    """Total order of occurrences: doc_id (nulls last), line number."""
-    return F.struct(F.col("_ln_id").isNull().alias("late"), F.col("_ln_id").alias("id"), F.col("_ln_no").alias("no"))
+    """Total order of occurrences: doc_id (nulls last), hash of the text, line number."""
+    return F.struct(F.col("_ln_id").isNull().alias("late"), F.col("_ln_id").alias("id"), F.col("_ln_tie").alias("tie"),
+                    F.col("_ln_no").alias("no"))
+
+
+def tie(text: Column) -> Column:
+    """Tells rows of one doc_id, or of none, apart."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
 
 
 def half_keys(line: Column, n: Column) -> Column:
@@ -109,10 +116,10 @@ def variant_rows(lines: DataFrame) -> DataFrame:
 
 def first_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """The lines that stay: _h1, _h2 (hash of the line), _place (its first occurrence), written."""
-    texts = docs.select(F.col("doc_id").alias("_ln_id"), F.col("text").alias("_ln_text"))
+    texts = docs.select(F.col("doc_id").alias("_ln_id"), tie(F.col("text")).alias("_ln_tie"), F.col("text").alias("_ln_text"))
     line = bare(F.col("_ln"))
-    found = (texts.select("_ln_id", F.posexplode(split_lines(F.col("_ln_text"))).alias("_ln_no", "_ln"))
-             .select("_ln_id", "_ln_no", line.alias("_ln")).where("_ln <> ''")
+    found = (texts.select("_ln_id", "_ln_tie", F.posexplode(split_lines(F.col("_ln_text"))).alias("_ln_no", "_ln"))
+             .select("_ln_id", "_ln_tie", "_ln_no", line.alias("_ln")).where("_ln <> ''")
              .select(place().alias("_place"), F.xxhash64("_ln").alias("_h1"),
                      F.xxhash64(F.lit("again"), "_ln").alias("_h2"),
                      F.when(F.length("_ln") >= min_chars, half_keys(F.col("_ln"), F.length("_ln"))).alias("_keys")))
@@ -127,9 +134,9 @@ def first_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     some = written(halves.join(shared, "k").select("_h1", "_h2").distinct(), "lines-some")
 
     # Their texts, from the documents of their first occurrences.
-    wanted = (first.join(some, ["_h1", "_h2"]).groupBy(F.col("_place.id").alias("_w"))
+    wanted = (first.join(some, ["_h1", "_h2"]).groupBy(F.col("_place.id").alias("_w"), F.col("_place.tie").alias("_w_tie"))
               .agg(F.collect_list(F.struct("_h1", "_h2", "_place")).alias("_want")))
-    held = (texts.join(wanted, F.col("_ln_id").eqNullSafe(F.col("_w")))
+    held = (texts.join(wanted, F.col("_ln_id").eqNullSafe(F.col("_w")) & (F.col("_ln_tie") == F.col("_w_tie")))
             .select(split_lines(F.col("_ln_text")).alias("_lines"), F.explode("_want").alias("w"))
             .select("w._h1", "w._h2", "w._place", bare(F.get("_lines", F.col("w._place.no"))).alias("_ln"))
             .where(F.xxhash64("_ln") == F.col("_h1")).dropDuplicates(["_h1", "_h2"])
@@ -159,9 +166,9 @@ def first_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 def dedup(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """``docs`` with the removed lines left out of text, and with _ln_total and
     _ln_removed, the numbers of its lines and of those removed."""
-    kept = (first_lines(docs, min_chars).groupBy(F.col("_place.id").alias("_ln_id"))
+    kept = (first_lines(docs, min_chars).groupBy(F.col("_place.id").alias("_ln_id"), F.col("_place.tie").alias("_ln_tie"))
             .agg(F.collect_list(F.struct(F.col("_place.no").alias("no"), F.col("_h1").alias("h"))).alias("_ln_kept")))
-    joined = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_ln_id")), "left")
+    joined = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_ln_id")) & (tie(F.col("text")) == F.col("_ln_tie")), "left")
     joined = joined.withColumn("_ln_lines", split_lines(F.col("text")))
     line = lambda i: F.get("_ln_lines", i)
     blanks = F.filter(F.sequence(F.lit(0), F.size("_ln_lines") - 1), lambda i: bare(line(i)) == "")

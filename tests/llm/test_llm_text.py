@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 import textwrap
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -28,16 +29,16 @@ def one_edit(a, b):
 
 
 def line_brute(docs):
-    """docs in order of doc_id; rows of one doc_id are judged against the others only."""
+    """Rows in order of doc_id and of ``tie``, the text's hash; equal rows are one."""
     seen, out = {}, []
-    for i, text in docs:
+    for i, text, tie in docs:
         for no, raw in enumerate((text or "").split("\n")):
-            seen.setdefault(raw.strip(BLANK), []).append((i is None, i or 0, no))
+            seen.setdefault(raw.strip(BLANK), []).append((i is None, i or 0, tie, no))
     first = {line: min(at) for line, at in seen.items() if line}
-    for i, text in docs:
+    for i, text, tie in docs:
         kept = []
         for no, raw in enumerate((text or "").split("\n")):
-            line, me = raw.strip(BLANK), (i is None, i or 0, no)
+            line, me = raw.strip(BLANK), (i is None, i or 0, tie, no)
             near = any(at < me and (x == line or (len(x) >= 20 <= len(line) and one_edit(x, line))) for x, at in first.items())
             if not line or not near:
                 kept.append(raw)
@@ -45,6 +46,11 @@ def line_brute(docs):
     return out
 
 
+def tied(docs):
+    """(doc_id, text, hash of the text) of every row."""
+    return [tuple(r) for r in docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit("")))).collect()]
+
+
 def test_line_dedup_matches_brute_force(spark):
     rng = random.Random(3)
     base = ["".join(rng.choice("abé ") for _ in range(rng.choice([19, 20, 21, 63, 64, 65, 66, 128, 129, 130]))) for _ in range(20)]
@@ -58,8 +64,11 @@ def test_line_dedup_matches_brute_force(spark):
                 x = rng.choice([x[:p] + c + x[p:], x[:p] + x[p + 1:], x[:p] + c + x[p + 1:]])
             out.append(rng.choice(["", "  ", "\t"]) + x if rng.random() < 0.9 else " ")
         docs.append((d, "\n".join(out)))
-    got = lines.dedup(spark.createDataFrame(docs, "doc_id long, text string"))
-    assert sorted((r.doc_id, r.text) for r in got.collect()) == sorted(line_brute(docs))
+    for ids in (lambda d: d, lambda d: None if d % 2 else 4 if d % 5 else d):  # own ids; none or shared ones
+        table = spark.createDataFrame([(ids(d), t) for d, t in docs], "doc_id long, text string")
+        got = lines.dedup(table)
+        assert sorted((str(r.doc_id), r.text) for r in got.collect()) == sorted(
+            (str(i), t) for i, t in line_brute(tied(table)))
 
 
 def test_line_dedup_oracle(spark):
@@ -70,7 +79,7 @@ def test_line_dedup_edges(spark):
     docs = edge_docs(spark)
     got = lines.dedup(docs)
     assert got.columns == [*docs.columns, "_ln_total", "_ln_removed"]
-    want = line_brute([(r.doc_id, r.text) for r in docs.collect()])
+    want = line_brute(tied(docs))
     assert sorted(map(str, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(str, want))
     assert lines.dedup(no_docs(spark)).count() == 0
 
@@ -112,6 +121,29 @@ def test_digest_edges(spark):
     assert digest.edited(alone).first().near_next == 1.0
 
 
+def test_next_document_where_ids_are_missing_or_shared(spark):
+    rng = random.Random(6)
+    docs = [(rng.choice([None, None, 7, 7, 7, -3, 12, d]), f"text {d} " + "x" * rng.randrange(9)) for d in range(400)]
+    docs += [(None, None), (20, "twice"), (20, "twice")]
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    rows = sorted(((i is None, -(i or 0), tie, t or "") for i, t, tie in tied(table)))
+    got = digest.with_next(digest.fingerprints(table), table).collect()
+    want = [(None if r[0] else -r[1], r[3], rows[(k + 1) % len(rows)][3]) for k, r in enumerate(rows)]
+    assert sorted(map(str, ((r.doc_id, r.text, r.next_text) for r in got))) == sorted(map(str, want))
+
+
+def test_no_task_holds_all_rows_without_id(spark):
+    table = spark.range(2000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = digest.with_next(digest.fingerprints(table), table)
+        rows = got.select("text", "next_text", F.spark_partition_id().alias("task")).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(rows) == 2000 and len({r.next_text for r in rows}) == 2000
+    assert max(Counter(r.task for r in rows).values()) < 1000
+
+
 BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
         "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
