@@ -9,6 +9,7 @@ from shipcast.operators import clean as C
 from shipcast.operators import correlate as K
 from shipcast.operators import encode as E
 from shipcast.operators import profile as P
+from shipcast.operators import quantiles
 from shipcast.operators.quantiles import medians, quantiles_wide
 
 
@@ -160,6 +161,31 @@ def test_hot_value_quantile(spark):
     assert math.isclose(got["x__q09000"], float(np.quantile(xs, 0.9)))
 
 
+@pytest.mark.parametrize("reach", [quantiles.REACH, -0.2])
+def test_bracketed_quantiles_are_exact(spark, monkeypatch, reach):
+    """Groups far beyond a sketch, infinite values, NULL keys; a negative reach makes brackets miss."""
+    import numpy as np
+    monkeypatch.setattr(quantiles, "REACH", reach)
+    monkeypatch.setattr(quantiles, "SKETCH", 100)
+    rng = np.random.default_rng(4)
+    xs = np.concatenate([rng.normal(size=20000), np.repeat(0.25, 9000), [math.inf, -math.inf] * 3])
+    rows = [(None if k % 10 == 0 else int(k % 3 == 0), float(x)) for k, x in enumerate(rng.permutation(xs))]
+    rows += [(2, 5.0), (2, None), (2, math.nan), (3, None)]
+    df = spark.createDataFrame(rows, "g long, x double")
+    probs = [0.0, 0.01, 0.5, 0.99, 1.0]
+    grp, glob = quantiles.group_and_global_quantiles(df, ["x"], probs, ["g"])
+    def plain(p, keep):
+        """Linear interpolation, but an infinite value itself where both ends are equal."""
+        own = sorted(x for g, x in rows if keep(g) and x is not None and not math.isnan(x))
+        at = p * (len(own) - 1)
+        lo, hi = own[math.floor(at)], own[math.ceil(at)]
+        return lo if lo == hi else lo + (hi - lo) * (at - math.floor(at))
+
+    want = {(g, p): plain(p, lambda k: k == g) for g in (0, 1, 2) for p in probs}
+    assert {(r.g, r.p): r.value for r in grp.collect()} == pytest.approx(want)
+    assert [r.value for r in glob.orderBy("p").collect()] == pytest.approx([plain(p, lambda k: True) for p in probs])
+
+
 def test_one_hot_vector_path_drops_first(spark):
     """One sparse vector: the first category is dropped, unseen and NULL give zeros."""
     from pyspark.ml.functions import vector_to_array
