@@ -2,8 +2,9 @@
 
 * Feature matrix: ``VectorAssembler`` over the numeric family (ml22).
 * Learners: Spark's random forest, gradient-boosted trees (one-vs-rest for
-  three classes), and L2 logistic regression stand in for the reference's
-  forest / boosting / logistic models.  Parameter lists are the reference's;
+  three classes; as family SoftmaxGBT one model over all classes), and L2
+  logistic regression stand in for the reference's forest / boosting / logistic
+  models.  Parameter lists are the reference's;
   each is mapped to the nearest Spark parameter (see ``_estimator``).
 * Search (ml13): ``n_iter`` parameter sets drawn with a fixed seed; the search
   itself is in ``shipcast.operators.search``.
@@ -24,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shipcast.functions.columns import numeric_columns
+from shipcast.operators.boosting import SoftmaxBoosting, SoftmaxBoostingModel
 
 SEED = 42
 KEY = "order_id"
@@ -103,7 +105,9 @@ def _estimator(family: str, kind: str, params: dict, weight_col: str | None, n_r
         if kind == "regression":
             return RandomForestRegressor(**kw)
         return RandomForestClassifier(weightCol=weight_col, **kw) if weight_col else RandomForestClassifier(**kw)
-    if family == "GBT":
+    if family in ("GBT", "SoftmaxGBT"):
+        if family == "SoftmaxGBT" and kind != "multiclass":
+            raise ValueError("SoftmaxGBT is for classes")
         kw = dict(maxIter=int(p["n_estimators"]), maxDepth=int(p["max_depth"]), stepSize=float(p["learning_rate"]),
                   subsamplingRate=float(p.get("subsample", 1.0)),
                   featureSubsetStrategy=str(p.get("colsample_bytree", 1.0)),
@@ -113,6 +117,8 @@ def _estimator(family: str, kind: str, params: dict, weight_col: str | None, n_r
             return GBTRegressor(**kw)
         if kind == "binary":
             return GBTClassifier(weightCol=weight_col, **kw) if weight_col else GBTClassifier(**kw)
+        if family == "SoftmaxGBT":
+            return SoftmaxBoosting(**{k: v for k, v in kw.items() if k not in ("labelCol", "featuresCol")})
         # The per-class models are independent Spark jobs: fit them together.
         return OneVsRest(classifier=GBTClassifier(**kw), labelCol="label", featuresCol="features",
                          parallelism=3)
@@ -155,6 +161,8 @@ def loader(family: str, kind: str):
     from pyspark.ml import regression as R
     if family == "Logistic":
         return C.LogisticRegressionModel
+    if family == "SoftmaxGBT":
+        return SoftmaxBoostingModel
     if kind == "regression":
         return R.RandomForestRegressionModel if family == "RandomForest" else R.GBTRegressionModel
     if family == "RandomForest":

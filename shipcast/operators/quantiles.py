@@ -28,7 +28,15 @@ def stable(df: DataFrame) -> DataFrame:
     from shipcast.session import scratch_path
     path = scratch_path(df.sparkSession, "stable")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def drop_stable(df: DataFrame) -> None:
+    """Delete the files of a ``stable`` table that no later result reads."""
+    path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df.scratch)
+    path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 #: Size of a group's sketch: groups of no more values are held whole.

@@ -10,7 +10,8 @@ from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
 
 from shipcast.operators import models as M
-from shipcast.operators import oversample, search
+from shipcast.operators import boosting, oversample, search
+from shipcast.operators.boosting import SoftmaxBoosting, SoftmaxBoostingModel
 from shipcast.operators.oversample import smote
 from shipcast.operators.split import kfold
 from shipcast.sources.tables import load_parquet_splits
@@ -198,3 +199,54 @@ def test_assembling_a_null_is_an_error(spark):
     df = spark.createDataFrame([(1, 1.0, 2.0), (2, None, 2.0)], "order_id long, a double, b double")
     with pytest.raises(Exception, match="null|NaN"):
         M.assemble(df, ["a", "b"])[0].collect()
+
+
+def planted_classes(spark, n=2000):
+    """Three classes: two bands of one column and what lies outside them, with some labels turned round."""
+    rng = np.random.default_rng(8)
+    x = rng.uniform(-3, 3, size=(n, 3))
+    label = np.where(np.abs(x[:, 0]) < 1, 0, np.where(x[:, 1] > 0, 1, 2))
+    flip = rng.random(n) < 0.1
+    label[flip] = rng.integers(0, 3, flip.sum())
+    return spark.createDataFrame([(int(k), Vectors.dense(r)) for k, r in zip(label, x)], ["label", "features"]).repartition(3)
+
+
+def test_softmax_boosting(spark, tmp_path, monkeypatch):
+    from pyspark.ml.classification import GBTClassifier, OneVsRest
+    from pyspark.ml.functions import vector_to_array
+    from shipcast.operators import metrics as MT
+    rows = planted_classes(spark)
+    train, held = rows.randomSplit([0.7, 0.3], 3)
+    options = dict(maxIter=6, maxDepth=3, stepSize=0.3)
+    other = SoftmaxBoosting(**options).fit(train)
+    monkeypatch.setattr(boosting, "CUT", 1)  # the loss of every round
+    model = SoftmaxBoosting(**options).fit(train)
+    assert len(model.losses) == 6 and other.losses == pytest.approx(model.losses[-1:]) and all(a > b for a, b in zip(model.losses, model.losses[1:])) and model.losses[0] < np.log(3)
+    out = model.transform(held)
+    assert set(out.columns) == {"label", "features", "probability", "prediction"}
+    for r in out.collect():
+        p = r.probability.toArray()
+        assert abs(p.sum() - 1) < 1e-12 and (p >= 0).all() and r.prediction == p.argmax()
+    # The margins of the ensemble are those of training.
+    own = model.transform(train).select(vector_to_array("probability").alias("p"), "label")
+    loss = own.agg(F.avg(-F.log(F.element_at("p", F.col("label").cast("int") + 1)))).first()[0]
+    assert abs(loss - model.losses[-1]) < 1e-9
+    rest = OneVsRest(classifier=GBTClassifier(seed=42, **options)).fit(train)
+    f1 = [MT.f1_weighted(m.transform(held)).first()["f1_weighted"] for m in (model, rest)]
+    assert f1[0] >= f1[1] and f1[0] > 0.85
+    model.save(str(tmp_path / "m"))
+    again = SoftmaxBoostingModel.load(str(tmp_path / "m"))
+    key = lambda df: sorted((tuple(r.features), tuple(r.probability), r.prediction) for r in df.collect())
+    assert key(again.transform(held)) == key(out) and again.losses == model.losses
+    assert [r[2] for r in key(other.transform(held))] == [r[2] for r in key(out)]
+
+
+def test_softmax_boosting_small_inputs(spark):
+    one = spark.createDataFrame([(0, Vectors.dense([float(k)])) for k in range(5)], ["label", "features"])
+    out = SoftmaxBoosting(maxIter=3, maxDepth=2).fit(one).transform(one).collect()
+    assert {r.prediction for r in out} == {0.0} and len(out) == 5
+    gap = spark.createDataFrame([(2 * (k % 2), Vectors.dense([float(k % 2)])) for k in range(20)], ["label", "features"])
+    model = SoftmaxBoosting(maxIter=3, maxDepth=2, stepSize=0.5).fit(gap)
+    assert [(r.label, r.prediction) for r in model.transform(gap).distinct().orderBy("label").collect()] == [(0, 0.0), (2, 2.0)]
+    with pytest.raises(ValueError):
+        SoftmaxBoosting().fit(one.where("1 = 0"))
