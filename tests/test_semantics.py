@@ -197,3 +197,14 @@ def test_one_hot_vector_path_drops_first(spark):
     assert vecs[0] == [0.0, 0.0]                       # first category dropped
     assert sorted(map(tuple, vecs[1:3])) == [(0.0, 1.0), (1.0, 0.0)]  # b and c one slot each
     assert vecs[3] == [0.0, 0.0] and vecs[4] == [0.0, 0.0]  # unseen and NULL
+
+
+def test_one_hot_stages_cost_a_row_its_values_not_the_slots(spark):
+    """No stage walks a vector's slots for each row; a column of one value has one empty slot."""
+    train = spark.createDataFrame([("a", "x"), ("b", "x"), ("c", "x")], "g string, h string")
+    _, stages = E.fit_one_hot(train, ["g", "h"])
+    assert {type(s).__name__ for s in stages} == {"StringIndexerModel", "OneHotEncoderModel"}
+    assert [tuple(r) for r in E.feature_names(stages, spark).collect()] == [("g_vec", 1, "c"), ("g_vec", 2, "b")]
+    test = spark.createDataFrame([("b", "x"), ("d", "y"), (None, None)], "g string, h string")
+    got = [(r.g_vec.toArray().tolist(), r.h_vec.toArray().tolist()) for r in E.one_hot(train, test, ["g", "h"]).collect()]
+    assert sorted(got) == [([0.0, 0.0], [0.0]), ([0.0, 0.0], [0.0]), ([0.0, 1.0], [0.0])]
