@@ -208,3 +208,14 @@ def test_one_hot_stages_cost_a_row_its_values_not_the_slots(spark):
     test = spark.createDataFrame([("b", "x"), ("d", "y"), (None, None)], "g string, h string")
     got = [(r.g_vec.toArray().tolist(), r.h_vec.toArray().tolist()) for r in E.one_hot(train, test, ["g", "h"]).collect()]
     assert sorted(got) == [([0.0, 0.0], [0.0]), ([0.0, 0.0], [0.0]), ([0.0, 1.0], [0.0])]
+
+
+def test_vector_cells_leave_a_sparse_vector_sparse(spark):
+    """A vector of two billion slots could not be made dense."""
+    from pyspark.ml.linalg import Vectors
+    from shipcast.functions.columns import vector_cells, vector_size
+    df = spark.createDataFrame([(1, Vectors.sparse(2_000_000_000, [4, 1_999_999_999], [1.0, -0.5])),
+                                (2, Vectors.dense([0.0, 2.5, 0.0])), (3, Vectors.sparse(3, [], []))], ["k", "v"])
+    got = [(r.n, [tuple(c) for c in r.c]) for r in df.orderBy("k").select(
+        vector_size("v").alias("n"), vector_cells("v").alias("c")).collect()]
+    assert got == [(2_000_000_000, [(5, 1.0), (2_000_000_000, -0.5)]), (3, [(2, 2.5)]), (3, [])]
