@@ -76,6 +76,22 @@ def test_neighbours_equal_brute_force(spark, monkeypatch, pivots, block):
         assert np.allclose([d[near[k][1]] for k in range(1, 6)], want, atol=1e-9)
 
 
+def test_neighbours_of_sparse_rows_take_no_memory_for_empty_slots(spark):
+    """Rows of two billion slots, of which a row holds three: the neighbours of the same rows in 42 slots."""
+    rng, size = np.random.default_rng(5), 2_000_000_000
+    x, hot = rng.normal(size=(300, 2)), rng.integers(0, 40, 300)
+    rows = [("a", i, Vectors.sparse(size, [0, 1, 7 + 40_000_000 * int(h)], [*map(float, p), 1.0])) for i, (p, h) in enumerate(zip(x, hot))]
+    df = spark.createDataFrame(rows, ["cls", "r", "v"])
+    found = oversample.neighbours(df, df.select("cls", "r").where("r % 3 = 0"), 5)
+    got = {}
+    for r in found.orderBy("base", "at").collect():
+        got.setdefault(r["base"], []).append(r["r"])
+    flat = np.hstack([x, np.eye(40)[hot]])
+    d = np.sqrt(((flat[:, None] - flat[None]) ** 2).sum(2))
+    np.fill_diagonal(d, np.inf)
+    assert got == {i: [int(j) for j in np.lexsort((np.arange(300), d[i]))[:5]] for i in range(0, 300, 3)}
+
+
 def test_neighbours_join_by_cells_only(spark):
     plan = io.StringIO()
     df = spark.createDataFrame([(0, sparse(r)) for r in mixed_rows(50, 1)] + [(1, sparse(r)) for r in mixed_rows(80, 2)],
