@@ -48,3 +48,17 @@ def test_row_features_start_no_job_and_need_no_exchange(spark):
         jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
         assert not jobs and "Exchange" not in plan and plan.count("FileScan") == 1
+
+
+def test_wide_order_rows_are_shuffled_by_the_order_key_alone(spark, capsys):
+    """With large dimensions, joins on part, supplier and customer keys shuffle no measures of the line items."""
+    from shipcast.sources.shipments import shipments
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shipments(spark, SF_SMALL).explain("formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    moved = re.findall(r"\) Exchange\nInput \[\d+\]: \[([^\n]*)\]\nArguments: hashpartitioning\((\w+)#", capsys.readouterr().out)
+    other = [columns for columns, key in moved if key in ("partkey", "suppkey", "o_custkey")]
+    assert len(other) == 3 and all("max_price" not in columns and "last_ship" not in columns for columns in other)
