@@ -219,3 +219,11 @@ def test_vector_cells_leave_a_sparse_vector_sparse(spark):
     got = [(r.n, [tuple(c) for c in r.c]) for r in df.orderBy("k").select(
         vector_size("v").alias("n"), vector_cells("v").alias("c")).collect()]
     assert got == [(2_000_000_000, [(5, 1.0), (2_000_000_000, -0.5)]), (3, [(2, 2.5)]), (3, [])]
+
+
+def test_vector_text_of_a_very_long_sparse_vector(spark):
+    """io06 writes the stored entries: two billion slots could not be made dense."""
+    from pyspark.ml.linalg import Vectors
+    from shipcast.sources.sinks import vector_text
+    df = spark.createDataFrame([(1, Vectors.sparse(2_000_000_000, [4, 1_999_999_999], [1.0, -0.5])), (2, Vectors.sparse(3, [], []))], ["k", "v"])
+    assert [r.t for r in df.orderBy("k").select(vector_text("v").alias("t")).collect()] == ["5:1.0 2000000000:-0.5", ""]
