@@ -94,3 +94,15 @@ def test_inputs_in_another_state_have_another_folder(spark, tmp_path, monkeypatc
     first = tasks.folder(spark, SF_SMALL, "x", 1)
     monkeypatch.setattr(tasks, "input_state", lambda *a: (("changed", 1),))
     assert tasks.folder(spark, SF_SMALL, "x", 1) != first
+
+
+def test_placing_rows_ranks_keys_and_labels_alone(spark, monkeypatch):
+    train, _, cols = tasks.prepare(spark, SF_SMALL, "delay")
+    split = tasks.SP.holdout(train.select("order_id", "label", cols[0]), "label")
+    want = {r[0]: r[1] for r in tasks.SP.kfold(split.where("is_val = 0"), "label").select("order_id", "fold").collect()}
+    want |= {r[0]: None for r in split.where("is_val = 1").select("order_id").collect()}
+    ranked, rank_rows = [], tasks.SP.rank_rows
+    monkeypatch.setattr(tasks.SP, "rank_rows", lambda df, *a: ranked.append(set(df.columns)) or rank_rows(df, *a))
+    out = tasks.placed(train, "label")
+    assert {r[0]: r[1] for r in out.select("order_id", "fold").collect()} == want and len(want) == train.count()
+    assert ranked and all(c <= {"order_id", "label", "is_val"} for c in ranked) and set(cols) <= set(out.columns)
