@@ -62,3 +62,17 @@ def test_wide_order_rows_are_shuffled_by_the_order_key_alone(spark, capsys):
     moved = re.findall(r"\) Exchange\nInput \[\d+\]: \[([^\n]*)\]\nArguments: hashpartitioning\((\w+)#", capsys.readouterr().out)
     other = [columns for columns, key in moved if key in ("partkey", "suppkey", "o_custkey")]
     assert len(other) == 3 and all("max_price" not in columns and "last_ship" not in columns for columns in other)
+
+
+def test_names_of_nations_and_regions_are_not_shuffled(spark, capsys):
+    """Their keys are; the names are looked up behind the last exchange of the order table."""
+    from shipcast.sources.shipments import shipments
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shipments(spark, SF_SMALL).explain("formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    moved = re.findall(r"\) Exchange\nInput \[\d+\]: \[([^\n]*)\]\nArguments: hashpartitioning\((\w+)#", capsys.readouterr().out)
+    assert moved and not any(re.search(r"\b(sn_name|cn_name|r_name)#", columns) for columns, _ in moved)
+    assert any("c_nationkey" in columns for columns, _ in moved) and any("s_nationkey" in columns for columns, _ in moved)
