@@ -13,6 +13,11 @@ from shipcast.operators import models as M
 from shipcast.operators.quantiles import stable
 
 
+@pytest.fixture(autouse=True)
+def never_dense(monkeypatch):
+    monkeypatch.setattr(forest, "DENSE", 0)
+
+
 @pytest.fixture(scope="module")
 def rows(spark):
     """Numbers, some of them zero, and a column of 30 values as 0/1 slots; y depends on both."""
@@ -65,6 +70,26 @@ def test_forests_score_as_sparks_do(rows, task, tmp_path):
     assert M.fit_one(train, task, "RandomForest", params).toDebugString.split("\n")[1:] == mine.toDebugString.split("\n")[1:]
 
 
+@pytest.mark.parametrize("task", ["inventory", "delay", "risk"])
+def test_boosting_without_draws_is_sparks(rows, task, tmp_path, monkeypatch):
+    monkeypatch.setattr(forest, "ROUNDS", 2)
+    label = {"inventory": "y", "delay": "double(y > 0)", "risk": CLASS}[task]
+    df = rows.select(F.expr(label).alias("label"), "features")
+    params = {"n_estimators": 4, "max_depth": 4, "learning_rate": 0.3, "min_child_weight": 3}
+    mine = M.fit_one(df, task, "GBT", params)
+    weighted, weight = M.weighted(df, task, "GBT")
+    own = M._estimator("GBT", M.KIND[task], params, weight).fit(weighted)
+    assert type(mine) is type(own)
+    out = "prediction" if task == "inventory" else "rawPrediction"
+    mine.save(f"{tmp_path}/m")
+    again = M.loader("GBT", M.KIND[task]).load(f"{tmp_path}/m")
+    pairs = again.transform(own.transform(df).select("features", F.col(out).alias("theirs"))).select(out, "theirs").collect()
+    a, b = (np.array([r[k] if task == "inventory" else r[k].toArray() for r in pairs]) for k in (0, 1))
+    # Of equal gains, which gradients of few values give, rounding chooses; so a few rows may differ.
+    same = np.isclose(a, b, atol=1e-7)
+    assert same.mean() > 0.98 and (task == "risk" or same.all()) and a.std() > 0.1
+
+
 def test_a_row_costs_its_entries_not_the_slots(spark):
     """2,000 rows of two million slots, of which a row uses two: as one bin a slot they would take 16 GB."""
     rng, size = np.random.default_rng(2), 2_000_000
@@ -79,6 +104,16 @@ def test_a_row_costs_its_entries_not_the_slots(spark):
     assert blocks.agg(F.sum(F.length("slots") / 4 + F.length("bins"))).first()[0] <= 2 * 2 * 2000
 
 
+def test_small_tables_go_to_sparks_learner(rows, monkeypatch):
+    monkeypatch.setattr(forest, "DENSE", 1 << 28)
+    monkeypatch.setattr(forest, "grow", None)
+    df = rows.select(F.col("y").alias("label"), "features")
+    assert M.fit_one(df, "cost", "RandomForest", {"n_estimators": 2, "max_depth": 2}).getNumTrees == 2
+    with pytest.raises(TypeError):
+        monkeypatch.setattr(forest, "DENSE", 3000 * 32 - 1)
+        M.fit_one(df, "cost", "RandomForest", {"n_estimators": 2, "max_depth": 2})
+
+
 def test_draws_and_bags():
     rng = np.random.default_rng(3)
     seen = np.bincount(np.concatenate([forest.draw_slots(rng, 50, 8) for _ in range(2000)]), minlength=50)
