@@ -90,6 +90,22 @@ def test_boosting_without_draws_is_sparks(rows, task, tmp_path, monkeypatch):
     assert same.mean() > 0.98 and (task == "risk" or same.all()) and a.std() > 0.1
 
 
+def test_sums_are_shuffled_in_parts(rows, spark):
+    """A task sends a row a part, not one for every node, slot and bin that it has met."""
+    df = rows.select(F.col("y").alias("label"), F.lit(1.0).alias("weight"), "features")
+    size, hot = 32, np.arange(1, 30)
+    bins = forest.Bins(size, hot, *forest.find_cuts(df, 3000, hot, 32, 1))
+    blocks = stable(forest.pack(df, bins).repartition(4))
+    options = {"classes": 0, "seed": 1, "rate": 1.0, "bootstrap": False, "loss": None, "least": 1}
+    tree = forest.Tree(forest.totals_of(blocks, 1, bins, options)[0])
+    todo = forest.Pass([(0, 0)], [np.arange(size)], np.array([tree.stats[0]]), bins)
+    shared = spark.sparkContext.broadcast((todo, [tree.shape()]))
+    sums = forest.add_up(blocks, shared, options)
+    met, n = sums.agg(F.sum(F.length("at") / 4), F.count(F.lit(1))).first()
+    assert n <= 4 < 100 < met and len(todo.parts) == 2
+    assert len(forest.best_cuts(sums, shared, options, 1).collect()) == 1
+
+
 def test_a_row_costs_its_entries_not_the_slots(spark):
     """2,000 rows of two million slots, of which a row uses two: as one bin a slot they would take 16 GB."""
     rng, size = np.random.default_rng(2), 2_000_000
