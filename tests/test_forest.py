@@ -3,12 +3,13 @@
 import numpy as np
 import pytest
 from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
-from shipcast.operators import forest
+from shipcast.operators import boosting, forest
 from shipcast.operators import models as M
 from shipcast.operators.quantiles import stable
 
@@ -90,6 +91,23 @@ def test_boosting_without_draws_is_sparks(rows, task, tmp_path, monkeypatch):
     assert same.mean() > 0.98 and (task == "risk" or same.all()) and a.std() > 0.1
 
 
+def test_softmax_boosting_without_draws_is_sparks(rows, monkeypatch):
+    """All classes in one job a level give the trees of one fit of Spark's learner a class and round.  Slots have
+    few values, since Spark places the cuts of others anew in every round, by the weights."""
+    df = rows.select(F.expr(CLASS).cast("int").alias("label"), array_to_vector(F.transform(
+        vector_to_array("features"), lambda x: F.round(3 * x) / 3)).alias("features"))
+    options = dict(maxIter=3, maxDepth=4, stepSize=0.3, minInstancesPerNode=3)
+    monkeypatch.setattr(boosting, "RandomForestRegressor", type("Own", (RandomForestRegressor,), {"fit": None}))
+    monkeypatch.setattr(forest, "ROUNDS", 2)
+    mine = boosting.SoftmaxBoosting(**options).fit(df)
+    monkeypatch.undo()  # DENSE too: Spark's learner
+    own = boosting.SoftmaxBoosting(**options).fit(df)
+    assert len(mine.margins) == 3 and len(mine.losses) == 2 and mine.losses[-1] == pytest.approx(own.losses[-1], abs=1e-4)
+    pairs = mine.transform(df.withColumn("k", F.lit(1))).withColumnRenamed("probability", "mine").drop("prediction")
+    got = own.transform(pairs).select("mine", "probability").collect()
+    assert np.mean([np.allclose(a.toArray(), b.toArray(), atol=1e-7) for a, b in got]) > 0.98
+
+
 def test_sums_are_shuffled_in_parts(rows, spark):
     """A task sends a row a part, not one for every node, slot and bin that it has met."""
     df = rows.select(F.col("y").alias("label"), F.lit(1.0).alias("weight"), "features")
