@@ -10,6 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from conftest import SF_SMALL
 from shipcast.operators import encode as E
 from shipcast.operators import models as M
+from shipcast.operators import search as S
 from shipcast.operators import stages
 from shipcast.plans import tasks
 from shipcast.sources import sinks
@@ -106,3 +107,32 @@ def test_placing_rows_ranks_keys_and_labels_alone(spark, monkeypatch):
     out = tasks.placed(train, "label")
     assert {r[0]: r[1] for r in out.select("order_id", "fold").collect()} == want and len(want) == train.count()
     assert ranked and all(c <= {"order_id", "label", "is_val"} for c in ranked) and set(cols) <= set(out.columns)
+
+
+def test_folds_of_trees_run_at_once(spark):
+    import threading
+    import time
+    now, most, lock = [0], [0], threading.Lock()
+
+    class Learner:
+        family, draw = "RandomForest", "draw"
+
+        def fitMultiple(self, rows, maps):
+            with lock:
+                now[0] += 1
+                most[0] = max(most[0], now[0])
+            time.sleep(1)
+            with lock:
+                now[0] -= 1
+            return S._Each(lambda i: self, len(maps))
+
+        def transform(self, rows):
+            return rows
+
+    class Score:
+        def evaluate(self, rows):
+            return rows.first()["fold"]
+
+    rows = spark.range(10).selectExpr("0.0 label", "0.0 features", "int(id % 5) fold")
+    assert S.cross_validate(rows, Learner(), Score(), [0], 1) == {0: 2.0}
+    assert most[0] == S.TREE_FOLDS > 1
