@@ -136,3 +136,12 @@ def test_folds_of_trees_run_at_once(spark):
     rows = spark.range(10).selectExpr("0.0 label", "0.0 features", "int(id % 5) fold")
     assert S.cross_validate(rows, Learner(), Score(), [0], 1) == {0: 2.0}
     assert most[0] == S.TREE_FOLDS > 1
+
+
+def test_the_four_tasks_run_at_once(monkeypatch, spark):
+    import threading
+    from shipcast.plans import queries_ml as Q
+    met = threading.Barrier(4, timeout=60)  # breaks if one task waits for another
+    monkeypatch.setattr(Q, "_ship", lambda spark, sf: None)
+    monkeypatch.setattr(Q, "_run", lambda spark, sf, task: met.wait() and task or task)
+    assert Q._runs(spark, "-") == [(t, t) for t in ("risk", "cost", "delay", "inventory")]
