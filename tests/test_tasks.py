@@ -145,3 +145,20 @@ def test_the_four_tasks_run_at_once(monkeypatch, spark):
     monkeypatch.setattr(Q, "_ship", lambda spark, sf: None)
     monkeypatch.setattr(Q, "_run", lambda spark, sf, task: met.wait() and task or task)
     assert Q._runs(spark, "-") == [(t, t) for t in ("risk", "cost", "delay", "inventory")]
+
+
+def test_registered_runs_search_all_the_references_lists(monkeypatch):
+    """No list of their own, and no number of draws: every family, and as many draws as the reference makes."""
+    from shipcast.plans import queries_ml as Q
+    asked = []
+    monkeypatch.setattr(tasks, "run_task", lambda spark, sf, task, grids=None, n_iter=None: asked.append(
+        (task, grids or M.GRIDS[task], n_iter or M.N_ITER[task])))
+    for task in ("risk", "cost", "delay", "inventory"):
+        Q._run(None, "-", task)
+    assert asked == [(t, M.GRIDS[t], M.N_ITER[t]) for t in M.GRIDS] and M.N_ITER == {"risk": 2, "cost": 5, "delay": 5, "inventory": 5}
+    assert all(set(g) >= {"RandomForest", "GBT"} for _, g, _ in asked)
+    for _, grids, n in asked:
+        for family, grid in grids.items():
+            draws = M.draw_params(grid, n)
+            assert len(draws) == n or family == "Logistic" and len(draws) == 4  # all that there are
+            assert family == "Logistic" or min(d["n_estimators"] for d in draws) >= 100
