@@ -162,3 +162,17 @@ def test_registered_runs_search_all_the_references_lists(monkeypatch):
             draws = M.draw_params(grid, n)
             assert len(draws) == n or family == "Logistic" and len(draws) == 4  # all that there are
             assert family == "Logistic" or min(d["n_estimators"] for d in draws) >= 100
+
+
+def test_tasks_share_one_preparation_and_get_their_own_rows(spark, monkeypatch):
+    fits, fit = [], stages.fit_preprocessing
+    monkeypatch.setattr(tasks, "fit_preprocessing", lambda train, *task: fits.append(task) or fit(train, *task))
+    made = {t: tasks.preprocessing(spark, SF_SMALL, t) for t in ("cost", "delay")}
+    assert fits in ([], [()])  # for all tasks at once, unless an earlier test made it
+    ship = shipments_table(spark, SF_SMALL)
+    alone = fit(ship.where("split = 'train'"), "delay").transform(ship)
+    fitted, processed = made["delay"]
+    want = alone.orderBy("order_id").collect()
+    assert processed.dtypes == alone.dtypes and processed.orderBy("order_id").collect() == want
+    assert fitted.transform(ship).orderBy("order_id").collect() == want
+    assert "will_be_delayed" in made["cost"][1].columns and "realistic_total_cost" not in made["cost"][1].columns
