@@ -301,3 +301,30 @@ def test_softmax_boosting_small_inputs(spark):
     assert [(r.label, r.prediction) for r in model.transform(gap).distinct().orderBy("label").collect()] == [(0, 0.0), (2, 2.0)]
     with pytest.raises(ValueError):
         SoftmaxBoosting().fit(one.where("1 = 0"))
+
+
+def test_the_softmax_query_draws_from_the_references_lists(monkeypatch):
+    """As many rounds as the list of the other boosters asks for, where five were fixed."""
+    import __spark_entry__ as entry
+    from shipcast.plans import tasks
+    seen = []
+    for name, made in (("prepare", (None, None, None)), ("folder", ""), ("exists", False)):
+        monkeypatch.setattr(tasks, name, lambda *a, made=made: made)
+
+    class Rows(dict):
+        select = lambda self, *a: self
+
+    monkeypatch.setattr(M, "assemble", lambda *a: (Rows(), []))
+    monkeypatch.setattr(M, "fit_one", lambda rows, *a: seen.append(a))
+    monkeypatch.setattr(M, "score", lambda *a: None)
+    monkeypatch.setattr(tasks.sinks, "save_model", lambda *a: None)
+
+    class Spark:
+        range = lambda self, n: self
+        write = property(lambda self: self)
+        mode = lambda self, m: self
+        parquet = lambda self, p: None
+
+    entry.queries()["ml09_softmax_gbt"](Spark(), "-")
+    assert seen == [("risk", "SoftmaxGBT", M.draw_params(M.GRIDS["risk"]["GBT"], 1)[0])]
+    assert seen[0][2]["n_estimators"] >= 100 and seen[0][2]["max_depth"] >= 6
