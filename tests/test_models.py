@@ -328,3 +328,16 @@ def test_the_softmax_query_draws_from_the_references_lists(monkeypatch):
     entry.queries()["ml09_softmax_gbt"](Spark(), "-")
     assert seen == [("risk", "SoftmaxGBT", M.draw_params(M.GRIDS["risk"]["GBT"], 1)[0])]
     assert seen[0][2]["n_estimators"] >= 100 and seen[0][2]["max_depth"] >= 6
+
+
+def test_a_search_leaves_no_balanced_rows_behind(spark):
+    """Oversampled folds and what their neighbours were found with are deleted once they are fitted."""
+    import os
+    from shipcast.session import scratch_path
+    folder = os.path.dirname(scratch_path(spark, "x").removeprefix("file:"))
+    os.makedirs(folder, exist_ok=True)
+    df = search.stable_alone(lambda: signal(spark, "risk", 200).where("label < 2 or hash(label, features) % 2 = 0"))
+    before = set(os.listdir(folder))
+    model, *_ = search.random_search(df, "risk", "RandomForest", n_iter=2, grid={"n_estimators": [2, 3], "max_depth": [2]},
+                                     balance=lambda rows: smote(rows, "label").drop("is_synthetic"))
+    assert model.transform(df).count() == df.count() and set(os.listdir(folder)) == before
